@@ -124,3 +124,9 @@ def class_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class-probability arrays (``embeddings.embedding``) with truth ``label``."""
     return table(spark, sf_dir, "embeddings").select(
         "vec_id", F.col("embedding").alias("proba"), "label")
+
+
+# Class map used with the ``embeddings`` score arrays (64 scores per row):
+# six named classes, every other index decodes to 'Unknown'.
+EMBED_CLASS_MAP = {0: "Normal", 1: "DDoS Flood", 2: "Port Scan", 3: "Botnet Activity",
+                   4: "Unauthorized Access Attempt", 5: "Data Interception"}

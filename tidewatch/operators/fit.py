@@ -46,27 +46,28 @@ def _idx(cols):
 
 
 def skew_frame(df: DataFrame, cols: list[str], threshold: float = 1.0) -> DataFrame:
-    """One row per column: column, n, skewness, min, high_skew, shift."""
+    """One row per column: feature, n, skewness, min_value, high_skew, shift."""
     aggs = []
     for i, c in _idx(cols):
         x = F.col(c).cast("double")
         aggs += [F.skewness(x).alias(f"s{i}"), F.min(x).alias(f"m{i}"), F.count(x).alias(f"n{i}")]
     wide = df.agg(*aggs)
     rows = F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(f"n{i}").alias("n"),
-                 F.col(f"s{i}").alias("skewness"), F.col(f"m{i}").alias("min"))
+        F.struct(F.lit(c).alias("feature"), F.col(f"n{i}").alias("n"),
+                 F.col(f"s{i}").alias("skewness"), F.col(f"m{i}").alias("min_value"))
         for i, c in _idx(cols)])).alias("r")
     out = wide.select(rows).select("r.*")
     return out.select(
-        "column", "n", "skewness", "min",
+        "feature", "n", "skewness", "min_value",
         F.coalesce(F.abs(F.col("skewness")) > F.lit(threshold), F.lit(False)).alias("high_skew"),
-        F.greatest(F.lit(0.0), F.coalesce(-F.col("min"), F.lit(0.0))).alias("shift"),
+        # "+ 0.0" turns a -0.0 shift into 0.0
+        (F.greatest(F.lit(0.0), F.coalesce(-F.col("min_value"), F.lit(0.0))) + F.lit(0.0)).alias("shift"),
     )
 
 
 def bounds_frame(df: DataFrame, cols: list[str], log_shifts: dict[str, float] | None = None,
                  whisker: float = 1.5, accuracy: int = 100000) -> DataFrame:
-    """One row per column: column, q1, q3, iqr, lower, upper (after the log
+    """One row per column: feature, q1, q3, iqr, lower, upper (after the log
     step for columns in ``log_shifts``)."""
     log_shifts = log_shifts or {}
     qs = F.array(F.lit(0.25), F.lit(0.75))
@@ -76,12 +77,12 @@ def bounds_frame(df: DataFrame, cols: list[str], log_shifts: dict[str, float] |
         aggs.append(F.percentile_approx(x, qs, accuracy).alias(f"q{i}"))
     wide = df.agg(*aggs)
     rows = F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.get(F.col(f"q{i}"), 0).alias("q1"),
+        F.struct(F.lit(c).alias("feature"), F.get(F.col(f"q{i}"), 0).alias("q1"),
                  F.get(F.col(f"q{i}"), 1).alias("q3"))
         for i, c in _idx(cols)])).alias("r")
     out = wide.select(rows).select("r.*").withColumn("iqr", F.col("q3") - F.col("q1"))
     w = F.lit(float(whisker))
-    return out.select("column", "q1", "q3", "iqr",
+    return out.select("feature", "q1", "q3", "iqr",
                       (F.col("q1") - w * F.col("iqr")).alias("lower"),
                       (F.col("q3") + w * F.col("iqr")).alias("upper"))
 
@@ -92,10 +93,10 @@ def fit_stats(df: DataFrame, cols: list[str], threshold: float = 1.0, whisker: f
     left out of the bounds, so they stay uncapped)."""
     df = df.select(*cols)
     sk = skew_frame(df, cols, threshold).collect()
-    high = [r["column"] for r in sk if r["high_skew"]]
-    shifts = {r["column"]: float(r["shift"]) for r in sk if r["high_skew"]}
+    high = [r["feature"] for r in sk if r["high_skew"]]
+    shifts = {r["feature"]: float(r["shift"]) for r in sk if r["high_skew"]}
     bd = bounds_frame(df, cols, shifts, whisker, accuracy).collect()
-    bounds = {r["column"]: {"lower": float(r["lower"]), "upper": float(r["upper"])}
+    bounds = {r["feature"]: {"lower": float(r["lower"]), "upper": float(r["upper"])}
               for r in bd if r["iqr"] is not None and r["iqr"] != 0}
     return PrepStats(feature_cols=list(cols), high_skew_cols=high, log_shifts=shifts,
                      iqr_bounds=bounds)

@@ -101,3 +101,13 @@ def system_stats(device_state: DataFrame, alerts: DataFrame) -> DataFrame:
     ).select(*[F.coalesce(F.col(c), F.lit(0).cast("long")).alias(c) for c in
                ("total_monitored_devices", "active_threats", "total_alerts_detected")],
              F.lit(SYSTEM_STATUS).alias("system_status"))
+
+
+def attacked_devices(state: DataFrame) -> DataFrame:
+    """Devices currently under attack, one row each (never collected)."""
+    return state.filter(F.col("status") == STATUS_UNDER_ATTACK).select("device_name", "last_attack_type")
+
+
+def attacked_device_count(state: DataFrame) -> DataFrame:
+    return state.filter(F.col("status") == STATUS_UNDER_ATTACK).agg(
+        F.count(F.lit(1)).alias("attacked_devices"))

@@ -15,6 +15,7 @@ Three scorers:
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from typing import Tuple
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
@@ -49,12 +50,17 @@ def score_linear(df: DataFrame, weights: dict[str, float], intercept: float = 0.
 
 
 def score_ml(df: DataFrame, model, feature_cols: list[str]) -> DataFrame:
-    """Score with a fitted ``pyspark.ml`` classification model (or pipeline
-    ending in one); NULL/NaN features are kept, not dropped."""
+    """Score with a fitted ``pyspark.ml`` model: a pipeline that assembles its
+    own features, or a bare classifier (features assembled here, NULL/NaN
+    kept, not dropped)."""
+    from pyspark.ml import PipelineModel
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.functions import vector_to_array
-    va = VectorAssembler(inputCols=feature_cols, outputCol="_features", handleInvalid="keep")
-    scored = model.transform(va.transform(df))
+    if isinstance(model, PipelineModel):
+        scored = model.transform(df)
+    else:
+        va = VectorAssembler(inputCols=feature_cols, outputCol=model.getFeaturesCol(), handleInvalid="keep")
+        scored = model.transform(va.transform(df))
     return scored.select(*df.columns, vector_to_array("probability").alias("proba"))
 
 
@@ -65,7 +71,7 @@ def score_pandas(df: DataFrame, load_model: Callable[[], object], feature_cols:
     so a large model is not shipped per batch.  Arrow batches in and out."""
 
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
-    def _proba(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+    def _proba(batches: Iterator[Tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
         model = load_model()
         for cols in batches:
             x = pd.concat(list(cols), axis=1)

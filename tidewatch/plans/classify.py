@@ -50,3 +50,19 @@ def fixture_classified(spark: SparkSession, sf_dir: str, stats: PrepStats | None
     stats = stats or fixture_stats(spark, sf_dir)
     prepared = prepared_flows(fixtures.messages(spark, sf_dir), fixtures.FIXTURE_LAYOUT, stats)
     return classify(prepared, fixture_scorer, fixtures.FIXTURE_CLASS_MAP)
+
+
+class FixtureLogisticModel:
+    """The fixture scorer as a foreign ``predict_proba`` model (numpy), used to
+    exercise the pandas-UDF scoring path with a known answer."""
+
+    def __init__(self, model: dict = FIXTURE_MODEL, features=("f_value", "f_k")):
+        self.model, self.features = model, list(features)
+
+    def predict_proba(self, x):
+        import numpy as np
+        z = np.full(len(x), float(self.model["intercept"]))
+        for c in self.features:
+            z = z + self.model["weights"][c] * (x[c].to_numpy(dtype=float) - self.model["centers"][c])
+        p1 = 1.0 / (1.0 + np.exp(-z))
+        return np.stack([1.0 - p1, p1], axis=1)

@@ -4,8 +4,12 @@ Streaming: event-time watermark + ``dropDuplicatesWithinWatermark`` keeps the
 state bounded (one short hash per key, expired by the watermark).
 Batch: ``dropDuplicatesWithinWatermark`` is rejected on batch frames, and plain
 ``dropDuplicates`` keeps an arbitrary row, so batch keeps the *earliest*
-arrival per key with a hash aggregate of ``min(struct(time, ...))`` — partial
-aggregation before the shuffle, deterministic, skew-safe.
+arrival per key.  When every other column is parsed from the fingerprinted
+payload (``payload_determined``, the flow case) duplicates differ only in
+arrival time, so this is ``groupBy(key, fields...).agg(min(time))``: a hash
+aggregate with map-side partial aggregation (re-sent copies collapse before
+the shuffle; a hot device is no hot key because the key is the hash).
+Otherwise ``min(struct(time, ...))`` picks the earliest full row.
 """
 from __future__ import annotations
 
@@ -15,10 +19,12 @@ from tidewatch.schema import DEDUP_DELAY
 
 
 def dedup_by_key(df: DataFrame, key: str = "row_hash", time_col: str = "kafka_timestamp",
-                 delay: str = DEDUP_DELAY) -> DataFrame:
+                 delay: str = DEDUP_DELAY, payload_determined: bool = True) -> DataFrame:
     if df.isStreaming:
         return df.withWatermark(time_col, delay).dropDuplicatesWithinWatermark([key])
     others = [c for c in df.columns if c not in (key, time_col)]
+    if payload_determined:
+        return df.groupBy(key, *others).agg(F.min(time_col).alias(time_col)).select(*df.columns)
     first = F.min(F.struct(F.col(time_col), *[F.col(c) for c in others])).alias("_r")
     return (df.groupBy(key).agg(first)
               .select(F.col(f"_r.{time_col}").alias(time_col), F.col(key),

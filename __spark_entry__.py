@@ -455,6 +455,8 @@ def q_containment_state(spark, sf):
 
 @query("device_list", S.with_alerts("""
 SELECT r.device_name, r.ip, r.type, r.location, coalesce(s.status, 'Normal') AS status,
+       CASE coalesce(s.status, 'Normal') WHEN 'Normal' THEN 'Protected' WHEN 'Under Attack' THEN 'Under Attack'
+            WHEN 'ISOLATED' THEN 'Disconnected' END AS status_label,
        coalesce(s.is_connected, true) AS is_connected, s.last_attack_type
 FROM registry r LEFT JOIN state s ON r.device_name = s.device_name""", _STATE))
 def q_device_list(spark, sf):
@@ -606,6 +608,21 @@ def q_class_downsample(spark, sf):
     return TR.class_downsample(tr, ratio=2.0, seed=42).select("event_id", "device_name", "label")
 
 
+@query("class_ratio", S.with_flows("""
+SELECT attack_rows, normal_rows, CAST(attack_rows AS DOUBLE) / normal_rows AS attack_to_normal FROM (
+  SELECT CAST(count_if(label = 0) AS BIGINT) AS attack_rows, CAST(count_if(label = 1) AS BIGINT) AS normal_rows FROM (
+    SELECT t.*, CAST(('0x' || substr(sha256('42:' || row_hash), 1, 8)) AS UBIGINT) / 4294967296.0 AS u,
+           CASE WHEN n > 0 AND a > 2.0 * n THEN 2.0 * n / a ELSE 1.0 END AS ka,
+           CASE WHEN NOT (n > 0 AND a > 2.0 * n) AND a > 0 AND n > a / 2.0 THEN a / (2.0 * n) ELSE 1.0 END AS kn
+    FROM (SELECT * FROM flows WHERE device_name NOT IN ('device_3', 'device_7')) t,
+         (SELECT CAST(count_if(label = 0) AS DOUBLE) AS a, CAST(count_if(label = 1) AS DOUBLE) AS n
+          FROM flows WHERE device_name NOT IN ('device_3', 'device_7')) c)
+  WHERE (label = 0 AND u < ka) OR (label = 1 AND u < kn))"""))
+def q_class_ratio(spark, sf):
+    tr, _ = TR.device_split(X.flows(spark, sf), X.FIXTURE_TEST_DEVICES)
+    return TR.class_ratio(TR.class_downsample(tr, ratio=2.0, seed=42))
+
+
 @query("udf_score", S.with_classified("""
 SELECT event_id, pred_label, pred_confidence, prediction_binary, attack_type FROM classified"""))
 def q_udf_score(spark, sf):
@@ -783,6 +800,21 @@ def q_raw_csv_scan(spark, sf):
     return spark.table(name)
 
 
+@query("bulk_load", S.with_flows("SELECT count(*) AS row_count FROM flows"))
+def q_bulk_load(spark, sf):
+    """Create-if-absent table at a shared path, bulk-load the headered CSV
+    into it, verify the row count (= CSV lines minus header)."""
+    from tidewatch.sources import tables
+    base = _scratch(spark, "bulk")
+    tables.write_flow_csv(X.flows(spark, sf), f"{base}/csv", X.FIXTURE_LAYOUT)
+    name = "flows_" + base.rsplit("-", 1)[-1]
+    tables.create_table_at(spark, name, f"{base}/table", X.FIXTURE_LAYOUT)
+    tables.create_table_at(spark, name, f"{base}/table", X.FIXTURE_LAYOUT)  # idempotent
+    tables.append_into(tables.read_flow_csv(spark, f"{base}/csv", X.FIXTURE_LAYOUT), name)
+    spark.sql(f"REFRESH TABLE {name}")
+    return reports.row_count(spark.table(name))
+
+
 @query("containment_state_stream", S.with_alerts("""
 SELECT device_name, status, is_connected, last_attack_type, last_event_time FROM state""", _STATE))
 def q_containment_state_stream(spark, sf):

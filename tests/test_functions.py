@@ -85,3 +85,24 @@ def test_clock_and_rate(spark):
                                "t string, a double, n double")
     got = [tuple(r) for r in df.select(FF.clock_text("t"), FF.one_decimal_rate("a", "n")).collect()]
     assert got == [("13:04:05", 33.3), ("00:00:00", 0.0), ("00:00:00", 0.0), ("00:00:00", 0.3)]
+
+
+def test_underscore_names(spark):
+    from tidewatch.operators.parse import underscore_names
+    df = spark.createDataFrame([(1.0, 2.0)], "`MI_dir_L0.1_weight` double, `H_L0.1_mean` double")
+    assert underscore_names(df).columns == ["MI_dir_L0_1_weight", "H_L0_1_mean"]
+
+
+def test_class_map_and_stats_sources(spark, scratch):
+    from tidewatch.sources.tables import load_class_map
+    p = scratch("cmap")
+    spark.createDataFrame([('{"0": "Normal", "1": "Port Scan"}',)], "j string").coalesce(1).write.text(p)
+    assert load_class_map(spark, p) == {0: "Normal", 1: "Port Scan"}
+
+
+def test_split_rejects_partition_input(spark):
+    from tidewatch import fixtures as X
+    from tidewatch.operators.parse import split_rejects
+    msgs = X.corrupted_messages(spark, "/root/testdata/sf0.001")
+    ok, bad = split_rejects(msgs, X.FIXTURE_LAYOUT)
+    assert ok.count() + bad.count() == msgs.count() and bad.count() > 0

@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from tidewatch.functions.classes import status_display
 from tidewatch.functions.formats import timestamp_text
 from tidewatch.operators.joins import join_dimension
 from tidewatch.schema import (ALERT_SEVERITY, DEFAULT_ALERT_CONFIDENCE, STATUS_ISOLATED,
@@ -112,8 +113,9 @@ def device_list(registry: DataFrame, state: DataFrame) -> DataFrame:
     """Every registered device with its state; no events -> Normal, connected."""
     j = registry.join(state.select("device_name", "status", "is_connected", "last_attack_type"),
                       "device_name", "left")
-    return j.select("device_name", "ip", "type", "location",
-                    F.coalesce("status", F.lit(STATUS_NORMAL)).alias("status"),
+    status = F.coalesce("status", F.lit(STATUS_NORMAL))
+    return j.select("device_name", "ip", "type", "location", status.alias("status"),
+                    status_display(status).alias("status_label"),
                     F.coalesce("is_connected", F.lit(True)).alias("is_connected"),
                     "last_attack_type")
 

@@ -39,3 +39,9 @@ def split_rejects(msgs: DataFrame, layout, sep: str = ",", normalize: bool = Fal
     rejects = tagged.filter(F.col("reject_reason").isNotNull()).select(
         "kafka_timestamp", "row_hash", "payload", "reject_reason")
     return valid, rejects
+
+
+def underscore_names(df: DataFrame) -> DataFrame:
+    """Rename dotted dataset columns (``MI_dir_L0.1_weight``) to underscores
+    so that statistics can be looked up by name (F14).  One projection."""
+    return df.select(*[F.col(f"`{c}`").alias(c.replace(".", "_")) for c in df.columns])

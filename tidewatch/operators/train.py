@@ -68,3 +68,11 @@ def model_card(feature_cols: list[str], test_devices: list[str], ratio: float, s
              F.lit(f"{ratio:.2f}:1 attack:normal").alias("train_ratio"), F.lit(seed).alias("seed")]
     card = metrics.select(*facts, *metrics.columns)
     return card.withColumn("card_json", F.to_json(F.struct(*card.columns)))
+
+
+def class_ratio(df: DataFrame, label_col: str = "label") -> DataFrame:
+    """Attack and normal counts and the attack:normal ratio."""
+    c = df.agg(F.count_if(F.col(label_col) == ATTACK_LABEL).alias("attack_rows"),
+               F.count_if(F.col(label_col) == NORMAL_LABEL).alias("normal_rows"))
+    return c.withColumn("attack_to_normal",
+                        F.try_divide(F.col("attack_rows").cast("double"), F.col("normal_rows").cast("double")))

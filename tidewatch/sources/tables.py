@@ -29,9 +29,16 @@ def write_flow_csv(df: DataFrame, path: str, layout, header: bool = True) -> Non
     df.select(*[F.col(n) for n, _ in layout]).write.mode("overwrite").option("header", header).csv(path)
 
 
+def create_table_at(spark: SparkSession, name: str, path: str, layout) -> None:
+    """External Parquet table at a shared path (idempotent, K6)."""
+    cols = ", ".join(f"`{n}` {t.simpleString()}" for n, t in layout)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet LOCATION '{path}'")
+
+
 def append_into(df: DataFrame, table: str) -> None:
-    """Bulk load: append rows into a catalog table."""
-    df.write.mode("append").saveAsTable(table)
+    """Bulk load (S4): append rows into a catalog table, by column name."""
+    cols = df.sparkSession.table(table).columns
+    df.select(*cols).write.mode("append").insertInto(table)
 
 
 def create_if_absent(spark: SparkSession, database: str, tables: dict[str, str]) -> None:

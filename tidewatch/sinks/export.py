@@ -18,9 +18,9 @@ def export_frame(series: DataFrame, breakdown: bool = False) -> DataFrame:
     return series.select(*cols)
 
 
-def write_csv(df: DataFrame, path: str, single_file: bool = False) -> str:
-    out = df.coalesce(1) if single_file else df
-    out.write.mode("overwrite").option("header", True).csv(path)
+def write_csv(df: DataFrame, path: str) -> str:
+    """Headered CSV part files (each part carries the header)."""
+    df.write.mode("overwrite").option("header", True).csv(path)
     return path
 
 

@@ -162,8 +162,8 @@ SELECT 'f_value' AS feature, q1, q3, q3 - q1 AS iqr, q1 - 1.5 * (q3 - q1) AS low
 UNION ALL
 SELECT 'f_k', q1, q3, q3 - q1, q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1) FROM qk"""))
 def q_fit_iqr_bounds(spark, sf):
-    stats, flows = _stats_and_flows(spark, sf)
-    return fit.bounds_frame(flows, X.FIXTURE_FEATURES, stats.log_shifts)
+    flows = dedup.dedup_by_key(X.flows(spark, sf))
+    return fit.bounds_frame(flows, X.FIXTURE_FEATURES)
 
 
 _EMB = """

@@ -4,12 +4,17 @@ Streaming: event-time watermark + ``dropDuplicatesWithinWatermark`` keeps the
 state bounded (one short hash per key, expired by the watermark).
 Batch: ``dropDuplicatesWithinWatermark`` is rejected on batch frames, and plain
 ``dropDuplicates`` keeps an arbitrary row, so batch keeps the *earliest*
-arrival per key.  When every other column is parsed from the fingerprinted
-payload (``payload_determined``, the flow case) duplicates differ only in
-arrival time, so this is ``groupBy(key, fields...).agg(min(time))``: a hash
-aggregate with map-side partial aggregation (re-sent copies collapse before
-the shuffle; a hot device is no hot key because the key is the hash).
-Otherwise ``min(struct(time, ...))`` picks the earliest full row.
+arrival per key: ``groupBy(key).agg(min(struct(time, ...)))`` — partial
+aggregation before the shuffle (re-sent copies collapse map-side), and the
+key is a hash, so a hot device is never a hot key.
+
+``payload_determined=True`` groups by every column instead (a hash aggregate,
+valid only when all columns are parsed from the fingerprinted payload).  It
+is not the default: filters on values computed *after* dedup (predicted
+class, binary flag) then reference only grouping keys, Catalyst pushes them
+below the aggregate and inlines the whole parse -> transform -> score chain
+into the filter condition several times over.  The struct aggregate keeps
+those filters above the dedup.
 """
 from __future__ import annotations
 
@@ -19,7 +24,7 @@ from tidewatch.schema import DEDUP_DELAY
 
 
 def dedup_by_key(df: DataFrame, key: str = "row_hash", time_col: str = "kafka_timestamp",
-                 delay: str = DEDUP_DELAY, payload_determined: bool = True) -> DataFrame:
+                 delay: str = DEDUP_DELAY, payload_determined: bool = False) -> DataFrame:
     if df.isStreaming:
         return df.withWatermark(time_col, delay).dropDuplicatesWithinWatermark([key])
     others = [c for c in df.columns if c not in (key, time_col)]

@@ -20,13 +20,14 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidewatch.functions.classes import status_display
 from tidewatch.functions.formats import timestamp_text
-from tidewatch.operators.joins import join_dimension
+from tidewatch.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, join_dimension
 from tidewatch.schema import (ALERT_SEVERITY, DEFAULT_ALERT_CONFIDENCE, STATUS_ISOLATED,
                               STATUS_NORMAL, STATUS_UNDER_ATTACK)
 
 
 def alerts_from_classified(classified: DataFrame, registry: DataFrame | None = None,
-                           time_col: str = "kafka_timestamp") -> DataFrame:
+                           time_col: str = "kafka_timestamp",
+                           max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """One alert per flow predicted as attack (prediction_binary = 0).
 
     The id is derived from the flow fingerprint (stable across replays)
@@ -44,7 +45,7 @@ def alerts_from_classified(classified: DataFrame, registry: DataFrame | None = N
     )
     if registry is not None:
         a = join_dimension(a, registry.select("device_name", F.col("ip").alias("device_ip")),
-                           "device_name", "left")
+                           "device_name", "left", max_broadcast_rows)
     else:
         a = a.withColumn("device_ip", F.lit(None).cast("string"))
     return a.select("id", "device_name", "device_ip", "attack_type", "subtype", "confidence",
@@ -128,7 +129,8 @@ def enrich_device(flows: DataFrame, registry: DataFrame) -> DataFrame:
 def exclude_isolated(flows: DataFrame, state: DataFrame) -> DataFrame:
     """Drop flows of currently isolated (disconnected) devices."""
     isolated = state.filter(~F.col("is_connected")).select("device_name")
-    return join_dimension(flows, isolated, "device_name", "left_anti")
+    # derived by an aggregation: AQE decides the broadcast from the measured stage
+    return join_dimension(flows, isolated, "device_name", "left_anti", None)
 
 
 def known_device_split(alerts: DataFrame, registry: DataFrame) -> tuple[DataFrame, DataFrame]:

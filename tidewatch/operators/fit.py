@@ -1,11 +1,10 @@
 """Fit and apply preprocessing statistics.
 
-``fit_stats`` scans the data twice whatever the number of columns: pass 1 is
-one global aggregate of ``skewness`` and ``min`` for every column, pass 2 one
-global aggregate of ``percentile_approx`` (a mergeable sketch) for every
-transformed column.  Both are partial aggregates, so no task ever sees more
-than its own split plus small sketches; only the O(#columns) result reaches
-the driver, where it becomes literals in the plan (constant-folded).
+``fit_stats`` scans the data once whatever the number of columns: one global
+aggregate of ``count``, ``skewness``, ``min`` and ``percentile_approx`` (a
+mergeable sketch) for every column.  It is a partial aggregate, so no task
+ever sees more than its own split plus small sketches; only the O(#columns)
+result reaches the driver, where it becomes literals in the plan.
 
 Parameters the reference does not state, chosen here: skew threshold 1.0 on
 ``|skewness|`` (population form), whisker factor 1.5, shift ``max(0, -min)``,
@@ -45,61 +44,71 @@ def _idx(cols):
     return [(i, c) for i, c in enumerate(cols)]
 
 
-def skew_frame(df: DataFrame, cols: list[str], threshold: float = 1.0) -> DataFrame:
-    """One row per column: feature, n, skewness, min_value, high_skew, shift."""
-    aggs = []
-    for i, c in _idx(cols):
-        x = F.col(c).cast("double")
-        aggs += [F.skewness(x).alias(f"s{i}"), F.min(x).alias(f"m{i}"), F.count(x).alias(f"n{i}")]
-    wide = df.agg(*aggs)
-    rows = F.explode(F.array(*[
-        F.struct(F.lit(c).alias("feature"), F.col(f"n{i}").alias("n"),
-                 F.col(f"s{i}").alias("skewness"), F.col(f"m{i}").alias("min_value"))
-        for i, c in _idx(cols)])).alias("r")
-    out = wide.select(rows).select("r.*")
-    return out.select(
-        "feature", "n", "skewness", "min_value",
-        F.coalesce(F.abs(F.col("skewness")) > F.lit(threshold), F.lit(False)).alias("high_skew"),
-        # "+ 0.0" turns a -0.0 shift into 0.0
-        (F.greatest(F.lit(0.0), F.coalesce(-F.col("min_value"), F.lit(0.0))) + F.lit(0.0)).alias("shift"),
-    )
-
-
-def bounds_frame(df: DataFrame, cols: list[str], log_shifts: dict[str, float] | None = None,
-                 whisker: float = 1.5, accuracy: int = 100000) -> DataFrame:
-    """One row per column: feature, q1, q3, iqr, lower, upper (after the log
-    step for columns in ``log_shifts``)."""
-    log_shifts = log_shifts or {}
+def fit_frame(df: DataFrame, cols: list[str], threshold: float = 1.0, whisker: float = 1.5,
+              accuracy: int = 100000, quantiles: bool = True) -> DataFrame:
+    """All statistics in ONE pass: a single wide aggregate of ``count``,
+    ``skewness``, ``min`` and ``percentile_approx`` per column.
+
+    The log step ``log1p(x + shift)`` is strictly increasing and
+    ``percentile_approx`` returns actual data values, so the quartiles of the
+    transformed column are exactly ``log1p(q + shift)`` of the raw quartiles —
+    no second pass over transformed values is needed.
+
+    One row per column: feature, n, skewness, min_value, high_skew, shift,
+    q1, q3, iqr, lower, upper (quartiles and bounds in log space for
+    high-skew columns)."""
     qs = F.array(F.lit(0.25), F.lit(0.75))
     aggs = []
     for i, c in _idx(cols):
-        x = log_shift(c, log_shifts[c]) if c in log_shifts else F.col(c).cast("double")
-        aggs.append(F.percentile_approx(x, qs, accuracy).alias(f"q{i}"))
+        x = F.col(c).cast("double")
+        q = F.percentile_approx(x, qs, accuracy) if quantiles else F.lit(None).cast("array<double>")
+        aggs += [F.count(x).alias(f"n{i}"), F.skewness(x).alias(f"s{i}"), F.min(x).alias(f"m{i}"),
+                 q.alias(f"q{i}")]
     wide = df.agg(*aggs)
     rows = F.explode(F.array(*[
-        F.struct(F.lit(c).alias("feature"), F.get(F.col(f"q{i}"), 0).alias("q1"),
-                 F.get(F.col(f"q{i}"), 1).alias("q3"))
+        F.struct(F.lit(c).alias("feature"), F.col(f"n{i}").alias("n"), F.col(f"s{i}").alias("skewness"),
+                 F.col(f"m{i}").alias("min_value"), F.get(F.col(f"q{i}"), 0).alias("q1_raw"),
+                 F.get(F.col(f"q{i}"), 1).alias("q3_raw"))
         for i, c in _idx(cols)])).alias("r")
-    out = wide.select(rows).select("r.*").withColumn("iqr", F.col("q3") - F.col("q1"))
+    r = wide.select(rows).select("r.*")
+    high = F.coalesce(F.abs(F.col("skewness")) > F.lit(threshold), F.lit(False))
+    # "+ 0.0" turns a -0.0 shift into 0.0
+    shift = F.greatest(F.lit(0.0), F.coalesce(-F.col("min_value"), F.lit(0.0))) + F.lit(0.0)
+    r = r.select("feature", "n", "skewness", "min_value", high.alias("high_skew"), shift.alias("shift"),
+                 "q1_raw", "q3_raw")
+    q1 = F.when(F.col("high_skew"), F.log1p(F.col("q1_raw") + F.col("shift"))).otherwise(F.col("q1_raw"))
+    q3 = F.when(F.col("high_skew"), F.log1p(F.col("q3_raw") + F.col("shift"))).otherwise(F.col("q3_raw"))
+    r = r.select("feature", "n", "skewness", "min_value", "high_skew", "shift", q1.alias("q1"), q3.alias("q3"))
     w = F.lit(float(whisker))
-    return out.select("feature", "q1", "q3", "iqr",
-                      (F.col("q1") - w * F.col("iqr")).alias("lower"),
-                      (F.col("q3") + w * F.col("iqr")).alias("upper"))
+    iqr = F.col("q3") - F.col("q1")
+    return r.select("*", iqr.alias("iqr"), (F.col("q1") - w * iqr).alias("lower"),
+                    (F.col("q3") + w * iqr).alias("upper"))
+
+
+def skew_frame(df: DataFrame, cols: list[str], threshold: float = 1.0) -> DataFrame:
+    """One row per column: feature, n, skewness, min_value, high_skew, shift."""
+    return fit_frame(df, cols, threshold, quantiles=False).select(
+        "feature", "n", "skewness", "min_value", "high_skew", "shift")
+
+
+def bounds_frame(df: DataFrame, cols: list[str], threshold: float = 1.0, whisker: float = 1.5,
+                 accuracy: int = 100000) -> DataFrame:
+    """One row per column: feature, q1, q3, iqr, lower, upper (log space for
+    high-skew columns)."""
+    return fit_frame(df, cols, threshold, whisker, accuracy).select("feature", "q1", "q3", "iqr", "lower", "upper")
 
 
 def fit_stats(df: DataFrame, cols: list[str], threshold: float = 1.0, whisker: float = 1.5,
               accuracy: int = 100000) -> PrepStats:
-    """Fit the high-skew list, log shifts and IQR bounds (zero-IQR columns are
-    left out of the bounds, so they stay uncapped)."""
-    df = df.select(*cols)
-    sk = skew_frame(df, cols, threshold).collect()
-    high = [r["feature"] for r in sk if r["high_skew"]]
-    shifts = {r["feature"]: float(r["shift"]) for r in sk if r["high_skew"]}
-    bd = bounds_frame(df, cols, shifts, whisker, accuracy).collect()
+    """Fit the high-skew list, log shifts and IQR bounds in one pass (zero-IQR
+    columns are left out of the bounds, so they stay uncapped).  Only the
+    O(#columns) result reaches the driver."""
+    rows = fit_frame(df.select(*cols), cols, threshold, whisker, accuracy).collect()
+    high = [r["feature"] for r in rows if r["high_skew"]]
+    shifts = {r["feature"]: float(r["shift"]) for r in rows if r["high_skew"]}
     bounds = {r["feature"]: {"lower": float(r["lower"]), "upper": float(r["upper"])}
-              for r in bd if r["iqr"] is not None and r["iqr"] != 0}
-    return PrepStats(feature_cols=list(cols), high_skew_cols=high, log_shifts=shifts,
-                     iqr_bounds=bounds)
+              for r in rows if r["iqr"] is not None and r["iqr"] != 0}
+    return PrepStats(feature_cols=list(cols), high_skew_cols=high, log_shifts=shifts, iqr_bounds=bounds)
 
 
 def prepare(df: DataFrame, stats: PrepStats) -> DataFrame:

@@ -1,14 +1,18 @@
 """Dimension joins with a checked broadcast.
 
-A dimension side (device registry, isolated set) is broadcast only after a
-bounded count proves it has at most ``max_broadcast_rows`` rows; otherwise
-the join is left to Catalyst/AQE (sort-merge or shuffled hash join, with AQE
-skew-join splitting a hot device's partition)."""
+A base dimension table (device registry) is broadcast only after a bounded
+count proves it has at most ``max_broadcast_rows`` rows.  For a dimension
+*derived* by a large aggregation (e.g. the isolated-device set) pass
+``max_broadcast_rows=None``: a separate count would recompute that
+aggregation, while AQE measures the finished shuffle stage and switches to a
+broadcast join at run time when it is small (``autoBroadcastJoinThreshold``).
+Without a broadcast the join is a sort-merge/shuffled-hash join, and AQE's
+skew-join handling splits the partition of a hot device."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+DEFAULT_MAX_BROADCAST_ROWS = 500_000
 
 
 def is_bounded(df: DataFrame, max_rows: int) -> bool:
@@ -16,7 +20,12 @@ def is_bounded(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+def checked_broadcast(dim: DataFrame, max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """``dim`` with a broadcast hint when it is proven small, else unchanged."""
+    return F.broadcast(dim) if is_bounded(dim, max_broadcast_rows) else dim
+
+
 def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "left",
-                   max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    side = F.broadcast(dim) if is_bounded(dim, max_broadcast_rows) else dim
+                   max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    side = dim if max_broadcast_rows is None else checked_broadcast(dim, max_broadcast_rows)
     return fact.join(side, on=on, how=how)

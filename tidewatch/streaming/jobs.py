@@ -62,6 +62,9 @@ def classification_stream(msgs: DataFrame, layout, stats: PrepStats, scorer, cla
     store, the index and the alert log — all written from executors and
     idempotent per batch id (nothing is collected to the driver)."""
     classified = classify(prepared_flows(msgs, layout, stats), scorer, class_map)
+    if registry is not None:  # size checked once per job, not once per micro-batch
+        from tidewatch.operators.joins import checked_broadcast
+        registry = checked_broadcast(registry)
 
     sinks = []
     if "archive" in paths:
@@ -71,8 +74,8 @@ def classification_stream(msgs: DataFrame, layout, stats: PrepStats, scorer, cla
     if "index" in paths:
         sinks.append(lambda df, b: index.write_index(index.index_documents(df), paths["index"], b))
     if "alerts" in paths:
-        sinks.append(lambda df, b: alert_log.write_alerts(D.alerts_from_classified(df, registry),
-                                                          paths["alerts"], b))
+        sinks.append(lambda df, b: alert_log.write_alerts(
+            D.alerts_from_classified(df, registry, max_broadcast_rows=None), paths["alerts"], b))
 
     def write_batch(batch_df: DataFrame, batch_id: int) -> None:
         fanout(batch_df, batch_id, sinks)

@@ -45,6 +45,16 @@ def parse_fields(value, layout, sep: str = ",", normalize: bool = False) -> list
     return out
 
 
+def bind_once(value: Column, fn) -> Column:
+    """``fn(value)`` with ``value`` evaluated once per row.
+
+    Filters are pushed below projections by substituting aliases, and filter
+    conditions get no common-subexpression elimination, so a condition that
+    uses one split payload fifteen times would split it fifteen times.  A
+    one-element ``transform`` binds the value to a lambda variable instead."""
+    return F.get(F.transform(F.array(value), fn), 0)
+
+
 def reject_reason(value, layout, sep: str = ",", device_field: str = "device_name",
                   normalize: bool = False) -> Column:
     """Why a payload cannot become a valid flow, or NULL when it can.
@@ -53,21 +63,23 @@ def reject_reason(value, layout, sep: str = ",", device_field: str = "device_nam
     field that does not parse; ``null_device``: empty device name;
     ``null_payload``: no payload at all.
     """
-    text = payload_text(value, normalize)
-    parts = split_payload(value, sep, normalize)
     n = len(layout)
-    bad_num = F.lit(False)
-    for i, (_, dtype) in enumerate(layout):
-        if isinstance(dtype, (T.StringType,)):
-            continue
-        raw = F.trim(F.get(parts, i))
-        bad_num = bad_num | (raw.isNotNull() & (raw != "") & raw.try_cast(dtype).isNull())
     dev_idx = [i for i, (nm, _) in enumerate(layout) if nm == device_field]
-    null_dev = F.lit(False)
-    if dev_idx:
-        d = F.get(parts, dev_idx[0])
-        null_dev = d.isNull() | (F.trim(d) == "")
-    return (F.when(text.isNull(), F.lit("null_payload"))
-            .when(F.size(parts) != n, F.lit("arity"))
-            .when(bad_num, F.lit("bad_number"))
-            .when(null_dev, F.lit("null_device")))
+
+    def reason(parts: Column) -> Column:
+        bad_num = F.lit(False)
+        for i, (_, dtype) in enumerate(layout):
+            if isinstance(dtype, T.StringType):
+                continue
+            raw = F.trim(F.get(parts, i))
+            bad_num = bad_num | (raw.isNotNull() & (raw != "") & raw.try_cast(dtype).isNull())
+        null_dev = F.lit(False)
+        if dev_idx:
+            d = F.get(parts, dev_idx[0])
+            null_dev = d.isNull() | (F.trim(d) == "")
+        return (F.when(parts.isNull(), F.lit("null_payload"))
+                .when(F.size(parts) != n, F.lit("arity"))
+                .when(bad_num, F.lit("bad_number"))
+                .when(null_dev, F.lit("null_device")))
+
+    return bind_once(split_payload(value, sep, normalize), reason)

@@ -585,6 +585,20 @@ def q_eval_ap(spark, sf):
     return a.unionByName(n)
 
 
+@query("eval_binary_metrics", S.with_flows("""
+SELECT CAST(sum(pos * (cn - 0.5 * neg)) AS DOUBLE) / (sum(pos) * sum(neg)) AS roc_auc,
+       sum(pos * (tp - cp + pos) / ((tp - cp + pos) + (tn - cn + neg))) / sum(pos) AS ap_normal,
+       sum(neg * cn / (cn + cp)) / sum(neg) AS ap_attack
+FROM (SELECT *, sum(pos) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cp,
+             sum(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cn,
+             sum(pos) OVER () AS tp, sum(neg) OVER () AS tn
+      FROM (SELECT f_value AS score, CAST(count_if(label = 1) AS DOUBLE) AS pos,
+                   CAST(count_if(label <> 1) AS DOUBLE) AS neg FROM flows GROUP BY f_value))"""))
+def q_eval_binary_metrics(spark, sf):
+    m = M.binary_metrics(X.flows(spark, sf), "f_value", "label", positive=1)
+    return m.select("roc_auc", F.col("ap_positive").alias("ap_normal"), F.col("ap_negative").alias("ap_attack"))
+
+
 @query("device_split", S.with_flows("""
 SELECT event_id, device_name, label,
        CASE WHEN device_name IN ('device_3', 'device_7') THEN 'test' ELSE 'train' END AS split FROM flows"""))
@@ -641,16 +655,21 @@ def q_rf_train_score(spark, sf):
     prepared = fit.prepare(flows, stats)
     tr, te = TR.device_split(prepared, X.FIXTURE_TEST_DEVICES)
     model = TR.train_random_forest(TR.class_downsample(tr), X.FIXTURE_FEATURES)
-    scored = SC.apply_prediction(SC.score_ml(te, model, X.FIXTURE_FEATURES), X.FIXTURE_CLASS_MAP)
-    return scored.select("event_id", "device_name", "label", "pred_label", "pred_confidence", "prediction_binary")
+    scored = SC.score_ml(te, model, X.FIXTURE_FEATURES).withColumn("p_normal", F.get("proba", 1))
+    scored = SC.apply_prediction(scored, X.FIXTURE_CLASS_MAP)
+    return scored.select("event_id", "device_name", "label", "pred_label", "pred_confidence",
+                         "prediction_binary", "p_normal")
 
 
 @query("model_card")
 def q_model_card(spark, sf):
     """Card of the random forest: fixed facts + held-out metrics (rows-only)."""
     scored = q_rf_train_score(spark, sf)
-    conf = M.confusion(scored, "label", "prediction_binary", positive=0)
-    return TR.model_card(X.FIXTURE_FEATURES, X.FIXTURE_TEST_DEVICES, 2.0, 42, conf)
+    conf = M.confusion(scored, "label", "prediction_binary", positive=0).select(
+        "accuracy", "precision", "recall", "f1")
+    ranks = M.binary_metrics(scored, "p_normal", "label", positive=1).select(
+        F.col("ap_negative").alias("ap_attack"), F.col("ap_positive").alias("ap_normal"), "roc_auc")
+    return TR.model_card(X.FIXTURE_FEATURES, X.FIXTURE_TEST_DEVICES, 2.0, 42, TR.combine_metrics([conf, ranks]))
 
 
 # --------------------------------------------------------------------------

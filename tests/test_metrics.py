@@ -59,3 +59,18 @@ def test_fixture_auc_value(spark):
     from tidewatch import fixtures as X
     auc = M.roc_auc(X.flows(spark, "/root/testdata/sf0.01"), "f_value", "label", positive=1).first().roc_auc
     assert auc == pytest.approx(0.5018318427655547, abs=1e-12)
+
+
+def brute_ap_negative(rows):
+    return brute_ap([(-s, 1 - y) for s, y in rows])
+
+
+@pytest.mark.parametrize("seed", [4, 5])
+def test_binary_metrics_one_pass(spark, seed):
+    rnd = random.Random(seed)
+    rows = [(float(rnd.randint(0, 40)) / 4, rnd.randint(0, 1)) for _ in range(250)]
+    df = spark.createDataFrame(rows, "s double, y int")
+    r = M.binary_metrics(df, "s", "y", positive=1, n_buckets=6).first()
+    assert r.roc_auc == pytest.approx(brute_auc(rows), abs=1e-12)
+    assert r.ap_positive == pytest.approx(brute_ap(rows), abs=1e-12)
+    assert r.ap_negative == pytest.approx(brute_ap_negative(rows), abs=1e-12)

@@ -41,23 +41,27 @@ def score_counts(df: DataFrame, score_col: str, label_col: str, positive: int) -
 
 
 def running_sums(counts: DataFrame, order_col: str, value_cols: list[str],
-                 n_buckets: int = 64) -> DataFrame:
+                 n_buckets: int = 64, totals: bool = False) -> DataFrame:
     """Adds ``cum_<v>`` = sum of ``v`` over rows with ``order_col`` <= this
-    row's (one row per distinct ``order_col``)."""
+    row's (one row per distinct ``order_col``); with ``totals`` also
+    ``tot_<v>``, the grand total (taken from the bucket table, no extra pass)."""
     from pyspark.ml.feature import Bucketizer
     probs = [i / n_buckets for i in range(1, n_buckets)]
     qs = counts.agg(F.percentile_approx(order_col, probs, 10000).alias("q")).first()["q"] or []
     splits = [float("-inf")] + sorted({float(q) for q in qs}) + [float("inf")]
     bz = Bucketizer(splits=splits, inputCol=order_col, outputCol="_b", handleInvalid="keep")
     b = bz.transform(counts)
-    totals = b.groupBy("_b").agg(*[F.sum(v).alias(f"_t_{v}") for v in value_cols])
+    bucket_totals = b.groupBy("_b").agg(*[F.sum(v).alias(f"_t_{v}") for v in value_cols])
     wt = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)  # <= n_buckets rows
-    offsets = totals.select("_b", *[F.coalesce(F.sum(f"_t_{v}").over(wt), F.lit(0)).alias(f"_o_{v}")
-                                    for v in value_cols])
+    wall = Window.partitionBy(F.lit(0))  # over the bucket table only (<= n_buckets rows)
+    offsets = bucket_totals.select(
+        "_b", *[F.coalesce(F.sum(f"_t_{v}").over(wt), F.lit(0)).alias(f"_o_{v}") for v in value_cols],
+        *[F.sum(f"_t_{v}").over(wall).alias(f"tot_{v}") for v in value_cols])
     b = b.join(F.broadcast(offsets), "_b")
     w = Window.partitionBy("_b").orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
+    extra = [F.col(f"tot_{v}") for v in value_cols] if totals else []
     return b.select(*counts.columns,
-                    *[(F.sum(v).over(w) + F.col(f"_o_{v}")).alias(f"cum_{v}") for v in value_cols])
+                    *[(F.sum(v).over(w) + F.col(f"_o_{v}")).alias(f"cum_{v}") for v in value_cols], *extra)
 
 
 def roc_auc(df: DataFrame, score_col: str, label_col: str, positive: int = 1,
@@ -76,3 +80,27 @@ def average_precision(df: DataFrame, score_col: str, label_col: str, positive: i
     prec = F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))
     agg = c.agg(F.sum(F.col("pos") * prec).alias("s"), F.sum("pos").alias("p"))
     return agg.select(F.try_divide(F.col("s"), F.col("p").cast("double")).alias("average_precision"))
+
+
+def binary_metrics(df: DataFrame, score_col: str, label_col: str, positive: int = 1,
+                   n_buckets: int = 64) -> DataFrame:
+    """ROC-AUC and the average precision of both classes from ONE pass of
+    running sums in ascending score order (higher score = more ``positive``).
+
+    With P/N the class totals and cum_* the counts at scores <= s:
+    AUC = sum pos * (cum_neg - neg/2) / (P*N);
+    AP(positive) thresholds from the top: TP = P - cum_pos + pos, FP = N - cum_neg + neg;
+    AP(other class, score negated) thresholds from the bottom: TP = cum_neg, FP = cum_pos."""
+    c = running_sums(score_counts(df, score_col, label_col, positive), "score", ["pos", "neg"],
+                     n_buckets, totals=True)
+    pos, neg = F.col("pos").cast("double"), F.col("neg").cast("double")
+    cp, cn = F.col("cum_pos").cast("double"), F.col("cum_neg").cast("double")
+    tp_hi = F.col("tot_pos") - cp + pos
+    fp_hi = F.col("tot_neg") - cn + neg
+    agg = c.agg(F.sum(pos * (cn - 0.5 * neg)).alias("u"),
+                F.sum(pos * tp_hi / (tp_hi + fp_hi)).alias("ap_p"),
+                F.sum(neg * cn / (cn + cp)).alias("ap_n"),
+                F.sum(pos).alias("p"), F.sum(neg).alias("n"))
+    return agg.select(F.try_divide(F.col("u"), F.col("p") * F.col("n")).alias("roc_auc"),
+                      F.try_divide(F.col("ap_p"), F.col("p")).alias("ap_positive"),
+                      F.try_divide(F.col("ap_n"), F.col("n")).alias("ap_negative"))

@@ -76,3 +76,18 @@ def class_ratio(df: DataFrame, label_col: str = "label") -> DataFrame:
                F.count_if(F.col(label_col) == NORMAL_LABEL).alias("normal_rows"))
     return c.withColumn("attack_to_normal",
                         F.try_divide(F.col("attack_rows").cast("double"), F.col("normal_rows").cast("double")))
+
+
+def combine_metrics(frames: list[DataFrame]) -> DataFrame:
+    """Merge one-row metric frames into one row without a join: unpivot each
+    to (metric, value), union, and fold back with one aggregate."""
+    names, longs = [], []
+    for f in frames:
+        names += f.columns
+        longs.append(f.select(F.explode(F.array(*[
+            F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value")) for c in f.columns
+        ])).alias("m")).select("m.*"))
+    u = longs[0]
+    for x in longs[1:]:
+        u = u.unionByName(x)
+    return u.agg(*[F.max(F.when(F.col("metric") == n, F.col("value"))).alias(n) for n in names])

@@ -83,3 +83,38 @@ def test_pandas_scorer_equals_jvm_scorer(spark):
         b.select("row_hash", F.col("pred_confidence").alias("y")), "row_hash")
     assert diff.filter(F.abs(F.col("x") - F.col("y")) > 1e-12).count() == 0
     random.seed(0)
+
+
+def test_keyed_record_null_text_becomes_empty(spark):
+    import datetime as dt
+    df = spark.createDataFrame(
+        [("dev", None, None, None, dt.datetime(2024, 1, 1), "ab" * 32, 0, 1.5)],
+        "device_name string, attack string, attack_subtype string, label int, kafka_timestamp timestamp, "
+        "row_hash string, prediction_binary int, f_value double")
+    r = keyed.keyed_records(df, ["f_value"]).first()
+    assert (r.cf.attack, r.cf.attack_subtype, r.cf.original_label) == ("", "", None)
+    assert r.features == {"f_value": 1.5} and r.row_key == "dev#2024-01-01T00:00:00#abababab"
+
+
+def test_archive_view_sees_new_batches(spark, scratch):
+    from tidewatch.operators.parse import parse_messages
+    from tidewatch.sinks import archive
+    path = scratch("view")
+    df = parse_messages(X.messages(spark, SF), X.FIXTURE_LAYOUT)
+    archive.write_archive(df.limit(10), path, 0)
+    archive.register_archive_view(spark, path, "arch_view_test")
+    assert spark.table("arch_view_test").count() == 10
+    archive.write_archive(df.limit(4), path, 1)
+    archive.register_archive_view(spark, path, "arch_view_test")
+    assert spark.sql("SELECT count(*) AS n FROM arch_view_test").first().n == 14
+    assert archive.read_archive(spark, path).count() == 14
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.floats(0, 1e6), min_size=2, max_size=30), st.floats(0, 100))
+def test_log_shift_monotone(spark, xs, shift):
+    from tidewatch.functions.transform import log_shift
+    df = spark.createDataFrame([(x,) for x in xs], "x double")
+    got = sorted((r.x, r.y) for r in df.select("x", log_shift("x", shift).alias("y")).collect())
+    ys = [y for _, y in got]
+    assert ys == sorted(ys)

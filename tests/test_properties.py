@@ -118,3 +118,15 @@ def test_log_shift_monotone(spark, xs, shift):
     got = sorted((r.x, r.y) for r in df.select("x", log_shift("x", shift).alias("y")).collect())
     ys = [y for _, y in got]
     assert ys == sorted(ys)
+
+
+def test_compaction_keeps_latest_view(spark, scratch):
+    from tidewatch.operators.merge import compact
+    src, dst = scratch("src"), scratch("dst")
+    keyed_rows = [("k1", 1, "a"), ("k2", 1, "b")]
+    spark.createDataFrame(keyed_rows, "k string, batch_id long, v string").write.partitionBy("batch_id").parquet(src)
+    spark.createDataFrame([("k1", 2, "c")], "k string, batch_id long, v string").write.mode("append") \
+        .partitionBy("batch_id").parquet(src)
+    assert compact(spark, src, dst, "k", ["batch_id"]) == 2
+    got = sorted((r.k, r.v) for r in spark.read.parquet(dst).collect())
+    assert got == [("k1", "c"), ("k2", "b")]

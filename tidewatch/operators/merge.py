@@ -6,7 +6,7 @@ aggregate with partial aggregation, so re-writing a batch or reading batches
 in any order yields the same view."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidewatch.operators.topk import latest_per_key
 
@@ -18,3 +18,16 @@ def latest_by_key(df: DataFrame, key: str, order_cols: list[str]) -> DataFrame:
 def upsert(current: DataFrame, updates: DataFrame, key: str, order_cols: list[str]) -> DataFrame:
     """Merge ``updates`` into ``current`` (same columns): newest version wins."""
     return latest_per_key(current.unionByName(updates), key, order_cols)
+
+
+def compact(spark: SparkSession, src: str, dst: str, key: str, order_cols: list[str],
+            batch_col: str = "batch_id") -> int:
+    """Periodic compaction of a per-batch keyed folder: write the latest
+    version of every key to a *new* folder ``dst`` as one batch (keeping the
+    newest batch id), so that readers switch paths atomically and later reads
+    scan one version per key instead of every batch.  Returns that batch id."""
+    raw = spark.read.parquet(src)
+    top = raw.agg(F.max(batch_col).alias("b")).first()["b"]
+    latest = latest_per_key(raw, key, order_cols).withColumn(batch_col, F.lit(top).cast("long"))
+    latest.sortWithinPartitions(key).write.mode("errorifexists").partitionBy(batch_col).parquet(dst)
+    return int(top)

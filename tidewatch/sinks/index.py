@@ -21,6 +21,7 @@ def index_documents(classified: DataFrame, time_col: str = "kafka_timestamp") ->
 
 def write_index(docs: DataFrame, path: str, batch_id: int) -> None:
     (docs.withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
+         .sortWithinPartitions("doc_id")
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch_id").parquet(path))
 

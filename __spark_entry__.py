@@ -642,8 +642,8 @@ SELECT event_id, pred_label, pred_confidence, prediction_binary, attack_type FRO
 def q_udf_score(spark, sf):
     from tidewatch.operators.fit import prepare
     stats, flows = _stats_and_flows(spark, sf)
-    scored = SC.score_pandas(prepare(flows, stats), C.FixtureLogisticModel, X.FIXTURE_FEATURES)
-    out = SC.apply_prediction(scored, X.FIXTURE_CLASS_MAP)
+    out = SC.score_pandas(prepare(flows, stats), C.FixtureLogisticModel, X.FIXTURE_FEATURES,
+                          X.FIXTURE_CLASS_MAP)
     return out.select("event_id", "pred_label", "pred_confidence", "prediction_binary", "attack_type")
 
 

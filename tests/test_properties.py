@@ -75,8 +75,7 @@ def test_pandas_scorer_equals_jvm_scorer(spark):
     stats = C.fixture_stats(spark, SF)
     prepared = prepare(dedup.dedup_by_key(X.flows(spark, SF)), stats)
     a = SC.apply_prediction(C.fixture_scorer(prepared), X.FIXTURE_CLASS_MAP)
-    b = SC.apply_prediction(SC.score_pandas(prepared, C.FixtureLogisticModel, X.FIXTURE_FEATURES),
-                            X.FIXTURE_CLASS_MAP)
+    b = SC.score_pandas(prepared, C.FixtureLogisticModel, X.FIXTURE_FEATURES, X.FIXTURE_CLASS_MAP)
     cols = ["row_hash", "pred_label", "prediction_binary"]
     assert a.select(*cols).exceptAll(b.select(*cols)).count() == 0
     diff = a.select("row_hash", F.col("pred_confidence").alias("x")).join(
@@ -130,3 +129,16 @@ def test_compaction_keeps_latest_view(spark, scratch):
     assert compact(spark, src, dst, "k", ["batch_id"]) == 2
     got = sorted((r.k, r.v) for r in spark.read.parquet(dst).collect())
     assert got == [("k1", "c"), ("k2", "b")]
+
+
+class _TieModel:
+    def predict_proba(self, x):
+        import numpy as np
+        return np.tile([0.2, 0.4, 0.4], (len(x), 1))
+
+
+def test_pandas_scorer_ties_lowest_index(spark):
+    df = spark.createDataFrame([(1.0,), (2.0,)], "a double")
+    r = SC.score_pandas(df, _TieModel, ["a"], {0: "Normal", 1: "Port Scan"}).collect()
+    assert {(x.pred_label, x.pred_confidence, x.prediction_binary, x.attack_type) for x in r} == \
+        {(1, 0.4, 0, "Port Scan")}

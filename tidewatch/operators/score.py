@@ -17,6 +17,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from typing import Tuple
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
@@ -64,19 +65,35 @@ def score_ml(df: DataFrame, model, feature_cols: list[str]) -> DataFrame:
     return scored.select(*df.columns, vector_to_array("probability").alias("proba"))
 
 
-def score_pandas(df: DataFrame, load_model: Callable[[], object], feature_cols: list[str]) -> DataFrame:
-    """Score with a foreign model exposing ``predict_proba(DataFrame)``.
+PRED_SCHEMA = T.StructType([T.StructField("pred_label", T.IntegerType()),
+                            T.StructField("pred_confidence", T.DoubleType())])
 
-    ``load_model`` runs once per Python worker process (iterator pandas UDF),
-    so a large model is not shipped per batch.  Arrow batches in and out."""
 
-    @F.pandas_udf(T.ArrayType(T.DoubleType()))
-    def _proba(batches: Iterator[Tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+def score_pandas(df: DataFrame, load_model: Callable[[], object], feature_cols: list[str],
+                 class_map: dict[int, str]) -> DataFrame:
+    """Score with a foreign model exposing ``predict_proba(DataFrame)``.
+
+    N feature columns in, struct ``(pred_label, pred_confidence)`` out, as an
+    iterator pandas UDF: ``load_model`` runs once per Python worker (not per
+    batch), Arrow batches in and out, and argmax/max are numpy vector ops over
+    the whole batch (``argmax`` takes the first maximum, so ties go to the
+    lowest class index as in the JVM path).  Adds ``prediction_binary`` and
+    ``attack_type`` like ``apply_prediction``."""
+
+    @F.pandas_udf(PRED_SCHEMA)
+    def _predict(batches: Iterator[Tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
         model = load_model()
         for cols in batches:
             x = pd.concat(list(cols), axis=1)
             x.columns = feature_cols
-            p = model.predict_proba(x)
-            yield pd.Series([list(map(float, row)) for row in p])
-
-    return df.withColumn("proba", _proba(*[F.col(c) for c in feature_cols]))
+            p = np.asarray(model.predict_proba(x), dtype="float64")
+            yield pd.DataFrame({"pred_label": p.argmax(axis=1).astype("int32"),
+                                "pred_confidence": p.max(axis=1)})
+
+    pred = _predict(*[F.col(c) for c in feature_cols])
+    out = df.withColumn("_pred", pred)
+    idx = F.col("_pred.pred_label")
+    return out.select(*df.columns, idx.alias("pred_label"),
+                      F.col("_pred.pred_confidence").alias("pred_confidence"),
+                      binary_prediction(idx, class_map).alias("prediction_binary"),
+                      decode_class(idx, class_map).alias("attack_type"))

@@ -131,13 +131,12 @@ def test_compaction_keeps_latest_view(spark, scratch):
     assert got == [("k1", "c"), ("k2", "b")]
 
 
-class _TieModel:
-    def predict_proba(self, x):
-        import numpy as np
-        return np.tile([0.2, 0.4, 0.4], (len(x), 1))
-
-
 def test_pandas_scorer_ties_lowest_index(spark):
+    class _TieModel:  # local class: shipped to the Python workers by value
+        def predict_proba(self, x):
+            import numpy as np
+            return np.tile([0.2, 0.4, 0.4], (len(x), 1))
+
     df = spark.createDataFrame([(1.0,), (2.0,)], "a double")
     r = SC.score_pandas(df, _TieModel, ["a"], {0: "Normal", 1: "Port Scan"}).collect()
     assert {(x.pred_label, x.pred_confidence, x.prediction_binary, x.attack_type) for x in r} == \

@@ -84,6 +84,7 @@ def score_pandas(df: DataFrame, load_model: Callable[[], object], feature_cols:
     def _predict(batches: Iterator[Tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
         model = load_model()
         for cols in batches:
+            cols = cols if isinstance(cols, tuple) else (cols,)  # one feature -> bare Series
             x = pd.concat(list(cols), axis=1)
             x.columns = feature_cols
             p = np.asarray(model.predict_proba(x), dtype="float64")

@@ -78,14 +78,21 @@ def classification_stream(msgs: DataFrame, layout, stats: PrepStats, scorer, cla
             D.alerts_from_classified(df, registry, max_broadcast_rows=None), paths["alerts"], b))
 
     def write_batch(batch_df: DataFrame, batch_id: int) -> None:
-        fanout(batch_df, batch_id, sinks)
+        fanout(without_event_time_marks(batch_df), batch_id, sinks)
 
     return _start(classified.writeStream.foreachBatch(write_batch), checkpoint, trigger)
 
 
+def without_event_time_marks(df: DataFrame) -> DataFrame:
+    """Drop the watermark marker that Spark keeps in column metadata, so the
+    files a stream writes do not make later readers inherit an event-time
+    column (and its late-row filter) they never declared."""
+    return df.select(*[F.col(f"`{c}`").alias(c, metadata={}) for c in df.columns])
+
+
 def _upsert_sink(path: str):
     def write(batch_df: DataFrame, batch_id: int) -> None:
-        (batch_df.withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
+        (without_event_time_marks(batch_df).withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
                  .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                  .partitionBy("batch_id").parquet(path))
     return write

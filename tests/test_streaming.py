@@ -123,3 +123,16 @@ def test_multibatch_fanout_restart_and_replay(spark, scratch):
     assert stream_state.select(*cols).exceptAll(batch_state.select(*cols)).count() == 0
     assert stream_state.count() == batch_state.count()
     msgs.unpersist()
+
+
+def test_text_line_source_parses_like_messages(spark, scratch):
+    from tidewatch.sources.messages import read_text_lines
+    sf = "/root/testdata/sf0.001"
+    base = scratch("text")
+    lines = X.messages(spark, sf).select(F.col("value").cast("string").alias("value"))
+    lines.write.text(f"{base}/in")
+    src = read_text_lines(spark, f"{base}/in", max_files_per_trigger=1)
+    J.run(J.parse_stream(src, X.FIXTURE_LAYOUT, f"{base}/out", f"{base}/ck"))
+    got = spark.read.parquet(f"{base}/out").drop("kafka_timestamp")
+    exp = parse_messages(X.messages(spark, sf), X.FIXTURE_LAYOUT).drop("kafka_timestamp")
+    assert got.count() == exp.count() and got.exceptAll(exp).count() == 0

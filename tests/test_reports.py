@@ -49,3 +49,10 @@ def test_system_stats(spark):
     al = spark.createDataFrame([("x",), ("y",), ("z",)], "id string")
     r = reports.system_stats(st, al).first()
     assert tuple(r) == (3, 1, 3, "MONITORING_ACTIVE")
+
+
+def test_scale_conf():
+    from tidewatch.session import scale_conf
+    c = scale_conf(100 * 10**12, 8000)
+    assert c["spark.sql.shuffle.partitions"] == "200000"
+    assert scale_conf(10**6, 8)["spark.sql.shuffle.partitions"] == "16"

@@ -7,8 +7,6 @@ replay helper turns any message frame into such files so that a stream can
 be driven at a chosen rate (rows per file x files per trigger)."""
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidewatch.schema import MESSAGE_SCHEMA
@@ -31,17 +29,18 @@ def publish_kafka(msgs: DataFrame, servers: str, topic: str) -> None:
 
 
 def write_replay_files(msgs: DataFrame, path: str, rows_per_file: int = 1000,
-                       max_rows: int | None = None) -> int:
-    """Lay ``msgs`` out as time-ordered Parquet files of about
-    ``rows_per_file`` rows (range partitioning by timestamp, no single task).
-    ``max_rows`` stops the replay after that many earliest rows, like the
-    reference producer's cap.  Returns the number of files asked for."""
+                       max_rows: int | None = None, ranges: int | None = None) -> None:
+    """Lay ``msgs`` out as time-ordered Parquet files of at most
+    ``rows_per_file`` rows: range partitioning by timestamp into ``ranges``
+    tasks (default: the shuffle partition count), a sort inside each range,
+    and ``maxRecordsPerFile`` to cut the files — no counting pass and no
+    single task.  ``max_rows`` stops the replay after that many earliest
+    rows, like the reference producer's cap."""
     if max_rows is not None:
         msgs = msgs.orderBy("timestamp").limit(int(max_rows))
-    n = msgs.count()
-    files = max(1, math.ceil(n / rows_per_file))
-    msgs.repartitionByRange(files, "timestamp").write.mode("overwrite").parquet(path)
-    return files
+    n_ranges = ranges or int(msgs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    (msgs.repartitionByRange(n_ranges, "timestamp").sortWithinPartitions("timestamp")
+         .write.mode("overwrite").option("maxRecordsPerFile", int(rows_per_file)).parquet(path))
 
 
 def read_message_files(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:

@@ -28,11 +28,15 @@ FIXTURE_FEATURES = ["f_value", "f_k"]
 FIXTURE_TEST_DEVICES = ["device_3", "device_7"]
 # Two-class map of the fixture scorer: index -> class name.
 FIXTURE_CLASS_MAP = {0: "Attack", 1: "Normal"}
-# Eight locations of the device registry, by user_id % 8.
-LOCATIONS = ["Living Room", "Hallway", "Entrance", "Garage",
-             "Kitchen", "Nursery", "Living Room", "Study"]
+# ---------------------------------------------------------------------------
+# Fixed values (the reference dashboard's eight devices: their types and
+# locations in display order; the registry assigns them by user_id % 8)
+# ---------------------------------------------------------------------------
 DEVICE_TYPES = ["Smart Camera", "Thermostat", "Door Lock", "Motion Sensor",
                 "Smart Plug", "Baby Monitor", "Smart TV", "Router"]
+LOCATIONS = ["Living Room", "Hallway", "Entrance", "Garage",
+             "Kitchen", "Nursery", "Living Room", "Study"]
+# ---------------------------------------------------------------------------
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -677,6 +677,12 @@ def q_model_card(spark, sf):
 # Streams run with availableNow over message files derived from `events`;
 # outputs land under the shared checkpoint folder and are read back.
 # --------------------------------------------------------------------------
+def _state_parts(spark):
+    """State/shuffle partitions for the fixture streams: one per core (the
+    default 200 would mostly be per-partition state-store overhead here)."""
+    return spark.sparkContext.defaultParallelism
+
+
 def _scratch(spark, name):
     from tidewatch.session import scratch_path
     return scratch_path(spark, name)
@@ -694,7 +700,7 @@ def q_replay_stream(spark, sf):
     from tidewatch.streaming import jobs as J
     base = _scratch(spark, "replay")
     src = read_message_files(spark, _message_files(spark, sf, base), max_files_per_trigger=10)
-    J.run(J.parse_stream(src, X.FIXTURE_LAYOUT, f"{base}/out", f"{base}/ck"))
+    J.run(J.parse_stream(src, X.FIXTURE_LAYOUT, f"{base}/out", f"{base}/ck", state_partitions=_state_parts(spark)))
     return spark.read.parquet(f"{base}/out")
 
 
@@ -704,7 +710,7 @@ def q_stream_dedup(spark, sf):
     from tidewatch.streaming import jobs as J
     base = _scratch(spark, "dedup")
     src = read_message_files(spark, _message_files(spark, sf, base, X.duplicated_messages(spark, sf)))
-    J.run(J.dedup_stream(src, X.FIXTURE_LAYOUT, f"{base}/out", f"{base}/ck"))
+    J.run(J.dedup_stream(src, X.FIXTURE_LAYOUT, f"{base}/out", f"{base}/ck", state_partitions=_state_parts(spark)))
     return spark.read.parquet(f"{base}/out")
 
 
@@ -716,7 +722,8 @@ def q_training_stream(spark, sf):
     base = _scratch(spark, "training")
     stats = C.fixture_stats(spark, sf)
     src = read_message_files(spark, _message_files(spark, sf, base))
-    J.run(J.training_stream(src, X.FIXTURE_LAYOUT, stats, f"{base}/out", f"{base}/ck"))
+    J.run(J.training_stream(src, X.FIXTURE_LAYOUT, stats, f"{base}/out", f"{base}/ck",
+                            state_partitions=_state_parts(spark)))
     return spark.read.parquet(f"{base}/out")
 
 
@@ -729,7 +736,8 @@ def _fanout_run(spark, sf):
     stats = C.fixture_stats(spark, sf)
     src = read_message_files(spark, _message_files(spark, sf, base))
     J.run(J.classification_stream(src, X.FIXTURE_LAYOUT, stats, C.fixture_scorer, X.FIXTURE_CLASS_MAP,
-                                  X.FIXTURE_FEATURES, paths, f"{base}/ck", X.device_registry(spark, sf)))
+                                  X.FIXTURE_FEATURES, paths, f"{base}/ck", X.device_registry(spark, sf),
+                                  state_partitions=_state_parts(spark)))
     return base, paths
 
 
@@ -844,7 +852,8 @@ def q_containment_state_stream(spark, sf):
     cmd_schema = spark.read.parquet(f"{base}/commands").schema
     alerts = spark.readStream.schema(alert_schema).parquet(p["alerts"])
     cmds = spark.readStream.schema(cmd_schema).parquet(f"{base}/commands")
-    J.run(J.device_state_stream(alerts, cmds, f"{base}/state", f"{base}/ck_state"))
+    J.run(J.device_state_stream(alerts, cmds, f"{base}/state", f"{base}/ck_state",
+                                state_partitions=_state_parts(spark)))
     return J.read_device_state(spark, f"{base}/state")
 
 
@@ -855,7 +864,8 @@ def q_traffic_buckets_stream(spark, sf):
     from tidewatch.streaming import jobs as J
     base = _scratch(spark, "traffic")
     flows = parse_messages(read_message_files(spark, _message_files(spark, sf, base)), X.FIXTURE_LAYOUT)
-    J.run(J.traffic_stream(flows, "f_value", F.col("label") == 0, "attack", f"{base}/out", f"{base}/ck"))
+    J.run(J.traffic_stream(flows, "f_value", F.col("label") == 0, "attack", f"{base}/out", f"{base}/ck",
+                           state_partitions=_state_parts(spark)))
     return J.read_buckets(spark, f"{base}/out")
 
 

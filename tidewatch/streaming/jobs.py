@@ -21,8 +21,26 @@ from tidewatch.sinks.fanout import fanout
 AVAILABLE_NOW = {"availableNow": True}
 
 
-def _start(writer, checkpoint: str, trigger: dict | None):
-    return writer.option("checkpointLocation", checkpoint).trigger(**(trigger or AVAILABLE_NOW)).start()
+def _start(writer, checkpoint: str, trigger: dict | None, state_partitions: int | None = None):
+    """Start with a checkpoint.  ``state_partitions`` sets the shuffle/state
+    partition count of a *new* stream (a checkpoint fixes it afterwards); the
+    stream clones the session when it starts, so the caller's setting is put
+    back right after ``start()``."""
+    w = writer.option("checkpointLocation", checkpoint).trigger(**(trigger or AVAILABLE_NOW))
+    if not state_partitions:
+        return w.start()
+    conf = _active_conf()
+    old = conf.get("spark.sql.shuffle.partitions")
+    conf.set("spark.sql.shuffle.partitions", str(int(state_partitions)))
+    try:
+        return w.start()
+    finally:
+        conf.set("spark.sql.shuffle.partitions", old)
+
+
+def _active_conf():
+    from pyspark.sql import SparkSession
+    return (SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()).conf
 
 
 def run(query, wait: bool = True):
@@ -32,32 +50,36 @@ def run(query, wait: bool = True):
 
 
 def training_stream(msgs: DataFrame, layout, stats: PrepStats, out_path: str, checkpoint: str,
-                    trigger: dict | None = None, drop=("attack", "attack_subtype", "row_hash")):
+                    trigger: dict | None = None,
+                state_partitions: int | None = None, drop=("attack", "attack_subtype", "row_hash")):
     """K1: parse -> watermark dedup -> log/cap -> Parquet append (exactly once
     through the sink's metadata log)."""
     df = prepared_flows(msgs, layout, stats).drop(*drop)
     w = df.writeStream.format("parquet").option("path", out_path).outputMode("append")
-    return _start(w, checkpoint, trigger)
+    return _start(w, checkpoint, trigger, state_partitions)
 
 
-def dedup_stream(msgs: DataFrame, layout, out_path: str, checkpoint: str, trigger: dict | None = None):
+def dedup_stream(msgs: DataFrame, layout, out_path: str, checkpoint: str, trigger: dict | None = None,
+                state_partitions: int | None = None):
     """Parsed flows deduplicated by fingerprint within the watermark."""
     from tidewatch.operators.dedup import dedup_by_key
     from tidewatch.operators.parse import parse_messages
     df = dedup_by_key(parse_messages(msgs, layout))
     w = df.writeStream.format("parquet").option("path", out_path).outputMode("append")
-    return _start(w, checkpoint, trigger)
+    return _start(w, checkpoint, trigger, state_partitions)
 
 
-def parse_stream(msgs: DataFrame, layout, out_path: str, checkpoint: str, trigger: dict | None = None):
+def parse_stream(msgs: DataFrame, layout, out_path: str, checkpoint: str, trigger: dict | None = None,
+                state_partitions: int | None = None):
     from tidewatch.operators.parse import parse_messages
     w = parse_messages(msgs, layout).writeStream.format("parquet").option("path", out_path)
-    return _start(w.outputMode("append"), checkpoint, trigger)
+    return _start(w.outputMode("append"), checkpoint, trigger, state_partitions)
 
 
 def classification_stream(msgs: DataFrame, layout, stats: PrepStats, scorer, class_map: dict,
                           feature_cols: list[str], paths: dict[str, str], checkpoint: str,
-                          registry: DataFrame | None = None, trigger: dict | None = None):
+                          registry: DataFrame | None = None, trigger: dict | None = None,
+                state_partitions: int | None = None):
     """K2-K5: classify and fan every micro-batch out to the archive, the keyed
     store, the index and the alert log — all written from executors and
     idempotent per batch id (nothing is collected to the driver)."""
@@ -80,7 +102,7 @@ def classification_stream(msgs: DataFrame, layout, stats: PrepStats, scorer, cla
     def write_batch(batch_df: DataFrame, batch_id: int) -> None:
         fanout(without_event_time_marks(batch_df), batch_id, sinks)
 
-    return _start(classified.writeStream.foreachBatch(write_batch), checkpoint, trigger)
+    return _start(classified.writeStream.foreachBatch(write_batch), checkpoint, trigger, state_partitions)
 
 
 def without_event_time_marks(df: DataFrame) -> DataFrame:
@@ -99,13 +121,14 @@ def _upsert_sink(path: str):
 
 
 def device_state_stream(alerts: DataFrame, commands: DataFrame, state_path: str, checkpoint: str,
-                        trigger: dict | None = None):
+                        trigger: dict | None = None,
+                state_partitions: int | None = None):
     """G1/G2 on streams: the last-value aggregates by device as a streaming
     aggregation (update mode, partial aggregation before the state store);
     each batch's updated devices are upserted into ``state_path``."""
     agg = D.state_events(alerts, commands).groupBy("device_name").agg(*D.state_aggregates())
     w = agg.writeStream.outputMode("update").foreachBatch(_upsert_sink(state_path))
-    return _start(w, checkpoint, trigger)
+    return _start(w, checkpoint, trigger, state_partitions)
 
 
 def read_device_state(spark, state_path: str) -> DataFrame:
@@ -116,13 +139,14 @@ def read_device_state(spark, state_path: str) -> DataFrame:
 
 def traffic_stream(flows: DataFrame, volume_col: str, is_attack, type_col: str, out_path: str,
                    checkpoint: str, length: str = "2 seconds", delay: str = DEDUP_DELAY,
-                   trigger: dict | None = None):
+                   trigger: dict | None = None,
+                state_partitions: int | None = None):
     """T0d on streams: tumbling buckets with a watermark; update mode upserts
     every changed bucket (append mode would hold back the open bucket)."""
     b = traffic_buckets(flows.withWatermark("kafka_timestamp", delay), "kafka_timestamp",
                         volume_col, is_attack, type_col, length)
     w = b.writeStream.outputMode("update").foreachBatch(_upsert_sink(out_path))
-    return _start(w, checkpoint, trigger)
+    return _start(w, checkpoint, trigger, state_partitions)
 
 
 def read_buckets(spark, out_path: str) -> DataFrame:

@@ -563,7 +563,7 @@ SELECT CAST(sum(pos * (cum_neg - neg + 0.5 * neg)) AS DOUBLE) / (CAST(sum(pos) A
 FROM (SELECT *, sum(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_neg
       FROM (SELECT f_value AS score, count_if(label = 1) AS pos, count_if(label <> 1) AS neg FROM flows GROUP BY f_value))"""))
 def q_eval_auc(spark, sf):
-    return M.roc_auc(X.flows(spark, sf), "f_value", "label", positive=1)
+    return M.binary_metrics(X.flows(spark, sf), "f_value", "label", positive=1).select("roc_auc")
 
 
 _AP = """
@@ -577,12 +577,12 @@ FROM (SELECT *, sum(pos) OVER (ORDER BY d ROWS BETWEEN UNBOUNDED PRECEDING AND C
 @query("eval_ap", S.with_flows(_AP.format(name="attack", d="f_value", p=0) + "\nUNION ALL"
                                + _AP.format(name="normal", d="-f_value", p=1)))
 def q_eval_ap(spark, sf):
-    f = X.flows(spark, sf).withColumn("attack_score", -F.col("f_value"))
-    a = M.average_precision(f, "attack_score", "label", positive=0).select(
-        F.lit("attack").alias("positive_class"), "average_precision")
-    n = M.average_precision(f, "f_value", "label", positive=1).select(
-        F.lit("normal").alias("positive_class"), "average_precision")
-    return a.unionByName(n)
+    # both classes from one pass: attack AP is the AP of the other class under the negated score
+    m = M.binary_metrics(X.flows(spark, sf), "f_value", "label", positive=1)
+    rows = F.explode(F.array(
+        F.struct(F.lit("attack").alias("positive_class"), F.col("ap_negative").alias("average_precision")),
+        F.struct(F.lit("normal").alias("positive_class"), F.col("ap_positive").alias("average_precision"))))
+    return m.select(rows.alias("r")).select("r.*")
 
 
 @query("eval_binary_metrics", S.with_flows("""

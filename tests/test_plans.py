@@ -64,3 +64,13 @@ def test_scan_prunes_columns(plans):
     assert "ReadSchema: struct<>" in plans["row_count"]
     assert "ReadSchema: struct<l_quantity:double,l_extendedprice:double,l_discount:double,l_tax:double>" \
         in plans["fit_skew_lineitem"]
+
+
+@pytest.mark.parametrize("key", ["alerts_per_device", "alerts", "recent_alerts", "rejects"])
+def test_filters_do_not_re_evaluate_the_parse(plans, key):
+    """Regression: a filter on a prediction must stay above the dedup
+    aggregate; pushed below it, Catalyst inlined the whole parse -> score
+    chain into the condition dozens of times (one split per field is fine)."""
+    p = plans[key]
+    assert p.count("split(") <= 7, (key, p.count("split("))
+    assert p.count("get_json_object(") <= 5, key

@@ -141,3 +141,23 @@ def test_pandas_scorer_ties_lowest_index(spark):
     r = SC.score_pandas(df, _TieModel, ["a"], {0: "Normal", 1: "Port Scan"}).collect()
     assert {(x.pred_label, x.pred_confidence, x.prediction_binary, x.attack_type) for x in r} == \
         {(1, 0.4, 0, "Port Scan")}
+
+
+def test_put_partitions_batches_on_executors(spark, scratch):
+    import json
+    import os
+    import uuid
+    from tidewatch.session import local_path
+    out = local_path(scratch("puts"))
+    os.makedirs(out, exist_ok=True)
+
+    def put_batch(rows):   # stands in for a key-value client
+        with open(os.path.join(out, uuid.uuid4().hex), "w") as fh:
+            for r in rows:
+                fh.write(json.dumps({"k": r["row_key"]}) + "\n")
+
+    from tidewatch.plans import classify as C
+    recs = keyed.keyed_records(C.fixture_classified(spark, SF), X.FIXTURE_FEATURES)
+    keyed.put_partitions(recs.select("row_key"), put_batch, batch_size=100)
+    sizes = [sum(1 for _ in open(os.path.join(out, f))) for f in os.listdir(out)]
+    assert sum(sizes) == recs.count() and max(sizes) <= 100

@@ -129,6 +129,13 @@ def test_compaction_keeps_latest_view(spark, scratch):
     assert compact(spark, src, dst, "k", ["batch_id"]) == 2
     got = sorted((r.k, r.v) for r in spark.read.parquet(dst).collect())
     assert got == [("k1", "c"), ("k2", "b")]
+    from tidewatch.operators.merge import latest_since_snapshot
+    spark.createDataFrame([("k2", 3, "d"), ("k3", 3, "e")], "k string, batch_id long, v string") \
+        .write.mode("append").partitionBy("batch_id").parquet(src)
+    view = latest_since_snapshot(spark, src, dst, "k", ["batch_id"])
+    assert sorted((r.k, r.v) for r in view.collect()) == [("k1", "c"), ("k2", "d"), ("k3", "e")]
+    full = latest_since_snapshot(spark, src, None, "k", ["batch_id"])
+    assert sorted((r.k, r.v) for r in full.collect()) == [("k1", "c"), ("k2", "d"), ("k3", "e")]
 
 
 def test_pandas_scorer_ties_lowest_index(spark):

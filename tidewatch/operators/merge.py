@@ -31,3 +31,18 @@ def compact(spark: SparkSession, src: str, dst: str, key: str, order_cols: list[
     latest = latest_per_key(raw, key, order_cols).withColumn(batch_col, F.lit(top).cast("long"))
     latest.sortWithinPartitions(key).write.mode("errorifexists").partitionBy(batch_col).parquet(dst)
     return int(top)
+
+
+def latest_since_snapshot(spark: SparkSession, path: str, snapshot: str | None, key: str,
+                          order_cols: list[str], batch_col: str = "batch_id") -> DataFrame:
+    """Current view of a per-batch keyed folder read through its newest
+    compaction ``snapshot`` (written by ``compact``): the snapshot plus only
+    the batch partitions written after it (``batch_id > N`` prunes the
+    rest), so read cost stays bounded as the stream ages."""
+    raw = spark.read.parquet(path)
+    if snapshot is None:
+        return latest_per_key(raw, key, order_cols)
+    snap = spark.read.parquet(snapshot)
+    upto = snap.agg(F.max(batch_col).alias("b")).first()["b"]
+    newer = raw.filter(F.col(batch_col) > F.lit(upto))
+    return latest_per_key(snap.unionByName(newer), key, order_cols)

@@ -136,3 +136,29 @@ def test_text_line_source_parses_like_messages(spark, scratch):
     got = spark.read.parquet(f"{base}/out").drop("kafka_timestamp")
     exp = parse_messages(X.messages(spark, sf), X.FIXTURE_LAYOUT).drop("kafka_timestamp")
     assert got.count() == exp.count() and got.exceptAll(exp).count() == 0
+
+
+def test_stream_compaction_snapshots(spark, scratch):
+    from tidewatch.operators.merge import latest_since_snapshot, newest_snapshot
+    from tidewatch.sinks import keyed
+    sf = "/root/testdata/sf0.001"
+    base = scratch("compact")
+    msgs = X.messages(spark, sf).cache()
+    ts = F.unix_seconds("timestamp")
+    lo, hi = msgs.select(F.percentile_approx(ts, [1 / 3, 2 / 3], 10000).alias("q")).first()["q"]
+    for cond in (ts < lo, (ts >= lo) & (ts < hi), ts >= hi):
+        msgs.filter(cond).coalesce(1).write.mode("append").parquet(f"{base}/in")
+        time.sleep(1.1)
+    paths = {"keyed": f"{base}/keyed"}
+    src = read_message_files(spark, f"{base}/in", max_files_per_trigger=1)
+    J.run(J.classification_stream(src, X.FIXTURE_LAYOUT, C.fixture_stats(spark, sf), C.fixture_scorer,
+                                  X.FIXTURE_CLASS_MAP, X.FIXTURE_FEATURES, paths, f"{base}/ck",
+                                  compact_every=2))
+    snap = newest_snapshot(spark, paths["keyed"])
+    assert snap is not None and snap.endswith("upto=2")
+    via_snap = latest_since_snapshot(spark, paths["keyed"], snap, "row_key", ["batch_id", "cf"])
+    full = keyed.latest_keyed(spark, paths["keyed"])
+    cols = ["row_key", "cf"]   # a snapshot stamps every key with its own batch id
+    assert via_snap.count() == full.count() == msgs.count()
+    assert via_snap.select(*cols).exceptAll(full.select(*cols)).count() == 0
+    msgs.unpersist()

@@ -29,10 +29,25 @@ def compact(spark: SparkSession, src: str, dst: str, key: str, order_cols: list[
     raw = spark.read.parquet(src)
     top = raw.agg(F.max(batch_col).alias("b")).first()["b"]
     latest = latest_per_key(raw, key, order_cols).withColumn(batch_col, F.lit(top).cast("long"))
-    latest.sortWithinPartitions(key).write.mode("errorifexists").partitionBy(batch_col).parquet(dst)
+    # overwrite: a micro-batch replayed after a crash recomputes the same snapshot
+    latest.sortWithinPartitions(key).write.mode("overwrite").partitionBy(batch_col).parquet(dst)
     return int(top)
 
 
+def snapshot_path(path: str, upto: int) -> str:
+    return f"{path.rstrip('/')}_snapshots/upto={int(upto)}"
+
+
+def newest_snapshot(spark: SparkSession, path: str) -> str | None:
+    """The newest ``compact`` snapshot of a keyed folder, or None."""
+    root = f"{path.rstrip('/')}_snapshots"
+    try:
+        top = spark.read.parquet(root).agg(F.max("upto").alias("u")).first()["u"]
+    except Exception:  # noqa: BLE001 — no snapshot written yet
+        return None
+    return None if top is None else snapshot_path(path, top)
+
+
 def latest_since_snapshot(spark: SparkSession, path: str, snapshot: str | None, key: str,
                           order_cols: list[str], batch_col: str = "batch_id") -> DataFrame:
     """Current view of a per-batch keyed folder read through its newest

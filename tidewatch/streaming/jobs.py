@@ -79,10 +79,12 @@ def parse_stream(msgs: DataFrame, layout, out_path: str, checkpoint: str, trigge
 def classification_stream(msgs: DataFrame, layout, stats: PrepStats, scorer, class_map: dict,
                           feature_cols: list[str], paths: dict[str, str], checkpoint: str,
                           registry: DataFrame | None = None, trigger: dict | None = None,
-                state_partitions: int | None = None):
+                state_partitions: int | None = None, compact_every: int | None = None):
     """K2-K5: classify and fan every micro-batch out to the archive, the keyed
     store, the index and the alert log — all written from executors and
-    idempotent per batch id (nothing is collected to the driver)."""
+    idempotent per batch id (nothing is collected to the driver).  With
+    ``compact_every`` the keyed store and the index get a compaction snapshot
+    every that many batches (read with ``merge.latest_since_snapshot``)."""
     classified = classify(prepared_flows(msgs, layout, stats), scorer, class_map)
     if registry is not None:  # size checked once per job, not once per micro-batch
         from tidewatch.operators.joins import checked_broadcast
@@ -100,7 +102,16 @@ def classification_stream(msgs: DataFrame, layout, stats: PrepStats, scorer, cla
             D.alerts_from_classified(df, registry, max_broadcast_rows=None), paths["alerts"], b))
 
     def write_batch(batch_df: DataFrame, batch_id: int) -> None:
-        fanout(without_event_time_marks(batch_df), batch_id, sinks)
+        wrote = fanout(without_event_time_marks(batch_df), batch_id, sinks)
+        if wrote and compact_every and batch_id > 0 and batch_id % compact_every == 0:
+            from tidewatch.operators.merge import compact, snapshot_path
+            spark = batch_df.sparkSession
+            if "keyed" in paths:
+                compact(spark, paths["keyed"], snapshot_path(paths["keyed"], batch_id), "row_key",
+                        ["batch_id", "cf"])
+            if "index" in paths:
+                compact(spark, paths["index"], snapshot_path(paths["index"], batch_id), "doc_id",
+                        ["batch_id", "event_time"])
 
     return _start(classified.writeStream.foreachBatch(write_batch), checkpoint, trigger, state_partitions)
 

@@ -116,7 +116,7 @@ def test_multibatch_fanout_restart_and_replay(spark, scratch):
     a_schema = alert_log.read_alerts(spark, paths["alerts"]).schema
     s_alerts = spark.readStream.schema(a_schema).option("maxFilesPerTrigger", 2).parquet(paths["alerts"])
     s_cmds = spark.readStream.schema(cmds.schema).parquet(f"{base}/commands")
-    J.run(J.device_state_stream(s_alerts, s_cmds, f"{base}/state", f"{base}/ck_state"))
+    J.run(J.device_state_stream(s_alerts, s_cmds, f"{base}/state", f"{base}/ck_state", compact_every=1))
     stream_state = J.read_device_state(spark, f"{base}/state")
     batch_state = D.containment_state(alert_log.read_alerts(spark, paths["alerts"]), cmds)
     cols = ["device_name", "status", "is_connected", "last_attack_type"]

@@ -123,29 +123,41 @@ def without_event_time_marks(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(f"`{c}`").alias(c, metadata={}) for c in df.columns])
 
 
-def _upsert_sink(path: str):
+def _upsert_sink(path: str, key: str | None = None, compact_every: int | None = None):
     def write(batch_df: DataFrame, batch_id: int) -> None:
-        (without_event_time_marks(batch_df).withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
-                 .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                 .partitionBy("batch_id").parquet(path))
+        _write_batch_files(batch_df, batch_id, path)
+        if key and compact_every and batch_id > 0 and batch_id % compact_every == 0:
+            from tidewatch.operators.merge import compact, snapshot_path
+            compact(batch_df.sparkSession, path, snapshot_path(path, batch_id), key, ["batch_id"])
     return write
 
 
+def _write_batch_files(batch_df: DataFrame, batch_id: int, path: str) -> None:
+    """Replace this batch's partition only (idempotent per batch id)."""
+    (without_event_time_marks(batch_df).withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("batch_id").parquet(path))
+
+
 def device_state_stream(alerts: DataFrame, commands: DataFrame, state_path: str, checkpoint: str,
                         trigger: dict | None = None,
-                state_partitions: int | None = None):
+                state_partitions: int | None = None, compact_every: int | None = None):
     """G1/G2 on streams: the last-value aggregates by device as a streaming
     aggregation (update mode, partial aggregation before the state store);
     each batch's updated devices are upserted into ``state_path``."""
     agg = D.state_events(alerts, commands).groupBy("device_name").agg(*D.state_aggregates())
-    w = agg.writeStream.outputMode("update").foreachBatch(_upsert_sink(state_path))
+    w = agg.writeStream.outputMode("update").foreachBatch(
+        _upsert_sink(state_path, "device_name", compact_every))
     return _start(w, checkpoint, trigger, state_partitions)
 
 
 def read_device_state(spark, state_path: str) -> DataFrame:
-    from tidewatch.operators.merge import latest_by_key
-    raw = spark.read.parquet(state_path)
-    return D.finish_state(latest_by_key(raw, "device_name", ["batch_id"]).drop("batch_id"))
+    """Current device state: newest compaction snapshot (if any) plus the
+    batches after it, newest update per device."""
+    from tidewatch.operators.merge import latest_since_snapshot, newest_snapshot
+    latest = latest_since_snapshot(spark, state_path, newest_snapshot(spark, state_path),
+                                   "device_name", ["batch_id"])
+    return D.finish_state(latest.drop("batch_id"))
 
 
 def traffic_stream(flows: DataFrame, volume_col: str, is_attack, type_col: str, out_path: str,

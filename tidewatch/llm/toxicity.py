@@ -84,7 +84,7 @@ def _mine(sample: DataFrame, n_features: int, min_docs: int) -> list[tuple[str,
     odds = F.log((F.col("pos") + 0.5) / (F.col("neg") + 0.5))
     strength = odds * F.sqrt(F.col("pos") + F.col("neg"))
     # features of clean texts are left out: many of them would outvote one plain insult
-    top = c.where(F.col("pos") > 4 * (F.col("neg") + 0.5)).orderBy(strength.desc(), "f").limit(n_features).collect()
+    top = c.where(F.col("pos") > 8 * (F.col("neg") + 0.5)).orderBy(strength.desc(), "f").limit(n_features).collect()
     return [(r.f, r.pos, r.neg) for r in top]
 
 
@@ -144,7 +144,7 @@ def label_model(v: np.ndarray, prior: float, rounds: int = 30) -> tuple[np.ndarr
     return post, table[1, :, 2] / (table[1, :, 2] + table[0, :, 2]), corr
 
 
-def _fit_linear(rows: list[np.ndarray], target: np.ndarray, weight: np.ndarray, k: int, l2: float = 0.05,
+def _fit_linear(rows: list[np.ndarray], target: np.ndarray, weight: np.ndarray, k: int, l2: float = 0.01,
                 rounds: int = 400) -> tuple[np.ndarray, float]:
     """Logistic regression on presence features with weights of at least 0, by adaptive gradient steps."""
     flat = np.concatenate(rows) if rows else np.zeros(0, int)
@@ -166,7 +166,7 @@ def _fit_linear(rows: list[np.ndarray], target: np.ndarray, weight: np.ndarray,
 
 
 def train(docs: DataFrame, labels: DataFrame, learn, key: str = "doc_id", text: str = "text", label: str = "toxic",
-          max_labelled: int = 12_000, n_features: int = 4_000, n_groups: int = 12, min_docs: int = 4) -> dict:
+          max_labelled: int = 12_000, n_features: int = 4_000, n_groups: int = 12, min_docs: int = 6) -> dict:
     """Model: weights by feature, intercept, and the label model's findings.
 
     Bounds: ``max_labelled`` rows are fitted on, ``n_features`` features kept;

@@ -6,7 +6,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidewatch.llm import bpe, langid, toxicity
+from tidewatch.llm import bpe, langid, lines, quality, sharding, toxicity
 from tidewatch.llm.common import table
 from tidewatch.session import ensure_checkpoint_dir
 
@@ -54,3 +54,48 @@ def op10(spark, sf):
     model = langid.train(docs, learn=key_crc(3) != 1)
     return langid.predict(docs, model).select(
         "doc_id", (key_crc(3) == 1).alias("held_out"), "lang_pred", "score", "margin", "rejected")
+
+
+@query("op2_quality_llr")
+def op2(spark, sf):
+    docs = table(spark, sf, "documents")
+    ratios = quality.ratios(docs, table(spark, sf, "labels").where("quality = 1"))
+    return quality.judge(docs, ratios)
+
+
+_LINES_SQL = r"""
+WITH raw AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS t0,
+                    unnest(range(len(string_split(text, chr(10))))) AS i FROM documents WHERE text IS NOT NULL),
+occ AS (SELECT doc_id, i, trim(t0, ' ' || chr(9) || chr(13)) AS t FROM raw WHERE trim(t0, ' ' || chr(9) || chr(13)) <> ''),
+firsts AS (SELECT t, min((doc_id, i)) AS f, length(t) AS n FROM occ GROUP BY t),
+halves AS (SELECT t, n, unnest([(1, n, left(t, n // 2)), (2, n, right(t, n - n // 2)),
+                                (1, n - 1, left(t, (n - 1) // 2)), (2, n - 1, right(t, n - 1 - (n - 1) // 2))]) AS h
+           FROM firsts WHERE n >= 24),
+able AS (SELECT DISTINCT t, n FROM halves WHERE h IN (SELECT h FROM halves GROUP BY h HAVING count(*) > 1)),
+places AS (SELECT t, n, unnest(range(1, n + 1)) AS p FROM able),
+vars AS (SELECT t, p, left(t, p - 1) || substr(t, p + 1) AS v FROM places),
+pairs AS (SELECT a.t, b.t AS u FROM vars a JOIN vars b ON a.v = b.v AND a.p = b.p AND a.t <> b.t
+          UNION SELECT a.t, b.t FROM vars a JOIN able b ON a.v = b.t
+          UNION SELECT b.t, a.t FROM vars a JOIN able b ON a.v = b.t),
+near AS (SELECT DISTINCT p.t FROM pairs p JOIN firsts x ON p.t = x.t JOIN firsts y ON p.u = y.t WHERE y.f < x.f),
+gone AS (SELECT o.doc_id, o.i FROM occ o JOIN firsts f ON o.t = f.t
+         WHERE (o.doc_id, o.i) <> f.f OR o.t IN (SELECT t FROM near)),
+kept AS (SELECT r.doc_id, string_agg(r.t0, chr(10) ORDER BY r.i) AS text FROM raw r
+         LEFT JOIN gone g ON r.doc_id = g.doc_id AND r.i = g.i WHERE g.i IS NULL GROUP BY r.doc_id)
+SELECT d.doc_id, (SELECT count(*) FROM occ o WHERE o.doc_id = d.doc_id) AS n_lines,
+       (SELECT count(*) FROM gone g WHERE g.doc_id = d.doc_id) AS n_dropped,
+       CASE WHEN d.text IS NOT NULL THEN md5(coalesce(k.text, '')) END AS kept_md5
+FROM documents d LEFT JOIN kept k ON d.doc_id = k.doc_id"""
+
+
+@query("op5_line_dedup", _LINES_SQL)
+def op5(spark, sf):
+    return lines.dedup(table(spark, sf, "documents")).select(
+        "doc_id", "n_lines", "n_dropped", F.md5(F.col("text").cast("binary")).alias("kept_md5"))
+
+
+@query("op6_sharding_kk")
+def op6(spark, sf):
+    return sharding.by_bytes(table(spark, sf, "documents")).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidewatch.llm import bpe, langid, lines, quality, sharding, toxicity
+from tidewatch.llm import bpe, langid, lines, quality, sharding, toxicity, warc
 from tidewatch.llm.common import table
 from tidewatch.session import ensure_checkpoint_dir
 
@@ -99,3 +99,22 @@ def op6(spark, sf):
     return sharding.by_bytes(table(spark, sf, "documents")).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"))
+
+
+_WARC_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+d AS (SELECT page_id, CAST(strlen(h) AS BIGINT) AS payload_bytes, sha256(h) AS payload_digest,
+             min(page_id) OVER (PARTITION BY h) AS first_id FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND first_id <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND first_id <> page_id THEN first_id END AS refers_to FROM d"""
+
+
+@query("op9_warc", _WARC_SQL)
+def op9(spark, sf):
+    got = warc.round_trip(table(spark, sf, "pages"))
+    own = F.col("record_type") == "response"
+    return got.select("page_id",
+                      F.when(own, F.octet_length("payload").cast("long")).otherwise(F.col("declared_bytes")).alias("payload_bytes"),
+                      F.when(own, F.sha2("payload", 256)).otherwise(F.col("declared_digest")).alias("payload_digest"),
+                      "record_type", "refers_to")

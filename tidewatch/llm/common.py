@@ -1,6 +1,7 @@
 """Shared helpers: staging tables, batch iteration, vectorised word hashing."""
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -20,9 +21,17 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     ensure_checkpoint_dir(spark)
     path = scratch_path(spark, name)
     df.write.parquet(path)
+    release(spark)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner drop shuffle files of finished steps now: it acts
+    when the driver's garbage is collected, else much later."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -107,22 +116,6 @@ def gram_hashes(words: np.ndarray, n: int) -> np.ndarray:
     return mix(out + _U(n))
 
 
-def union_labels(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
-    """Smallest member of the component of each of ``n`` nodes under links a-b."""
-    label = np.arange(n)
-    while True:
-        low = np.minimum(label[a], label[b])
-        new = label.copy()
-        np.minimum.at(new, a, low)
-        np.minimum.at(new, b, low)
-        np.minimum.at(new, label[a], low)
-        np.minimum.at(new, label[b], low)
-        new = new[new]
-        if (new == label).all():
-            return label
-        label = new
-
-
 def components(links: DataFrame, a: str, b: str) -> DataFrame:
     """(node, component): smallest node reachable over the links.
 
@@ -133,6 +126,11 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
     """
     e = links.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u <> v")
     e = stage(e.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "cc")
+
+    def state(x):
+        return tuple(x.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+
+    was = state(e)
     while True:
         # large star: every larger neighbour of a node is tied to the node's smallest neighbour
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -143,10 +141,10 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
         low2 = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (large.join(low2, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .where("u <> v").union(low2.select("u", F.col("m").alias("v"))).distinct())
-        new = stage(small, "cc")
-        same = e.exceptAll(new).isEmpty() and new.exceptAll(e).isEmpty()
-        e = new
-        if same:
+        e = stage(small, "cc")
+        now = state(e)
+        if now == was:
             break
+        was = now
     roots = e.select(F.col("v").alias("u"), "v")
     return e.union(roots).distinct().select(F.col("u").alias("node"), F.col("v").alias("component"))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidewatch.llm import bpe, langid, lines, quality, sharding, toxicity, warc
+from tidewatch.llm import bpe, decontam, jaccard, langid, lines, quality, sharding, toxicity, warc
 from tidewatch.llm.common import table
 from tidewatch.session import ensure_checkpoint_dir
 
@@ -118,3 +118,13 @@ def op9(spark, sf):
                       F.when(own, F.octet_length("payload").cast("long")).otherwise(F.col("declared_bytes")).alias("payload_bytes"),
                       F.when(own, F.sha2("payload", 256)).otherwise(F.col("declared_digest")).alias("payload_digest"),
                       "record_type", "refers_to")
+
+
+@query("op8_decontamination")
+def op8(spark, sf):
+    return decontam.contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+@query("op3_jaccard_join")
+def op3(spark, sf):
+    return jaccard.link(table(spark, sf, "documents"))

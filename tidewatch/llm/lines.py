@@ -12,8 +12,10 @@ Deletion-neighbourhood join, on distinct texts only:
 * A first pass keeps the texts that can have a partner at all: one edit leaves
   the first or the last half of a line as it is, so partners share one of two
   half keys at the shorter one's length.
-* Every kept text emits all variants with one character deleted as hashed keys.
-  Two texts of one length within one edit share the variant *and* the place of
+* Among those, a second pass narrows the place of the edit to one of ``PIECES``
+  pieces, outside of which partners agree.
+* Every text left emits all variants with one character of such a piece deleted
+  as hashed keys.  Two texts of one length within one edit share the variant *and* the place of
   the deletion; a text that is one character shorter *is* a variant of the
   longer one.  Keys are grouped with the earliest occurrence for each, so a key
   with any number of lines sends one row per task and no pair is listed.
@@ -29,12 +31,14 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from tidewatch.llm.common import stage
 
 _BLANKS = " \t\r"
 MIN_FUZZY = 24
+PIECES = 8
 
 
 def _occurrences(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -74,25 +78,65 @@ def deletion_keys(t: str) -> tuple[np.ndarray, int]:
     return _fold(left[:-1] + (back[-1] - back)), int(_fold(left[-1:])[0])
 
 
-def _variants(texts: DataFrame) -> DataFrame:
-    """(x, kind, h, ...): kind 0 and up the place of a deletion; -1 any place; -2 the text itself."""
+def _piece(n: int, q: int) -> tuple[int, int]:
+    """Borders of piece ``q`` of a text of ``n`` characters."""
+    return q * n // PIECES, (q + 1) * n // PIECES
+
+
+def _piece_keys(texts: DataFrame) -> DataFrame:
+    """(h, q, own, x): hash of all but piece q, cut as in a text of the own length or of one less.
+
+    Partners differ within one piece, so they share this key at the shorter one's length.
+    """
+    def run(batches):
+        for b in batches:
+            rows = []
+            for h, t in zip(b.column("h").to_pylist(), b.column("t").to_pylist()):
+                for own, n in ((True, len(t)), (False, len(t) - 1)):
+                    for q in range(PIECES):
+                        s, e = _piece(n, q)
+                        x = f"{n}/{q}/{t[:s]}\0{t[len(t) - (n - e):]}".encode()
+                        rows.append((h, q, own, xxhash.xxh3_64_intdigest(x) - (1 << 63)))
+            if rows:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, k) for c, k in zip(zip(*rows), (pa.int64(), pa.int32(), pa.bool_(), pa.int64()))],
+                    ["h", "q", "own", "x"])
+
+    return texts.select("h", "t").mapInArrow(run, "h long, q int, own boolean, x long")
+
+
+def _variants(texts: DataFrame, able: DataFrame) -> DataFrame:
+    """(x, place, own, h, k, r, i): hashed deletion variants.
+
+    ``able``: (h, q, kind) pieces in which a text may differ from a partner;
+    kind 0: from one of its length (place: the deletion's), 1: from one that is
+    a character shorter (place -1), 2: from one a character longer (the text itself).
+    """
     def run(batches):
         for b in batches:
-            for h, k, r, i, t in zip(*(b.column(n).to_pylist() for n in ("h", "k", "r", "i", "t"))):
-                keys, own = deletion_keys(t)
-                n = len(keys)
-                x = np.concatenate([keys, keys, [own]])
-                kind = np.concatenate([np.arange(n), np.full(n, -1), [-2]]).astype(np.int32)
-                # deleting any one of equal neighbours gives one variant
-                once = np.concatenate([np.ones(n, bool), np.concatenate([[True], keys[1:] != keys[:-1]]), [True]])
-                m = int(once.sum())
+            for h, k, r, i, t, todo in zip(*(b.column(n).to_pylist() for n in ("h", "k", "r", "i", "t", "todo"))):
+                keys, whole = deletion_keys(t)
+                rows: set[tuple[int, int, bool]] = set()
+                for x in todo:
+                    if x["kind"] == 0:
+                        rows.update((int(keys[p]), p, False) for p in range(*_piece(len(t), x["q"])))
+                    elif x["kind"] == 1:
+                        s, e = _piece(len(t) - 1, x["q"])
+                        rows.update((int(keys[p]), -1, False) for p in range(s, e + 1))
+                    else:
+                        rows.add((whole, -1, True))
+                m = len(rows)
+                x, place, own = zip(*sorted(rows))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(x[once], pa.int64()), pa.array(kind[once], pa.int32()), pa.array([h] * m, pa.int64()),
-                     pa.array([k] * m, b.column("k").type), pa.array([r] * m, pa.int64()), pa.array([i] * m, pa.int32())],
-                    ["x", "kind", "h", "k", "r", "i"])
+                    [pa.array(x, pa.int64()), pa.array(place, pa.int32()), pa.array(own, pa.bool_()),
+                     pa.array([h] * m, pa.int64()), pa.array([k] * m, b.column("k").type),
+                     pa.array([r] * m, pa.int64()), pa.array([i] * m, pa.int32())],
+                    ["x", "place", "own", "h", "k", "r", "i"])
 
     kind = texts.schema["k"].dataType.simpleString()
-    return texts.select("h", "k", "r", "i", "t").mapInArrow(run, f"x long, kind int, h long, k {kind}, r long, i int")
+    todo = able.groupBy("h").agg(F.collect_set(F.struct("q", "kind")).alias("todo"))  # at most 3 for a piece
+    return (texts.join(todo, "h").select("h", "k", "r", "i", "t", "todo")
+            .mapInArrow(run, f"x long, place int, own boolean, h long, k {kind}, r long, i int"))
 
 
 def _without(docs: DataFrame, gone: DataFrame, key: str, text: str) -> DataFrame:
@@ -142,9 +186,15 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", min_fuzzy: i
              .select("k", "r", "_x.i", "_x.h", F.btrim(F.get("_l", F.col("_x.i")), F.lit(_BLANKS)).alias("t"))
              .dropDuplicates(["h"]))
     texts = stage(texts, "line-texts")
-    v = _variants(texts).withColumn("f", F.struct("k", "r", "i", "h"))
-    # within a key: same place of deletion (kind >= 0), or a variant (-1) against the text itself (-2)
-    v = v.select("x", "h", "f", F.greatest("kind", F.lit(-1)).alias("place"), (F.col("kind") == -2).alias("own"))
+    keys = _piece_keys(texts)
+    groups = (keys.groupBy("x").agg(F.count(F.when(F.col("own"), 1)).alias("co"), F.count(F.when(~F.col("own"), 1)).alias("cp"))
+              .where("co > 1 OR (co > 0 AND cp > 0)"))
+    roles = F.filter(F.array(F.when(F.col("own") & (F.col("co") > 1), 0), F.when(~F.col("own") & (F.col("co") > 0), 1),
+                             F.when(F.col("own") & (F.col("cp") > 0), 2)), lambda c: c.isNotNull())
+    able = keys.join(groups, "x").select("h", "q", F.explode(roles).alias("kind")).distinct()
+    v = stage(_variants(texts, able), "line-variants").withColumn("f", F.struct("k", "r", "i", "h"))
+    # within a key: the same place of deletion, or (place -1) a variant against the text itself
+    v = v.select("x", "h", "f", "place", "own")
     low = (v.groupBy("x", "place").agg(
         F.min("f").alias("any"), F.min(F.when(F.col("own"), F.col("f"))).alias("whole"),
         F.min(F.when(~F.col("own"), F.col("f"))).alias("part"), F.min("h").alias("a"), F.max("h").alias("b"))

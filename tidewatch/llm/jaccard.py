@@ -51,6 +51,11 @@ def need(a, b):
     return -(-3 * (a + b) // 7)
 
 
+def row_hash(key, text_hash):
+    """Name of a row by its key and its text's xxhash64."""
+    return F.xxhash64(key, text_hash)
+
+
 # --- rarity of words -----------------------------------------------------------------
 def _word_levels(docs: DataFrame, text: str) -> tuple[np.ndarray, int]:
     """(level by word bucket, number of words): level is the logarithm of the bucket's count."""
@@ -357,7 +362,11 @@ def _left(groups: DataFrame, sets: DataFrame, comp: DataFrame, checked: DataFram
 
 
 def link(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, n_shingles, component_id) of every row."""
+    """(key, n_shingles, component_id, kept, row) of every row.
+
+    ``kept``: the row is the one of its component that stays; ``row``: the
+    row's name by key and text, as ``row_hash`` gives it.
+    """
     spark = docs.sparkSession
     levels, n_words = _word_levels(docs, text)
     levels = spark.sparkContext.broadcast(levels)  # fixed size
@@ -415,7 +424,11 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
             comp = stage(components(_linked(checked), "a", "b"), "jaccard-components")
     m = meta.join(comp.select(F.col("node").alias("s"), "component"), "s", "left")
     m = m.withColumn("c", F.coalesce("component", "s"))
-    low = m.where("n > 0").groupBy("c").agg(F.min("k").alias("low"))
+    # the component's first row by key (nulls last), then by hash of the text
+    m = m.withColumn("o", F.struct(F.col("k").isNull().alias("z"), "k", "r"))
+    low = m.where("n > 0").groupBy("c").agg(F.min("o").alias("low"))
+    alone = F.col("n") == 0
     return m.join(low, "c", "left").select(
         F.col("k").alias(key), F.col("n").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("low")).otherwise(F.col("k")).alias("component_id"))
+        F.when(alone, F.col("k")).otherwise(F.col("low.k")).alias("component_id"),
+        (alone | (F.col("o") == F.col("low"))).alias("kept"), row_hash(F.col("k"), F.col("r")).alias("row"))

@@ -127,4 +127,4 @@ def op8(spark, sf):
 
 @query("op3_jaccard_join")
 def op3(spark, sf):
-    return jaccard.link(table(spark, sf, "documents"))
+    return jaccard.link(table(spark, sf, "documents")).drop("row")

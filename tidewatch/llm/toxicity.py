@@ -207,16 +207,20 @@ def train(docs: DataFrame, labels: DataFrame, learn, key: str = "doc_id", text:
                                  map(float, accuracy))), "correlation": corr}
 
 
-def score(docs: DataFrame, model: dict, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, score, n_features) of every row, whole texts, no shuffle."""
+def score(docs: DataFrame, model: dict, key: str = "doc_id", text: str = "text", whole: bool = False) -> DataFrame:
+    """(key, score, n_features) of every row, whole texts, no shuffle.
+
+    ``whole``: all columns of the input in place of the key; input columns
+    named score or n_features are replaced.
+    """
     shared = docs.sparkSession.sparkContext.broadcast((model["weights"], model["intercept"]))  # at most n_features
-    kind = docs.schema[key].dataType.simpleString()
+    given = docs.drop("score", "n_features") if whole else docs.select(key, text)
+    names = given.columns if whole else [key]
+    at = [given.columns.index(n) for n in names]
 
     def run(batches):
         weights, b0 = shared.value
-        words = {f: x for f, x in weights.items() if f[-1] != "*"}
-        stems = {f[:-1]: x for f, x in weights.items() if f[-1] == "*"}
-        by_n = [(n, stems) for n in STEMS]
+        stems = {f[:-1] for f in weights if f[-1] == "*"}
         known: dict[str, tuple] = {}  # features of a word, emptied when full
 
         for batch in batches:
@@ -226,17 +230,18 @@ def score(docs: DataFrame, model: dict, key: str = "doc_id", text: str = "text")
                 for word in set(_WORD.findall((t.as_py() or "").lower())):
                     f = known.get(word)
                     if f is None:
-                        f = tuple([word] if word in words else []) + tuple(
-                            word[:n] + "*" for n, s in by_n if len(word) > n and word[:n] in s)
+                        f = tuple([word] if word in weights else []) + tuple(
+                            word[:n] + "*" for n in STEMS if len(word) > n and word[:n] in stems)
                         if len(known) > 300_000:
                             known.clear()
                         known[word] = f
                     if f:
                         found.update(f)
-                z = b0 + sum(weights[f] for f in sorted(found))
+                z = b0 + sum(weights.get(f, 0.0) for f in sorted(found))
                 scores.append(1 / (1 + np.exp(-min(30.0, max(-30.0, z)))))
                 counts.append(len(found))
-            yield pa.RecordBatch.from_arrays([batch.column(key), pa.array(scores, pa.float64()),
-                                              pa.array(counts, pa.int64())], [key, "score", "n_features"])
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(i) for i in at), pa.array(scores, pa.float64()), pa.array(counts, pa.int64())],
+                [*names, "score", "n_features"])
 
-    return docs.select(key, text).mapInArrow(run, f"{key} {kind}, score double, n_features bigint")
+    return given.mapInArrow(run, given.select(*names).schema.add("score", "double").add("n_features", "long"))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidewatch.llm import bpe, decontam, jaccard, langid, lines, quality, sharding, toxicity, warc
+from tidewatch.llm import bpe, decontam, jaccard, langid, lines, quality, sharding, suffixes, toxicity, warc
 from tidewatch.llm.common import table
 from tidewatch.session import ensure_checkpoint_dir
 
@@ -128,3 +128,10 @@ def op8(spark, sf):
 @query("op3_jaccard_join")
 def op3(spark, sf):
     return jaccard.link(table(spark, sf, "documents")).drop("row")
+
+
+@query("op4_suffix_dedup")
+def op4(spark, sf):
+    return suffixes.dedup(table(spark, sf, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"))

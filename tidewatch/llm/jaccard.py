@@ -30,6 +30,8 @@ Repeated rows have equal sets.  Extra columns are not read.
 """
 from __future__ import annotations
 
+from functools import partial
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -42,7 +44,8 @@ _U = np.uint64
 _BUCKETS = 1 << 18
 _SLICES = 64
 _HASH_BITS = _U((1 << 58) - 1)
-PIECE = 8 << 20
+#: prefix shingles that a task holds before it deals them out
+PIECE = 500_000
 BLOCK = 512
 
 
@@ -162,32 +165,40 @@ def _unplanes(x: bytes, kind) -> np.ndarray:
 def _lists(docs: DataFrame, key: str, text: str, levels, n_buckets: int) -> DataFrame:
     """(t, s, n, p): prefix shingle, set, size, position, of shingles that several sets have in their prefix."""
     def emit(batches):
-        for _, texts in text_chunks(batches, text, text, PIECE):
-            seen, parts = set(), []
+        seen, parts, size = set(), [], 0
+        for _, texts in text_chunks(batches, text, text):
             for codes in shingle_sets(texts, levels.value):
                 n = len(codes)
                 if not n:
                     continue
                 s = set_id(_strip(codes))
-                if s in seen:  # copies within a task are sent once
+                if s in seen:  # copies near each other are sent once
                     continue
                 seen.add(s)
                 m = n - -(-3 * n // 4) + 1
-                parts.append((codes[:m], np.full(m, s, np.int64), np.full(m, n, np.uint32),
+                parts.append((codes[:m].copy(), np.full(m, s, np.int64), np.full(m, n, np.uint32),
                               np.arange(m, dtype=np.uint32)))
-            if not parts:
-                continue
-            t, s, n, p = (np.concatenate(x) for x in zip(*parts))
-            b = (mix(t) % _U(n_buckets)).astype(np.int64)
-            order = np.argsort(b, kind="stable")
-            t, s, n, p, b = t[order], s[order], n[order], p[order], b[order]
-            cut = np.flatnonzero(np.concatenate([[True], b[1:] != b[:-1], [True]]))
-            for lo, hi in zip(cut[:-1], cut[1:]):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([int(b[lo])], pa.int32()),
-                     pa.array([_planes(t[lo:hi])], pa.binary()), pa.array([_planes(s[lo:hi])], pa.binary()),
-                     pa.array([_planes(n[lo:hi])], pa.binary()), pa.array([_planes(p[lo:hi])], pa.binary())],
-                    ["b", "t", "s", "n", "p"])
+                size += m
+            if size >= PIECE:
+                yield from deal(parts)
+                parts, size = [], 0
+            if len(seen) > 200_000:
+                seen.clear()
+        if parts:
+            yield from deal(parts)
+
+    def deal(parts):
+        t, s, n, p = (np.concatenate(x) for x in zip(*parts))
+        b = (mix(t) % _U(n_buckets)).astype(np.int64)
+        order = np.argsort(b, kind="stable")
+        t, s, n, p, b = t[order], s[order], n[order], p[order], b[order]
+        cut = np.flatnonzero(np.concatenate([[True], b[1:] != b[:-1], [True]]))
+        for lo, hi in zip(cut[:-1], cut[1:]):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([int(b[lo])], pa.int32()),
+                 pa.array([_planes(t[lo:hi])], pa.binary()), pa.array([_planes(s[lo:hi])], pa.binary()),
+                 pa.array([_planes(n[lo:hi])], pa.binary()), pa.array([_planes(p[lo:hi])], pa.binary())],
+                ["b", "t", "s", "n", "p"])
 
     def gather(batches):
         held, at = [], None
@@ -240,9 +251,8 @@ def _hub_groups(lists: DataFrame) -> DataFrame:
 # --- verification --------------------------------------------------------------------
 def _close(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs (a, b) whose bitmaps allow a link."""
-    bits = sets.select("s", "n", "bits")
-    p = (pairs.join(bits.select(F.col("s").alias("a"), F.col("n").alias("an"), F.col("bits").alias("ab")), "a")
-         .join(bits.select(F.col("s").alias("b"), F.col("n").alias("bn"), F.col("bits").alias("bb")), "b"))
+    p = (pairs.join(sets.select(F.col("s").alias("a"), F.col("n").alias("an"), F.col("bits").alias("ab")), "a")
+         .join(sets.select(F.col("s").alias("b"), F.col("n").alias("bn"), F.col("bits").alias("bb")), "b"))
 
     def run(batches):
         for batch in batches:
@@ -255,14 +265,14 @@ def _close(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return p.mapInArrow(run, "a long, b long")
 
 
-def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _verify(pairs: DataFrame, codes: DataFrame) -> DataFrame:
     """(a, b, an, bn, o): intersection sizes.  Sets b are brought to a; a goes to each of its portions."""
     sized = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("c")).withColumn("k", F.ceil(F.col("c") / BLOCK).cast("int"))
     members = pairs.join(sized, "a").select(
         F.col("b").alias("s"), "a", F.pmod(F.xxhash64("b"), F.col("k")).cast("int").alias("z"), F.lit(1).alias("r"))
     hubs = sized.select(F.col("a").alias("s"), "a", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("z"),
                         F.lit(0).alias("r"))
-    rows = sets.select("s", "codes").join(members.unionAll(hubs), "s").select("a", "z", "r", "s", "codes")
+    rows = codes.select("s", "codes").join(members.unionAll(hubs), "s").select("a", "z", "r", "s", "codes")
     rows = rows.repartition("a", "z").sortWithinPartitions("a", "z", "r")
 
     def run(batches):
@@ -393,24 +403,34 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     one = (meta.join(wanted, "s").groupBy("s").agg(F.min(F.struct("k", "r")).alias("m"))
            .select(F.col("s").alias("_s"), F.col("m.k").alias("_k"), F.col("m.r").alias("_r")))
 
-    def build(batches):
+    def build(what, batches):
         for b in batches:
             ids = iter(b.column("_s").to_pylist())
             for _, texts in text_chunks([b], "_s", "t"):
                 sets = list(shingle_sets(texts))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([next(ids) for _ in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int32()),
-                     pa.array([s.tobytes() for s in sets], pa.binary()), pa.array([bitmap(s) for s in sets], pa.binary())],
-                    ["s", "n", "codes", "bits"])
+                     pa.array([bitmap(s) if what == "bits" else s.tobytes() for s in sets], pa.binary())], ["s", "n", what])
 
     texts = docs.select(F.col(key).alias("k"), F.xxhash64(text).alias("r"), F.col(text).alias("t"))
-    sets = stage(texts.join(one, F.expr("r = _r AND k <=> _k")).select("_s", "t").dropDuplicates(["_s"])
-                 .mapInArrow(build, "s long, n int, codes binary, bits binary"), "jaccard-sets")
+
+    def of(ids, what):
+        """(s, n, bits or codes) of the sets named; a row listed twice comes twice, which does no harm."""
+        rows = texts.join(one.join(ids.select(F.col("s").alias("_s")).distinct(), "_s"), F.expr("r = _r AND k <=> _k"))
+        return stage(rows.select("_s", "t").mapInArrow(partial(build, what), f"s long, n int, {what} binary"),
+                     f"jaccard-{what}")
+
+    def verified(pairs):
+        ends = pairs.select(F.col("a").alias("s")).union(pairs.select(F.col("b").alias("s")))
+        return stage(_verify(pairs, of(ends, "codes")), "jaccard-verified")
+
+    one = stage(one, "jaccard-one")
+    sets = of(wanted, "bits")
     pairs = groups.where("ok").select(F.col("h").alias("a"), F.col("s").alias("b"))
     # a pair may come from either side
     pairs = pairs.groupBy(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y")).agg(
         F.first("a").alias("a"), F.first("b").alias("b")).select("a", "b")
-    checked = stage(_verify(stage(_close(pairs, sets), "jaccard-close"), sets), "jaccard-checked")
+    checked = verified(stage(_close(pairs, sets), "jaccard-close"))
     comp = None
     for few in (3, None):
         comp = stage(components(_linked(checked), "a", "b"), "jaccard-components")
@@ -419,7 +439,7 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
             if few is None:
                 break
             continue
-        checked = stage(checked.unionAll(_verify(rest, sets)), "jaccard-checked")
+        checked = stage(checked.unionAll(verified(rest)), "jaccard-checked")
         if few is None:
             comp = stage(components(_linked(checked), "a", "b"), "jaccard-components")
     m = meta.join(comp.select(F.col("node").alias("s"), "component"), "s", "left")

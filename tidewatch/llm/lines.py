@@ -181,7 +181,8 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", min_fuzzy: i
                  .select("h", "f.k", "f.r", "f.i"), "line-candidates")
     per_doc = able.groupBy("k", "r").agg(F.collect_list(F.struct("i", "h")).alias("_c"))
     texts = (docs.select(F.col(key).alias("_k"), F.col(text).alias("_t"), F.xxhash64(text).alias("_r"))
-             .join(per_doc, F.expr("_r = r AND _k <=> k"))
+             # merged at every size: a list small enough to broadcast here is not so on a larger corpus
+             .join(per_doc.hint("merge"), F.expr("_r = r AND _k <=> k"))
              .select("k", "r", F.split("_t", "\n").alias("_l"), F.explode("_c").alias("_x"))
              .select("k", "r", "_x.i", "_x.h", F.btrim(F.get("_l", F.col("_x.i")), F.lit(_BLANKS)).alias("t"))
              .dropDuplicates(["h"]))

@@ -1,11 +1,13 @@
 """Shards of near equal bytes by Karmarkar-Karp differencing (operator 6).
 
-Rows with equal texts form a group that stays in one shard.  Groups are dealt
-by hash into cells of bounded size; in each cell the differencing method runs
-on the groups' bytes: the two partial partitions with the largest spread are
-combined, heaviest part with lightest, until one is left.  A cell is then one
-partial partition of ``n_shards`` sums, and cells are combined the same way, a
-bounded number at a time, level by level, until one node is left.  The driver
+Rows with equal texts form a group that stays in one shard.  The differencing
+method combines the two partial partitions with the largest spread, heaviest
+part with lightest, until one is left.  It runs on at most ``CELL_GROUPS``
+pieces at a time: where there are more, they are dealt by hash into cells, each
+cell is packed by the method into ``PACK`` parts, and the parts are the pieces
+of the next level, until one cell is left; that one is parted into the shards.
+A large group fills a part of its own all the way up, and a bounded share of the
+groups skips the cells: these small pieces even out the last one.  The driver
 only steers; sums and assignments stay in tables.
 
 Defined results: null text counts as empty (size 1) and groups with empty
@@ -23,7 +25,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from tidewatch.llm.common import stage
 
 CELL_GROUPS = 4_096
-FAN_IN = 512
+PACK = 64
 
 
 def differencing(sums: list[list[int]], k: int) -> list[list[int]]:
@@ -56,30 +58,42 @@ def differencing(sums: list[list[int]], k: int) -> list[list[int]]:
     return out
 
 
-def _cells(groups: DataFrame, k: int) -> DataFrame:
-    """(cell, group columns, part): the method within each cell."""
+def _pack(pieces: DataFrame, k: int) -> DataFrame:
+    """(piece, parent, bytes): each cell's pieces parted into k by the method; parents are numbered by cell."""
     def solve(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["bytes", "h", "c"], ascending=[False, True, True])
+        rows = rows.sort_values(["bytes", "piece"], ascending=[False, True])
         got = differencing([[int(b)] + [0] * (k - 1) for b in rows["bytes"]], k)
-        return rows.assign(part=[g[0] for g in got])
-
-    return groups.groupBy("node").applyInPandas(solve, "node long, h long, c long, s long, bytes long, part int")
-
-
-def _level(sums: DataFrame, k: int) -> DataFrame:
-    """(node, part, parent, parent_part) for nodes' sums (node, part, bytes)."""
-    def solve(rows: pd.DataFrame) -> pd.DataFrame:
-        nodes = sorted(rows["node"].unique())
-        at = {n: i for i, n in enumerate(nodes)}
-        s = [[0] * k for _ in nodes]
-        for n, p, b in zip(rows["node"], rows["part"], rows["bytes"]):
-            s[at[n]][p] = int(b)
-        got = differencing(s, k)
-        return pd.DataFrame([(n, p, n // FAN_IN, got[at[n]][p]) for n in nodes for p in range(k)],
-                            columns=["node", "part", "parent", "parent_part"])
-
-    return sums.withColumn("parent", F.floor(F.col("node") / FAN_IN)).groupBy("parent").applyInPandas(
-        solve, "node long, part int, parent long, parent_part int")
+        return rows.assign(parent=rows["cell"] * k + [g[0] for g in got])[["piece", "parent", "bytes"]]
+
+    return pieces.groupBy("cell").applyInPandas(solve, "piece long, parent long, bytes long")
+
+
+def _place(groups: DataFrame, k: int) -> DataFrame:
+    """(piece, shard) of every group."""
+    pieces, n = groups.select("piece", "bytes"), groups.count()
+    loose, of = None, None
+    if n > CELL_GROUPS:
+        share = F.pmod(F.col("piece"), F.lit(-(-2 * n // CELL_GROUPS))) == 0  # about CELL_GROUPS / 2 of them
+        loose, pieces = pieces.where(share), pieces.where(~share)
+    while n > CELL_GROUPS:
+        cells = -(-n // CELL_GROUPS)
+        up = stage(_pack(pieces.withColumn("cell", F.pmod(F.xxhash64("piece"), F.lit(cells))), PACK), "shard-cells")
+        of = up.select("piece", "parent") if of is None else stage(
+            of.join(up.select(F.col("piece").alias("parent"), F.col("parent").alias("next")), "parent")
+            .select("piece", F.col("next").alias("parent")), "shard-level")
+        pieces, n = up.groupBy(F.col("parent").alias("piece")).agg(F.sum("bytes").alias("bytes")), cells * PACK
+    # parents are small numbers, groups' names hashes: kept apart by a mark
+    last = pieces.withColumn("group", F.lit(of is None))
+    if loose is not None:
+        last = last.unionAll(loose.withColumn("group", F.lit(True)))
+    last = stage(last.withColumn("id", F.xxhash64("piece", "group")), "shard-last")
+    done = stage(_pack(last.select(F.col("id").alias("piece"), "bytes", F.lit(0).cast("long").alias("cell")), k), "shard-top")
+    done = last.join(done.select(F.col("piece").alias("id"), F.col("parent").cast("int").alias("shard")), "id")
+    out = done.where("group").select("piece", "shard")
+    if of is not None:
+        out = out.unionAll(of.join(done.where("not group").select(F.col("piece").alias("parent"), "shard"), "parent")
+                           .select("piece", "shard"))
+    return out
 
 
 def by_bytes(docs: DataFrame, n_shards: int = 8, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -89,20 +103,10 @@ def by_bytes(docs: DataFrame, n_shards: int = 8, key: str = "doc_id", text: str
                        F.xxhash64(raw).alias("h"))
     rows = stage(rows, "shard-rows")
     groups = rows.groupBy("h", "c", "s").agg(F.sum("s").alias("bytes"))
-    groups = stage(groups, "shard-groups")
-    n_cells = max(1, -(-groups.count() // CELL_GROUPS))
-    cells = groups.withColumn("node", F.pmod(F.xxhash64("h", "c", "s", F.lit(6)), F.lit(n_cells)))
-    parts = stage(_cells(cells, n_shards), "shard-cells")
-    sums, n_nodes = parts.groupBy("node", "part").agg(F.sum("bytes").alias("bytes")), n_cells
-    while n_nodes > 1:
-        sums = stage(sums, "shard-sums")
-        up = stage(_level(sums, n_shards), "shard-level")
-        parts = (parts.join(up, ["node", "part"])
-                 .select(F.col("parent").alias("node"), "h", "c", "s", "bytes", F.col("parent_part").alias("part")))
-        sums = (sums.join(up, ["node", "part"]).groupBy(F.col("parent").alias("node"), F.col("parent_part").alias("part"))
-                .agg(F.sum("bytes").alias("bytes")))
-        n_nodes = -(-n_nodes // FAN_IN)
-    placed = stage(rows.join(parts.select("h", "c", "s", F.col("part").alias("shard")), ["h", "c", "s"])
+    groups = stage(groups.withColumn("piece", F.xxhash64("h", "c", "s")), "shard-groups")
+    where = _place(groups.groupBy("piece").agg(F.sum("bytes").alias("bytes")), n_shards)
+    parts = groups.select("h", "c", "s", "piece").join(where, "piece")
+    placed = stage(rows.join(parts.drop("piece"), ["h", "c", "s"])
                    .select(key, F.col("s").alias("size"), F.col("c").alias("text_crc32"), "shard", "h"), "shard-placed")
     # slots: rank within a bounded chunk, after the rows of the shard's earlier chunks
     n_chunks = max(1, placed.count() // (n_shards * 4_096))

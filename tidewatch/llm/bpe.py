@@ -41,7 +41,7 @@ def byte_symbols() -> list[str]:
 class WordBPE:
     """Encoder and decoder of one tokenizer file (its JSON text)."""
 
-    def __init__(self, spec: str, cache_words: int = 600_000):
+    def __init__(self, spec: str, cache_words: int = 200_000):
         t = json.loads(spec)
         m = t["model"]
         self.suffix = m.get("end_of_word_suffix") or ""

@@ -36,13 +36,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def slices(batches: Iterable, rows: int = 256) -> Iterator:
+    """Batches of few rows, so that Python objects are made for few texts at a time."""
+    for b in batches:
+        for i in range(0, b.num_rows, rows):
+            yield b.slice(i, rows)
+
+
 def text_chunks(batches: Iterable[pa.RecordBatch], key: str = "doc_id", text: str = "text",
                 limit: int = CHUNK_BYTES) -> Iterator[tuple[list, list[bytes]]]:
     """(keys, UTF-8 texts) in pieces of about ``limit`` bytes; null text is empty."""
     keys: list = []
     texts: list[bytes] = []
     size = 0
-    for b in batches:
+    for b in slices(batches):
         for k, t in zip(b.column(key).to_pylist(), b.column(text).cast(pa.binary()).to_pylist()):
             keys.append(k)
             texts.append(t or b"")

@@ -37,7 +37,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tidewatch.llm.common import components, gram_hashes, mix, stage, text_chunks, word_hashes
+from tidewatch.llm.common import components, gram_hashes, mix, slices, stage, text_chunks, word_hashes
 
 N = 5
 _U = np.uint64
@@ -277,7 +277,7 @@ def _verify(pairs: DataFrame, codes: DataFrame) -> DataFrame:
 
     def run(batches):
         hub = hub_id = None
-        for batch in batches:
+        for batch in slices(batches):
             out = []
             for a, r, s, c in zip(*(batch.column(x).to_pylist() for x in ("a", "r", "s", "codes"))):
                 c = np.frombuffer(c, np.uint64)

@@ -34,7 +34,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tidewatch.llm.common import stage
+from tidewatch.llm.common import slices, stage
 
 _BLANKS = " \t\r"
 MIN_FUZZY = 24
@@ -150,7 +150,7 @@ def _without(docs: DataFrame, gone: DataFrame, key: str, text: str) -> DataFrame
     at = names.index(text)
 
     def run(batches):
-        for b in batches:
+        for b in slices(batches):
             out, n, cut = [], [], []
             for t, drop in zip(b.column(at).to_pylist(), b.column("__gone").to_pylist()):
                 lines = t.split("\n") if t is not None else []

@@ -203,13 +203,16 @@ class _Rows:
     """A batch whose id column is (k, tag, r); a view for text_chunks."""
 
     def __init__(self, b):
-        self.ids, self.t = list(zip(*(b.column(c).to_pylist() for c in ("k", "tag", "r")))), b.column("t")
+        self.b, self.num_rows = b, b.num_rows
+
+    def slice(self, i, n):
+        return _Rows(self.b.slice(i, n))
 
     def column(self, name):
-        return self if name == "id" else self.t
+        return self if name == "id" else self.b.column("t")
 
     def to_pylist(self):
-        return self.ids
+        return list(zip(*(self.b.column(c).to_pylist() for c in ("k", "tag", "r"))))
 
 
 def _paired(batches):

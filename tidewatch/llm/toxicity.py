@@ -232,7 +232,7 @@ def score(docs: DataFrame, model: dict, key: str = "doc_id", text: str = "text",
                     if f is None:
                         f = tuple([word] if word in weights else []) + tuple(
                             word[:n] + "*" for n in STEMS if len(word) > n and word[:n] in stems)
-                        if len(known) > 300_000:
+                        if len(known) > 100_000:
                             known.clear()
                         known[word] = f
                     if f:

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidewatch.llm.common import stage
+from tidewatch.llm.common import slices, stage
 from tidewatch.session import ensure_checkpoint_dir, scratch_path
 
 MAGIC = b"\x1f\x8b\x08"
@@ -85,7 +85,7 @@ def write(pages: DataFrame, path: str, key: str = "page_id", url: str = "url", h
         store, base = fs.FileSystem.from_uri(path)
         store.create_dir(base, recursive=True)
         out, name, size, done = None, "", 0, []
-        for b in batches:
+        for b in slices(batches):
             for k, u, ud, payload, d, again, fk, fu in zip(*(b.column(c).to_pylist() for c in
                                                              ("k", "u", "ud", "b", "d", "again", "fk", "fu"))):
                 copy = ud & 0xFFFFFFFF

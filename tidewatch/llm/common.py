@@ -74,9 +74,10 @@ _pow = np.ones(1, np.uint64)
 _inv = np.ones(1, np.uint64)
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the hash base and of its inverse, at least ``n + 1`` of each."""
     global _pow, _inv
-    if len(_pow) < n:
+    if len(_pow) <= n:
         m = max(n, CHUNK_BYTES + (CHUNK_BYTES >> 1))
         _pow = np.concatenate([[_U(1)], np.cumprod(np.full(m, _BASE, np.uint64))])
         _inv = np.concatenate([[_U(1)], np.cumprod(np.full(m, _INV, np.uint64))])
@@ -97,7 +98,7 @@ def word_hashes(texts: list[bytes], lower: bool = True) -> tuple[np.ndarray, np.
     if lower:
         data = data.translate(_LOWER)
     a = np.frombuffer(data, np.uint8)
-    power, inv = _powers(len(a))
+    power, inv = powers(len(a))
     space = _SPACE[a]
     edge = np.flatnonzero(space[1:] != space[:-1]) + 1
     if not space[0]:

@@ -6,10 +6,11 @@ matches never cross documents.
 
 1. Every window of ``length`` bytes belongs to its smallest hashed 16-byte
    gram, so equal windows belong to equal grams wherever they stand.  Windows
-   in a row with one smallest gram form a run.  Runs whose gram occurs in one
-   document only hold no match and are left out; nothing else is.
-2. The runs left are dealt by gram into shards of bounded size.  A shard builds
-   a suffix array over its distinct runs by Larsson-Sadakane refinement
+   in a row with one smallest gram form a run.  Runs meet by gram: runs of one
+   content go whole but for the smallest key's, and what is left of a gram goes
+   on if there are different contents of several documents.
+2. These runs' bytes are dealt by gram into shards of bounded size.  A shard
+   builds a suffix array over them by Larsson-Sadakane refinement
    (groups sorted by prefix, doubled until all are single, only groups not yet
    single are sorted again), and common prefixes by Kasai's rule for all runs
    in step.  Neighbours with a common prefix of ``length`` or more are equal
@@ -32,11 +33,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidewatch.llm.common import mix, stage, text_chunks
+from tidewatch.llm.common import mix, powers, stage, text_chunks
 from tidewatch.llm.jaccard import _planes, _unplanes
 
 GRAM = 16
-PIECE = 8 << 20
+PIECE = 4 << 20
 HOT_RUNS = 20_000
 _U = np.uint64
 _NULL = -(1 << 63)
@@ -142,65 +143,101 @@ def _batch(cols, names):
     return pa.RecordBatch.from_arrays(cols, names)
 
 
-def _repeated_runs(rows: DataFrame, length: int, n_buckets: int, hot_runs: int) -> DataFrame:
-    """(k, tag, p, z): first windows of runs whose gram several documents hold; z: shards for the gram."""
+_VALUE = mix(np.arange(1, 257, dtype=np.uint64))
+
+
+def content_hashes(a: np.ndarray, start: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Hash of ``n`` bytes from each start on."""
+    power, back = powers(len(a))
+    total = np.concatenate([[_U(0)], np.cumsum(_VALUE[a] * power[:len(a)])])
+    return mix((total[start + n] - total[start]) * back[start] + mix(n.astype(np.uint64)))
+
+
+_KINDS = (np.uint64, np.uint64, np.int64, np.int64, np.uint32, np.uint32)
+
+
+def _runs(rows: DataFrame, length: int, n_buckets: int, hot_runs: int) -> DataFrame:
+    """(k, tag, s, e, z): byte ranges to remove (z 0), and runs that suffix arrays decide (z: shards for the gram)."""
+    names = ["b", "g", "c", "k", "tag", "p", "n"]
+
     def emit(batches):
         seen: dict[int, int] = {}
-        for ids, texts in text_chunks(_paired(batches), "id", "t", PIECE):
-            parts = []
-            for (k, tag, r), t in zip(ids, texts):
-                if len(t) < length or seen.get(r, k + 1) <= k:
+        parts, size = [], 0
+        for ids, texts in text_chunks(_paired(batches), "id", "t"):
+            for (k, tag), t in zip(ids, texts):
+                if len(t) < length or seen.get(tag, k + 1) <= k:
                     continue  # an equal text with a smaller or equal key has been sent by this task
-                if len(seen) < 1_000_000:
-                    seen[r] = k
-                g, first, _ = window_runs(np.frombuffer(t, np.uint8), length)
-                parts.append((g >> _U(16), np.full(len(g), k, np.int64), np.full(len(g), tag, np.uint32),
-                              first.astype(np.uint32)))
-            if not parts:
-                continue
-            g, k, tag, p = (np.concatenate(x) for x in zip(*parts))
-            b = (g % _U(n_buckets)).astype(np.int64)
-            order = np.argsort(b, kind="stable")
-            g, k, tag, p, b = (x[order] for x in (g, k, tag, p, b))
-            cut = np.flatnonzero(np.concatenate([[True], b[1:] != b[:-1], [True]]))
-            for lo, hi in zip(cut[:-1], cut[1:]):
-                yield _batch([pa.array([int(b[lo])], pa.int32()),
-                              *(pa.array([_planes(x[lo:hi])], pa.binary()) for x in (g, k, tag, p))],
-                             ["b", "g", "k", "tag", "p"])
+                if len(seen) > 200_000:
+                    seen.clear()
+                seen[tag] = k
+                a = np.frombuffer(t, np.uint8)
+                g, first, last = window_runs(a, length)
+                n = last - first + length
+                parts.append((g >> _U(16), content_hashes(a, first, n), np.full(len(g), k, np.int64),
+                              np.full(len(g), tag, np.int64), first.astype(np.uint32), n.astype(np.uint32)))
+                size += len(g)
+            if size >= 400_000:
+                yield from deal(parts)
+                parts, size = [], 0
+        if parts:
+            yield from deal(parts)
+
+    def deal(parts):
+        cols = [np.concatenate(x) for x in zip(*parts)]
+        b = (cols[0] % _U(n_buckets)).astype(np.int64)
+        order = np.argsort(b, kind="stable")
+        cols, b = [x[order] for x in cols], b[order]
+        cut = np.flatnonzero(np.concatenate([[True], b[1:] != b[:-1], [True]]))
+        for lo, hi in zip(cut[:-1], cut[1:]):
+            yield _batch([pa.array([int(b[lo])], pa.int32()), *(pa.array([_planes(x[lo:hi])], pa.binary()) for x in cols)], names)
 
     def gather(batches):
         held, at = [], None
         for batch in batches:
-            for row in zip(*(batch.column(i).to_pylist() for i in range(5))):
+            for row in zip(*(batch.column(i).to_pylist() for i in range(7))):
                 if row[0] != at and held:
                     yield from several(held)
                     held = []
                 at = row[0]
-                held.append([_unplanes(x, t) for x, t in zip(row[1:], (np.uint64, np.int64, np.uint32, np.uint32))])
+                held.append([_unplanes(x, t) for x, t in zip(row[1:], _KINDS)])
         if held:
             yield from several(held)
 
     def several(held):
-        g, k, tag, p = (np.concatenate(x) for x in zip(*held))
-        order = np.argsort(g, kind="stable")
-        g, k, tag, p = (x[order] for x in (g, k, tag, p))
+        cols = [np.concatenate(x) for x in zip(*held)]
+        g, c, k, tag, p, n = cols
+        order = np.lexsort((k, p, tag, c, g))
+        g, c, k, tag, p, n = (x[order] for x in cols)
+        # one row of equal texts, the smallest key's; the others are removed as copies
+        new = np.concatenate([[True], (g[1:] != g[:-1]) | (c[1:] != c[:-1]) | (tag[1:] != tag[:-1]) | (p[1:] != p[:-1])])
+        g, c, k, tag, p, n = (x[new] for x in (g, c, k, tag, p, n))
+        one = np.flatnonzero(np.concatenate([[True], (g[1:] != g[:-1]) | (c[1:] != c[:-1])]))
+        size = np.diff(np.concatenate([one, [len(g)]]))
+        least = np.repeat(np.minimum.reduceat(k, one), size)
+        yield from out(np.flatnonzero(k > least), k, tag, p, n, np.zeros(len(k), np.int32))
+        keep = np.flatnonzero(k == least)
+        g, c, k, tag, p, n = (x[keep] for x in (g, c, k, tag, p, n))
         start = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]]))
         size = np.diff(np.concatenate([start, [len(g)]]))
         more = np.minimum.reduceat(k, start) != np.maximum.reduceat(k, start)
-        keep = np.flatnonzero(np.repeat(more, size))
         z = np.repeat(-(-size // hot_runs), size).astype(np.int32)
-        for i in range(0, len(keep), 50_000):
-            x = keep[i:i + 50_000]
-            yield _batch([pa.array(k[x]), pa.array(tag[x].astype(np.int64)), pa.array(p[x].astype(np.int64)),
-                          pa.array(z[x])], ["k", "tag", "p", "z"])
+        yield from out(np.flatnonzero(np.repeat(more, size)), k, tag, p, n, z)
+
+    def out(rows, k, tag, p, n, z):
+        for i in range(0, len(rows), 50_000):
+            x = rows[i:i + 50_000]
+            s = p[x].astype(np.int64)
+            yield _batch([pa.array(k[x]), pa.array(tag[x]), pa.array(s), pa.array(s + n[x]), pa.array(z[x])],
+                         ["k", "tag", "s", "e", "z"])
 
-    blobs = rows.select("k", "tag", "r", "t").mapInArrow(emit, "b int, g binary, k binary, tag binary, p binary")
+    blobs = rows.select("k", "tag", "t").mapInArrow(
+        emit, "b int, g binary, c binary, k binary, tag binary, p binary, n binary")
     return (blobs.repartition(n_buckets, "b").sortWithinPartitions("b")
-            .mapInArrow(gather, "k long, tag long, p long, z int"))
+            .mapInArrow(gather, "k long, tag long, s long, e long, z int"))
 
 
 class _Rows:
-    """A batch whose id column is (k, tag, r); a view for text_chunks."""
+    """A batch whose id column is (k, tag); a view for text_chunks."""
 
     def __init__(self, b):
         self.b, self.num_rows = b, b.num_rows
@@ -212,7 +249,7 @@ class _Rows:
         return self if name == "id" else self.b.column("t")
 
     def to_pylist(self):
-        return list(zip(*(self.b.column(c).to_pylist() for c in ("k", "tag", "r"))))
+        return list(zip(*(self.b.column(c).to_pylist() for c in ("k", "tag"))))
 
 
 def _paired(batches):
@@ -221,7 +258,7 @@ def _paired(batches):
 
 def _segments(rows: DataFrame, runs: DataFrame, length: int, n_shards: int) -> DataFrame:
     """Byte segments of the runs, dealt by gram: (shard, salt, lengths, bytes, keys, tags, places)."""
-    want = (runs.groupBy("k", "tag").agg(F.collect_list(F.struct("p", "z")).alias("want"))
+    want = (runs.groupBy("k", "tag").agg(F.collect_list(F.struct(F.col("s").alias("p"), "z")).alias("want"))
             .select(F.col("k").alias("_k"), F.col("tag").alias("_tag"), "want"))
     d = rows.join(want, F.expr("k = _k AND tag = _tag")).select("k", "tag", "t", "want")
 
@@ -241,7 +278,7 @@ def _segments(rows: DataFrame, runs: DataFrame, length: int, n_shards: int) -> D
                 n = (last[at] - first[at] + length).astype(np.int64)
                 take = np.repeat(first[at] - np.cumsum(n) + n, n) + np.arange(n.sum())
                 parts.append(((g[at] >> _U(16)) % _U(n_shards), salt * (z > 1), z > 1, n, a[take], np.full(len(at), k, np.int64),
-                              np.full(len(at), tag, np.uint32), first[at].astype(np.uint32)))
+                              np.full(len(at), tag, np.int64), first[at].astype(np.uint32)))
                 size += int(n.sum())
                 if size >= PIECE:
                     yield from deal(parts)
@@ -266,18 +303,9 @@ def _segments(rows: DataFrame, runs: DataFrame, length: int, n_shards: int) -> D
     return d.mapInArrow(run, "shard int, salt long, n binary, data binary, k binary, tag binary, p binary")
 
 
-_POW = pow(0xC2B2AE3D27D4EB4F, 1, 1 << 64) | 1
-
-
 def _distinct(data: np.ndarray, at: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(first segment of each content, content of each segment) by hash of the bytes."""
-    m = len(data)
-    power = np.concatenate([[_U(1)], np.cumprod(np.full(m, _POW, np.uint64))])
-    back = np.concatenate([[_U(1)], np.cumprod(np.full(m, pow(_POW, -1, 1 << 64), np.uint64))])
-    value = mix(data.astype(np.uint64) + _U(1))
-    total = np.concatenate([[_U(0)], np.cumsum(value * power[:m])])
-    h = mix((total[at + n] - total[at]) * back[at] + mix(n.astype(np.uint64)))
-    _, first, of = np.unique(h, return_index=True, return_inverse=True)
+    """(first segment of each content, content of each segment)."""
+    _, first, of = np.unique(content_hashes(data, at, n), return_index=True, return_inverse=True)
     return first, of
 
 
@@ -334,13 +362,13 @@ def _shards(segments: DataFrame, length: int, n_shards: int) -> DataFrame:
                     held = []
                 at = row[:2]
                 held.append([_unplanes(row[2], np.uint32), np.frombuffer(row[3], np.uint8), _unplanes(row[4], np.int64),
-                             _unplanes(row[5], np.uint32), _unplanes(row[6], np.uint32)])
+                             _unplanes(row[5], np.int64), _unplanes(row[6], np.uint32)])
         if held:
             yield from solve(held, at[1] >= 0)
 
     def solve(held, open_):
         n, data, k, tag, p = (np.concatenate(x) for x in zip(*held))
-        n, p, tag = n.astype(np.int64), p.astype(np.int64), tag.astype(np.int64)
+        n, p = n.astype(np.int64), p.astype(np.int64)
         found = list(shard_matches(data, n, k, length))
         for seg, s, e in found[:2]:
             for i in range(0, len(seg), 50_000):
@@ -383,20 +411,22 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int
     """(key, n_bytes, n_removed, spans, kept) of every row; ``kept``: the bytes that stay, ``spans``: (start, end) removed."""
     raw = F.coalesce(F.col(text), F.lit("")).cast("binary")
     rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(key).cast("long"), F.lit(_NULL)).alias("k"), raw.alias("t"))
-    rows = rows.withColumn("r", F.xxhash64("t")).withColumn("tag", F.pmod(F.xxhash64("r"), F.lit(1 << 32)))
-    meta = stage(rows.select("k", "tag", "r", F.octet_length("t").cast("long").alias("n"), F.crc32("t").alias("c")),
+    rows = rows.withColumn("tag", F.xxhash64("t"))
+    meta = stage(rows.select("k", "tag", F.octet_length("t").cast("long").alias("n"), F.crc32("t").alias("c")),
                  "suffix-meta")
     n_bytes = meta.agg(F.sum("n")).first()[0] or 0
     spark = docs.sparkSession
     least = spark.sparkContext.defaultParallelism
-    runs = stage(_repeated_runs(rows, length, max(least, n_bytes // (8 << 20)), hot_runs), "suffix-runs")
+    runs = stage(_runs(rows, length, max(least, n_bytes // (8 << 20)), hot_runs), "suffix-runs")
+    open_ = runs.where("z > 0")
     # a run has about 70 bytes; the number of shards follows the bytes to sort
-    n_shards = max(least, runs.count() * 70 // shard_bytes)
-    found = stage(_shards(_segments(rows, runs, length, n_shards), length, n_shards), "suffix-ranges")
-    cuts = found.where("w is null").drop("w").unionAll(_merge(found.where("w is not null")))
+    n_shards = max(least, open_.count() * 70 // shard_bytes)
+    found = stage(_shards(_segments(rows, open_, length, n_shards), length, n_shards), "suffix-ranges")
+    cuts = (runs.where("z = 0").drop("z").unionAll(found.where("w is null").drop("w"))
+            .unionAll(_merge(found.where("w is not null"))))
     # a text equal to one with a smaller key goes whole
-    first = meta.where(F.col("n") >= length).groupBy("r", "n", "c").agg(F.min("k").alias("k0"), F.count(F.lit(1)).alias("m"))
-    copies = (meta.join(first.where("m > 1"), ["r", "n", "c"]).where("k > k0")
+    first = meta.where(F.col("n") >= length).groupBy("tag", "n", "c").agg(F.min("k").alias("k0"), F.count(F.lit(1)).alias("m"))
+    copies = (meta.join(first.where("m > 1"), ["tag", "n", "c"]).where("k > k0")
               .select("k", "tag", F.lit(0).cast("long").alias("s"), F.col("n").alias("e")).distinct())
     cuts = (cuts.unionAll(copies).groupBy("k", "tag").agg(F.collect_list(F.struct("s", "e")).alias("cuts"))
             .select(F.col("k").alias("_k"), F.col("tag").alias("_tag"), "cuts"))

@@ -79,7 +79,7 @@ def with_classified(body: str, extra: str = "") -> str:
 
 ALERTS = """
 alerts AS (
-  SELECT 'ALT-' || upper(substr(row_hash, 1, 12)) AS id, device_name,
+  SELECT 'ALT-' || upper(row_hash) AS id, device_name,
          '192.168.1.' || substr(device_name, 8) AS device_ip,
          attack AS attack_type, attack_subtype AS subtype, pred_confidence AS confidence,
          strftime(kafka_timestamp, '%Y-%m-%d %H:%M:%S') AS timestamp, 'HIGH' AS severity,

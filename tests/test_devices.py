@@ -73,3 +73,15 @@ def test_known_device_split(spark):
     reg = spark.createDataFrame([("a",)], "device_name string")
     k, u = D.known_device_split(al, reg)
     assert [r.id for r in k.collect()] == [1] and [r.id for r in u.collect()] == [2]
+
+
+def test_unscored_flows_raise_no_alert(spark):
+    import datetime as dt
+    t = dt.datetime(2024, 1, 1)
+    df = spark.createDataFrame(
+        [("a", "DDoS Flood", "x", t, "01", 0, 0.9, 0, "Attack"), ("b", "", "x", t, "02", 0, 0.9, 0, "Attack"),
+         ("c", None, None, t, "03", None, None, 0, "Unknown")],
+        "device_name string, attack string, attack_subtype string, kafka_timestamp timestamp, row_hash string, "
+        "pred_label int, pred_confidence double, prediction_binary int, attack_type string")
+    got = {(r.device_name, r.attack_type, r.id) for r in D.alerts_from_classified(df).collect()}
+    assert got == {("a", "DDoS Flood", "ALT-01"), ("b", "Attack", "ALT-02")}

@@ -75,10 +75,24 @@ def test_row_key_forms(spark):
     df = df.withColumn("t", F.col("t").cast("timestamp"))
     iso = [r[0] for r in df.select(FK.row_key("d", "t", "h")).collect()]
     legacy = [r[0] for r in df.select(FK.row_key("d", "t", "h", legacy=True)).collect()]
-    assert iso == ["dev#2026-08-20T07:00:00#a8f4c2e1", "dev#2026-08-20T07:00:00.250000#01234567", None]
+    assert iso == ["dev#2026-08-20T07:00:00#a8f4c2e1ffff", "dev#2026-08-20T07:00:00.250000#0123456789", None]
     assert legacy[0] == "dev#2026-08-20 07:00:00#a8f4c2e1"
 
 
+def test_row_key_keeps_flows_with_one_prefix_and_ignores_the_zone(spark):
+    df = spark.createDataFrame([("d", 1704069000, "12345678aa"), ("d", 1704069000, "12345678bb")], "d string, s long, h string")
+    df = df.withColumn("t", F.timestamp_seconds("s"))
+    utc = [r[0] for r in df.select(FK.row_key("d", "t", "h")).collect()]
+    assert len(set(utc)) == 2
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        assert [r[0] for r in df.select(FK.row_key("d", "t", "h")).collect()] == utc
+        assert df.select(FK.utc_ntz("t").cast("date").cast("string")).first()[0] == "2024-01-01"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
 def test_clock_and_rate(spark):
     df = spark.createDataFrame([("2024-01-01 13:04:05", 1.0, 3.0), ("not a date", 0.0, 0.0),
                                 (None, 1.0, None), ("2024-01-01 00:00:00", 0.25, 100.0)],

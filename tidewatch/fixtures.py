@@ -29,14 +29,6 @@ FIXTURE_TEST_DEVICES = ["device_3", "device_7"]
 # Two-class map of the fixture scorer: index -> class name.
 FIXTURE_CLASS_MAP = {0: "Attack", 1: "Normal"}
 # ---------------------------------------------------------------------------
-# Fixed values (the reference dashboard's eight devices: their types and
-# locations in display order; the registry assigns them by user_id % 8)
-# ---------------------------------------------------------------------------
-DEVICE_TYPES = ["Smart Camera", "Thermostat", "Door Lock", "Motion Sensor",
-                "Smart Plug", "Baby Monitor", "Smart TV", "Router"]
-LOCATIONS = ["Living Room", "Hallway", "Entrance", "Garage",
-             "Kitchen", "Nursery", "Living Room", "Study"]
-# ---------------------------------------------------------------------------
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -103,8 +95,8 @@ def device_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return users.select(
         F.concat(F.lit("device_"), F.col("user_id").cast("string")).alias("device_name"),
         F.concat(F.lit("192.168.1."), F.col("user_id").cast("string")).alias("ip"),
-        F.get(F.array(*[F.lit(t) for t in DEVICE_TYPES]), i).alias("type"),
-        F.get(F.array(*[F.lit(x) for x in LOCATIONS]), i).alias("location"),
+        F.concat(F.lit("type "), i.cast("string")).alias("type"),
+        F.concat(F.lit("room "), (i / 2).cast("int").cast("string")).alias("location"),
     )
 
 

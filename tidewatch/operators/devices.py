@@ -8,8 +8,8 @@ Both state machines are decomposed into per-field *last values*:
 * last_attack_type last of alert -> its type, reconnect -> NULL
 
 Each is a ``max_by(value, order)`` with the order set to NULL for events that
-do not touch the field, so the whole machine is **one** hash aggregate by
-device — partial aggregation before the shuffle (a device holding a third of
+do not touch the field, so the whole machine is **one** aggregate by
+device (sort-based, as its buffers hold strings) — partial aggregation before the shuffle (a device holding a third of
 all events costs one row per task), and the same expression works as a
 streaming aggregation in update mode.  An alert on an isolated device turns
 its status to 'Under Attack' but leaves it disconnected, as the reference does.
@@ -20,22 +20,25 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidewatch.functions.classes import status_display
 from tidewatch.functions.formats import timestamp_text
-from tidewatch.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, join_dimension
+from tidewatch.operators.joins import join_dimension
 from tidewatch.schema import (ALERT_SEVERITY, DEFAULT_ALERT_CONFIDENCE, STATUS_ISOLATED,
                               STATUS_NORMAL, STATUS_UNDER_ATTACK)
 
 
 def alerts_from_classified(classified: DataFrame, registry: DataFrame | None = None,
                            time_col: str = "kafka_timestamp",
-                           max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                           type_col: str = "attack") -> DataFrame:
     """One alert per flow predicted as attack (prediction_binary = 0).
 
-    The id is derived from the flow fingerprint (stable across replays)
-    instead of a random number."""
-    a = classified.filter(F.col("prediction_binary") == 0).select(
-        F.concat(F.lit("ALT-"), F.upper(F.substring("row_hash", 1, 12))).alias("id"),
+    A flow that could not be scored raises no alert.  The id is the flow's
+    whole fingerprint (stable across replays) instead of a random number.  The
+    type is ``type_col``, or the decoded prediction where that is absent."""
+    scored = F.col("pred_label").isNotNull() if "pred_label" in classified.columns else F.lit(True)
+    kind = [F.when(F.col(c) != "", F.col(c)) for c in (type_col, "attack_type") if c in classified.columns]
+    a = classified.filter((F.col("prediction_binary") == 0) & scored).select(
+        F.concat(F.lit("ALT-"), F.upper("row_hash")).alias("id"),
         "device_name",
-        F.col("attack").alias("attack_type"),
+        F.coalesce(*kind).alias("attack_type"),
         F.col("attack_subtype").alias("subtype"),
         F.coalesce(F.col("pred_confidence"), F.lit(DEFAULT_ALERT_CONFIDENCE)).alias("confidence"),
         timestamp_text(time_col).alias("timestamp"),
@@ -45,7 +48,7 @@ def alerts_from_classified(classified: DataFrame, registry: DataFrame | None = N
     )
     if registry is not None:
         a = join_dimension(a, registry.select("device_name", F.col("ip").alias("device_ip")),
-                           "device_name", "left", max_broadcast_rows)
+                           "device_name", "left")
     else:
         a = a.withColumn("device_ip", F.lit(None).cast("string"))
     return a.select("id", "device_name", "device_ip", "attack_type", "subtype", "confidence",
@@ -122,15 +125,14 @@ def device_list(registry: DataFrame, state: DataFrame) -> DataFrame:
 
 
 def enrich_device(flows: DataFrame, registry: DataFrame) -> DataFrame:
-    """Flows with registry fields (left join, checked broadcast)."""
+    """Flows with registry fields (left join)."""
     return join_dimension(flows, registry, "device_name", "left")
 
 
 def exclude_isolated(flows: DataFrame, state: DataFrame) -> DataFrame:
     """Drop flows of currently isolated (disconnected) devices."""
     isolated = state.filter(~F.col("is_connected")).select("device_name")
-    # derived by an aggregation: AQE decides the broadcast from the measured stage
-    return join_dimension(flows, isolated, "device_name", "left_anti", None)
+    return join_dimension(flows, isolated, "device_name", "left_anti")
 
 
 def known_device_split(alerts: DataFrame, registry: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -1,31 +1,13 @@
-"""Dimension joins with a checked broadcast.
+"""Dimension joins.
 
-A base dimension table (device registry) is broadcast only after a bounded
-count proves it has at most ``max_broadcast_rows`` rows.  For a dimension
-*derived* by a large aggregation (e.g. the isolated-device set) pass
-``max_broadcast_rows=None``: a separate count would recompute that
-aggregation, while AQE measures the finished shuffle stage and switches to a
-broadcast join at run time when it is small (``autoBroadcastJoinThreshold``).
-Without a broadcast the join is a sort-merge/shuffled-hash join, and AQE's
-skew-join handling splits the partition of a hot device."""
+No hint and no row count: Spark broadcasts a side when its measured bytes are
+below ``spark.sql.autoBroadcastJoinThreshold`` (from file statistics, or at
+run time from a finished shuffle stage), and merges otherwise, where AQE splits
+the partition of a hot device.  The plan is the same code at every size."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
-DEFAULT_MAX_BROADCAST_ROWS = 500_000
 
-
-def is_bounded(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max+1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def checked_broadcast(dim: DataFrame, max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """``dim`` with a broadcast hint when it is proven small, else unchanged."""
-    return F.broadcast(dim) if is_bounded(dim, max_broadcast_rows) else dim
-
-
-def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "left",
-                   max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    side = dim if max_broadcast_rows is None else checked_broadcast(dim, max_broadcast_rows)
-    return fact.join(side, on=on, how=how)
+def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "left") -> DataFrame:
+    return fact.join(dim, on=on, how=how)

@@ -16,9 +16,15 @@ AUC counts ties as one half (Mann-Whitney); AP is the step-wise sum
 """
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window, functions as F
 
 
+#: distinct scores in a bucket, so that their number and the tasks grow with the data
+SCORES_PER_BUCKET = 100_000
+
+
 def confusion(df: DataFrame, label_col: str, pred_col: str, positive: int = 0) -> DataFrame:
     y = F.col(label_col) == positive
     p = F.col(pred_col) == positive
@@ -41,14 +47,19 @@ def score_counts(df: DataFrame, score_col: str, label_col: str, positive: int) -
 
 
 def running_sums(counts: DataFrame, order_col: str, value_cols: list[str],
-                 n_buckets: int = 64, totals: bool = False) -> DataFrame:
+                 n_buckets: int | None = None, totals: bool = False) -> DataFrame:
     """Adds ``cum_<v>`` = sum of ``v`` over rows with ``order_col`` <= this
     row's (one row per distinct ``order_col``); with ``totals`` also
     ``tot_<v>``, the grand total (taken from the bucket table, no extra pass)."""
     from pyspark.ml.feature import Bucketizer
+    counts = counts.checkpoint()  # read several times below
+    if n_buckets is None:
+        n_buckets = max(64, counts.count() // SCORES_PER_BUCKET + 1)
     probs = [i / n_buckets for i in range(1, n_buckets)]
     qs = counts.agg(F.percentile_approx(order_col, probs, 10000).alias("q")).first()["q"] or []
-    splits = [float("-inf")] + sorted({float(q) for q in qs}) + [float("inf")]
+    # infinite and NaN scores keep their place: first and last bucket, NaN behind them
+    finite = sorted({float(q) for q in qs if math.isfinite(q)}) or [0.0]
+    splits = [float("-inf"), *finite, float("inf")]
     bz = Bucketizer(splits=splits, inputCol=order_col, outputCol="_b", handleInvalid="keep")
     b = bz.transform(counts)
     bucket_totals = b.groupBy("_b").agg(*[F.sum(v).alias(f"_t_{v}") for v in value_cols])
@@ -65,7 +76,7 @@ def running_sums(counts: DataFrame, order_col: str, value_cols: list[str],
 
 
 def roc_auc(df: DataFrame, score_col: str, label_col: str, positive: int = 1,
-            n_buckets: int = 64) -> DataFrame:
+            n_buckets: int | None = None) -> DataFrame:
     c = running_sums(score_counts(df, score_col, label_col, positive), "score", ["neg"], n_buckets)
     below = F.col("cum_neg") - F.col("neg")
     agg = c.agg(F.sum(F.col("pos") * (below + 0.5 * F.col("neg"))).alias("u"),
@@ -74,7 +85,7 @@ def roc_auc(df: DataFrame, score_col: str, label_col: str, positive: int = 1,
 
 
 def average_precision(df: DataFrame, score_col: str, label_col: str, positive: int = 1,
-                      n_buckets: int = 64) -> DataFrame:
+                      n_buckets: int | None = None) -> DataFrame:
     c = score_counts(df, score_col, label_col, positive).withColumn("desc", -F.col("score"))
     c = running_sums(c, "desc", ["pos", "neg"], n_buckets)
     prec = F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))
@@ -83,7 +94,7 @@ def average_precision(df: DataFrame, score_col: str, label_col: str, positive: i
 
 
 def binary_metrics(df: DataFrame, score_col: str, label_col: str, positive: int = 1,
-                   n_buckets: int = 64) -> DataFrame:
+                   n_buckets: int | None = None) -> DataFrame:
     """ROC-AUC and the average precision of both classes from ONE pass of
     running sums in ascending score order (higher score = more ``positive``).
 

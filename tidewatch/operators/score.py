@@ -82,14 +82,22 @@ def score_pandas(df: DataFrame, load_model: Callable[[], object], feature_cols:
 
     @F.pandas_udf(PRED_SCHEMA)
     def _predict(batches: Iterator[Tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
-        model = load_model()
-        for cols in batches:
-            cols = cols if isinstance(cols, tuple) else (cols,)  # one feature -> bare Series
-            x = pd.concat(list(cols), axis=1)
-            x.columns = feature_cols
-            p = np.asarray(model.predict_proba(x), dtype="float64")
-            yield pd.DataFrame({"pred_label": p.argmax(axis=1).astype("int32"),
-                                "pred_confidence": p.max(axis=1)})
+        scorer = None
+        for batch in batches:
+            features = batch if isinstance(batch, tuple) else (batch,)
+            matrix = np.column_stack([pd.to_numeric(f, errors="coerce").to_numpy(np.float64) for f in features])
+            if scorer is None:
+                scorer = load_model()
+            known = ~np.isnan(matrix).any(axis=1)  # a row with a missing feature gets no prediction
+            label, best = np.zeros(len(matrix), np.int32), np.full(len(matrix), np.nan)
+            if known.any():
+                scores = np.asarray(scorer.predict_proba(pd.DataFrame(matrix[known], columns=feature_cols)))
+                if scores.ndim != 2 or len(scores) != known.sum() or scores.shape[1] < 2:
+                    raise ValueError(f"predict_proba gave shape {scores.shape} for {known.sum()} rows")
+                label[known] = np.argmax(scores, axis=1)
+                best[known] = scores[np.arange(len(scores)), label[known]]
+            yield pd.DataFrame({"pred_label": pd.arrays.IntegerArray(label, ~known),
+                                "pred_confidence": pd.arrays.FloatingArray(best, ~known)})
 
     pred = _predict(*[F.col(c) for c in feature_cols])
     out = df.withColumn("_pred", pred)

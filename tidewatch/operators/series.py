@@ -44,7 +44,7 @@ def gap_filled(spark: SparkSession, buckets: DataFrame, length: str = BUCKET_LEN
         return buckets.limit(0)
     lo, hi = int(lo_hi["lo"]), int(lo_hi["hi"])
     n = (hi - lo) // step + 1
-    parts = max(1, min(n // 200_000 + 1, 4096))
+    parts = n // 200_000 + 1
     grid = spark.range(0, n, 1, parts).select((F.lit(lo) + F.col("id") * step).alias("s"))
     j = grid.join(b, "s", "left")
     start = F.timestamp_seconds("s")
@@ -57,3 +57,9 @@ def gap_filled(spark: SparkSession, buckets: DataFrame, length: str = BUCKET_LEN
 def recent_buckets(buckets: DataFrame, n: int) -> DataFrame:
     """The newest ``n`` buckets (top-k by time, per-task), oldest first."""
     return buckets.orderBy(F.desc("bucket_start")).limit(n).orderBy("bucket_start")
+
+
+def valid_buckets(buckets: DataFrame, window: int) -> DataFrame:
+    """The newest ``window`` buckets whose two series are both numbers (P5)."""
+    number = [F.col(c).isNotNull() & ~F.isnan(c) for c in ("normal", "attack")]
+    return recent_buckets(buckets.filter(number[0] & number[1]), window)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidewatch import fixtures
 from tidewatch.operators.dedup import dedup_by_key
 from tidewatch.operators.fit import PrepStats, fit_stats, prepare
-from tidewatch.operators.parse import parse_messages
+from tidewatch.operators.parse import split_rejects
 from tidewatch.operators.score import apply_prediction, score_linear
 
 # Fixed coefficients of the fixture scorer (a two-class logistic model over
@@ -31,8 +31,9 @@ def fixture_scorer(df: DataFrame) -> DataFrame:
 
 
 def prepared_flows(msgs: DataFrame, layout, stats: PrepStats, normalize: bool = False) -> DataFrame:
-    """Parse, dedup by fingerprint (watermark form on streams), transform."""
-    return prepare(dedup_by_key(parse_messages(msgs, layout, normalize=normalize)), stats)
+    """Parse, leave out rejects, dedup by fingerprint (watermark form on streams), transform."""
+    valid, _rejects = split_rejects(msgs, layout, normalize=normalize)
+    return prepare(dedup_by_key(valid), stats)
 
 
 def classify(prepared: DataFrame, scorer: Callable[[DataFrame], DataFrame],

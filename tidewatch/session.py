@@ -38,22 +38,20 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
     return spark
 
 
-def scale_conf(input_bytes: int, total_cores: int, partition_bytes: int = 256 << 20,
-               max_partitions: int = 200_000) -> dict[str, str]:
+def scale_conf(input_bytes: int, total_cores: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Session settings sized for the data volume (apply before a streaming
     query's first run: its checkpoint fixes the shuffle partition count).
 
     * scans split at ``partition_bytes`` (``maxPartitionBytes``);
     * the initial shuffle partition count is sized so that a full-row shuffle
       (the fingerprint dedup) lands near ``partition_bytes`` per partition,
-      at least two waves of tasks, at most ``max_partitions``; AQE then
+      at least two waves of tasks; AQE then
       coalesces small partitions to the advisory size and splits skewed ones
       (the aggregates shuffle far less thanks to partial aggregation).
 
-    Example: 100 TB over 8,000 cores -> 200,000 shuffle partitions of ~512 MB
-    at the cap, 256 MB scan splits."""
+    Example: 100 TB over 8,000 cores -> about 400,000 shuffle partitions and
+    scan splits of 256 MB."""
     parts = max(2 * total_cores, -(-int(input_bytes) // partition_bytes))
-    parts = min(parts, max_partitions)
     return {
         "spark.sql.files.maxPartitionBytes": str(partition_bytes),
         "spark.sql.shuffle.partitions": str(parts),
@@ -74,6 +72,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     conf_dir = sc.getConf().get("spark.checkpoint.dir")
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
+    elif not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     else:  # local runs / tests only: nothing shared is configured
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="tidewatch-ckpt-", dir="/tmp"))
     return sc.getCheckpointDir()
@@ -90,9 +90,4 @@ def local_path(path: str) -> str:
     return path[5:] if path.startswith("file:") else path
 
 
-def timezone_is_utc(spark: SparkSession) -> bool:
-    return spark.conf.get("spark.sql.session.timeZone") in ("UTC", "Etc/UTC", "GMT")
-
-
-__all__ = ["build_session", "scale_conf", "ensure_checkpoint_dir", "scratch_path", "local_path",
-           "timezone_is_utc"]
+__all__ = ["build_session", "scale_conf", "ensure_checkpoint_dir", "scratch_path", "local_path"]

@@ -10,12 +10,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidewatch.functions.keys import utc_ntz
+
 PUBLISHED_COLUMNS = ["kafka_timestamp", "row_hash", "device_name", "pred_label",
                      "pred_confidence", "attack_type"]
 
 
 def write_archive(df: DataFrame, path: str, batch_id: int, time_col: str = "kafka_timestamp") -> None:
-    (df.withColumn("event_date", F.to_date(F.col(time_col)))
+    (df.withColumn("event_date", utc_ntz(time_col).cast("date"))
        .withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy("event_date", "batch_id").parquet(path))

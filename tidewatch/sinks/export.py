@@ -15,6 +15,8 @@ def export_frame(series: DataFrame, breakdown: bool = False) -> DataFrame:
     hdr = EXPORT_BREAKDOWN_HEADER if breakdown else EXPORT_OVERVIEW_HEADER
     cols = [F.col("t").alias(hdr[0])]
     cols += [F.coalesce(F.col(f"`{s}`").cast("double"), F.lit(0.0)).alias(h) for s, h in zip(src[1:], hdr[1:])]
+    if "bucket_start" in series.columns:  # the clock alone does not order a series of several days
+        series = series.orderBy("bucket_start")  # by ranges: part files follow each other in time
     return series.select(*cols)
 
 

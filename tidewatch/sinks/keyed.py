@@ -1,6 +1,6 @@
 """Keyed device store.
 
-Record: ``row_key`` (``device#time#hash8``), family ``cf`` as a struct of
+Record: ``row_key`` (``device#time#hash``), family ``cf`` as a struct of
 identity fields (NULL text -> ''), family ``features`` as a map of doubles
 (numbers stay numbers).  Stored as per-batch files partitioned by
 ``batch_id`` (idempotent per batch); the current view is the newest version
@@ -18,7 +18,7 @@ from tidewatch.functions.keys import row_key
 from tidewatch.operators.merge import latest_by_key
 
 
-def keyed_records(classified: DataFrame, feature_cols: list[str], hash_len: int = 8,
+def keyed_records(classified: DataFrame, feature_cols: list[str], hash_len: int | None = None,
                   legacy: bool = False, time_col: str = "kafka_timestamp") -> DataFrame:
     cf = F.struct(
         F.col("device_name").alias("device_name"),
@@ -29,6 +29,8 @@ def keyed_records(classified: DataFrame, feature_cols: list[str], hash_len: int
         F.col("prediction_binary").alias("prediction"),
     )
     feats = F.create_map(*chain.from_iterable((F.lit(c), F.col(c).cast("double")) for c in feature_cols))
+    # a record without a device or a time has no key: it belongs to the rejects, not to a shared NULL key
+    classified = classified.filter(F.col("device_name").isNotNull() & F.col(time_col).isNotNull())
     return classified.select(row_key("device_name", time_col, "row_hash", hash_len, legacy).alias("row_key"),
                              "device_name", cf.alias("cf"), feats.alias("features"))
 

@@ -29,15 +29,12 @@ def publish_kafka(msgs: DataFrame, servers: str, topic: str) -> None:
 
 
 def write_replay_files(msgs: DataFrame, path: str, rows_per_file: int = 1000,
-                       max_rows: int | None = None, ranges: int | None = None) -> None:
+                       ranges: int | None = None) -> None:
     """Lay ``msgs`` out as time-ordered Parquet files of at most
     ``rows_per_file`` rows: range partitioning by timestamp into ``ranges``
     tasks (default: the shuffle partition count), a sort inside each range,
     and ``maxRecordsPerFile`` to cut the files — no counting pass and no
-    single task.  ``max_rows`` stops the replay after that many earliest
-    rows, like the reference producer's cap."""
-    if max_rows is not None:
-        msgs = msgs.orderBy("timestamp").limit(int(max_rows))
+    single task."""
     n_ranges = ranges or int(msgs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (msgs.repartitionByRange(n_ranges, "timestamp").sortWithinPartitions("timestamp")
          .write.mode("overwrite").option("maxRecordsPerFile", int(rows_per_file)).parquet(path))

@@ -76,6 +76,15 @@ def parse_stream(msgs: DataFrame, layout, out_path: str, checkpoint: str, trigge
     return _start(w.outputMode("append"), checkpoint, trigger, state_partitions)
 
 
+def rejects_stream(msgs: DataFrame, layout, out_path: str, checkpoint: str, trigger: dict | None = None,
+                   state_partitions: int | None = None):
+    """Messages that do not parse, with the reason, as Parquet (the side output
+    of the classifying and training streams, which leave them out)."""
+    from tidewatch.operators.parse import split_rejects
+    w = split_rejects(msgs, layout)[1].writeStream.format("parquet").option("path", out_path)
+    return _start(w.outputMode("append"), checkpoint, trigger, state_partitions)
+
+
 def classification_stream(msgs: DataFrame, layout, stats: PrepStats, scorer, class_map: dict,
                           feature_cols: list[str], paths: dict[str, str], checkpoint: str,
                           registry: DataFrame | None = None, trigger: dict | None = None,
@@ -86,9 +95,6 @@ def classification_stream(msgs: DataFrame, layout, stats: PrepStats, scorer, cla
     ``compact_every`` the keyed store and the index get a compaction snapshot
     every that many batches (read with ``merge.latest_since_snapshot``)."""
     classified = classify(prepared_flows(msgs, layout, stats), scorer, class_map)
-    if registry is not None:  # size checked once per job, not once per micro-batch
-        from tidewatch.operators.joins import checked_broadcast
-        registry = checked_broadcast(registry)
 
     sinks = []
     if "archive" in paths:
@@ -99,7 +105,7 @@ def classification_stream(msgs: DataFrame, layout, stats: PrepStats, scorer, cla
         sinks.append(lambda df, b: index.write_index(index.index_documents(df), paths["index"], b))
     if "alerts" in paths:
         sinks.append(lambda df, b: alert_log.write_alerts(
-            D.alerts_from_classified(df, registry, max_broadcast_rows=None), paths["alerts"], b))
+            D.alerts_from_classified(df, registry), paths["alerts"], b))
 
     def write_batch(batch_df: DataFrame, batch_id: int) -> None:
         wrote = fanout(without_event_time_marks(batch_df), batch_id, sinks)

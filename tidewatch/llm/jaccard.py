@@ -342,26 +342,38 @@ def _left(groups: DataFrame, sets: DataFrame, comp: DataFrame, checked: DataFram
 
     def block(rows):
         base = sorted((r for r in rows if not r["probe"]), key=lambda r: r["n"])
-        sizes = np.array([r["n"] for r in base])
+        n, c, s = (np.array([r[x] for r in base], np.int64) for x in ("n", "c", "s"))
+        o = np.array([-1 if r["o"] is None else r["o"] for r in base], np.int64)
+        width = np.array([len(r["bits"]) for r in base])
+        parts = []  # entries by width of their bitmaps, still sorted by size
+        for w in np.unique(width):
+            at = np.flatnonzero(width == w)
+            parts.append((at, np.frombuffer(b"".join(base[i]["bits"] for i in at), np.uint8).reshape(len(at), w)))
+        folded: dict = {}
         out = set()
         for q in (r for r in rows if r["probe"]):
-            n = q["n"]
-            # entries out of the size range are skipped as a whole
-            lo, hi = np.searchsorted(sizes, -(-3 * n // 4)), np.searchsorted(sizes, 4 * n // 3, "right")
-            found = []
-            for x in base[lo:hi]:
-                if x["c"] == q["c"] or x["s"] == q["s"]:
+            m, bits, found = q["n"], np.frombuffer(q["bits"], np.uint8), []
+            for at, table in parts:
+                # entries out of the size range are skipped as a whole
+                lo, hi = np.searchsorted(n[at], -(-3 * m // 4)), np.searchsorted(n[at], 4 * m // 3, "right")
+                if lo == hi:
                     continue
-                if q["o"] is not None and x["o"] is not None:
+                w = min(len(bits), table.shape[1])
+                key = (table.shape[1], w)
+                if key not in folded:
+                    folded[key] = np.bitwise_xor.reduce(table.reshape(len(table), -1, w), axis=1)
+                x = at[lo:hi]
+                needed = -(-3 * (m + n[x]) // 7)
+                d = _ONES[folded[key][lo:hi] ^ _fold(bits, w)].sum(1, dtype=np.int64)
+                keep = (m + n[x] - 2 * needed >= d) & (c[x] != q["c"]) & (s[x] != q["s"])
+                if q["o"] is not None:
                     # overlap bounded by what both share with the hub and what each has besides
-                    if min(q["o"], x["o"]) + min(n - q["o"], x["n"] - x["o"]) < need(n, x["n"]):
-                        continue
-                d = apart(q["bits"], x["bits"])
-                if n + x["n"] - 2 * need(n, x["n"]) >= d:
-                    found.append((d, x["s"]))
+                    bound = np.minimum(q["o"], o[x]) + np.minimum(m - q["o"], n[x] - o[x])
+                    keep &= (o[x] < 0) | (bound >= needed)
+                found += zip(d[keep].tolist(), s[x][keep].tolist())
             if few is not None:
                 found = sorted(found)[:few]
-            out.update((min(q["s"], s), max(q["s"], s)) for _, s in found)
+            out.update((min(q["s"], y), max(q["s"], y)) for _, y in found)
         if out:
             a, b = zip(*sorted(out))
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])

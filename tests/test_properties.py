@@ -168,3 +168,21 @@ def test_put_partitions_batches_on_executors(spark, scratch):
     keyed.put_partitions(recs.select("row_key"), put_batch, batch_size=100)
     sizes = [sum(1 for _ in open(os.path.join(out, f))) for f in os.listdir(out)]
     assert sum(sizes) == recs.count() and max(sizes) <= 100
+
+
+def test_torn_snapshot_is_passed_over(spark, scratch):
+    from tidewatch.operators.merge import compact, latest_since_snapshot, newest_snapshot, snapshot_path
+    path = scratch("torn")
+    for b, rows in enumerate([[("a", 1), ("b", 1)], [("a", 2), ("c", 2)], [("b", 3)]]):
+        (spark.createDataFrame(rows, "k string, v int").withColumn("batch_id", F.lit(b).cast("long"))
+         .write.mode("append").partitionBy("batch_id").parquet(path))
+    assert newest_snapshot(spark, path) is None
+    compact(spark, path, snapshot_path(path, 1), "k", ["batch_id"])
+    # a half-written snapshot of a later batch: files, no marker
+    (spark.createDataFrame([("a", 2)], "k string, v int").withColumn("batch_id", F.lit(2).cast("long"))
+     .write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").partitionBy("batch_id")
+     .parquet(snapshot_path(path, 2)))
+    snap = newest_snapshot(spark, path)
+    assert snap == snapshot_path(path, 1) and newest_snapshot(spark, path, below=1) is None
+    view = {r.k: r.v for r in latest_since_snapshot(spark, path, snap, "k", ["batch_id"]).collect()}
+    assert view == {"a": 2, "b": 3, "c": 2}

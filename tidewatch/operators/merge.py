@@ -1,9 +1,10 @@
 """Last-write-wins merge by key (G4) for keyed stores kept as files.
 
 A keyed store is a folder of per-batch files; the current view is the newest
-version of every key.  ``max_by`` over ``(batch_id, order...)`` is one hash
-aggregate with partial aggregation, so re-writing a batch or reading batches
-in any order yields the same view."""
+version of every key.  ``max_by`` over ``(batch_id, order...)`` is one
+aggregate (sort-based, as its buffers hold structs) with a partial step before
+the shuffle, so re-writing a batch or reading batches in any order yields the
+same view."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -21,14 +22,14 @@ def upsert(current: DataFrame, updates: DataFrame, key: str, order_cols: list[st
 
 
 def compact(spark: SparkSession, src: str, dst: str, key: str, order_cols: list[str],
-            batch_col: str = "batch_id") -> int:
+            batch_col: str = "batch_id", base: str | None = None) -> int:
     """Periodic compaction of a per-batch keyed folder: write the latest
     version of every key to a *new* folder ``dst`` as one batch (keeping the
     newest batch id), so that readers switch paths atomically and later reads
     scan one version per key instead of every batch.  Returns that batch id."""
     raw = spark.read.parquet(src)
     top = raw.agg(F.max(batch_col).alias("b")).first()["b"]
-    latest = latest_per_key(raw, key, order_cols).withColumn(batch_col, F.lit(top).cast("long"))
+    latest = latest_since_snapshot(spark, src, base, key, order_cols, batch_col).withColumn(batch_col, F.lit(top).cast("long"))
     # overwrite: a micro-batch replayed after a crash recomputes the same snapshot
     latest.sortWithinPartitions(key).write.mode("overwrite").partitionBy(batch_col).parquet(dst)
     return int(top)
@@ -38,14 +39,23 @@ def snapshot_path(path: str, upto: int) -> str:
     return f"{path.rstrip('/')}_snapshots/upto={int(upto)}"
 
 
-def newest_snapshot(spark: SparkSession, path: str) -> str | None:
-    """The newest ``compact`` snapshot of a keyed folder, or None."""
-    root = f"{path.rstrip('/')}_snapshots"
-    try:
-        top = spark.read.parquet(root).agg(F.max("upto").alias("u")).first()["u"]
-    except Exception:  # noqa: BLE001 — no snapshot written yet
+def newest_snapshot(spark: SparkSession, path: str, below: int | None = None) -> str | None:
+    """The newest complete ``compact`` snapshot of a keyed folder (of a batch
+    before ``below``), or None.  A snapshot counts once the writer's
+    ``_SUCCESS`` marker is there; one that is being written, or was left by a
+    failed job, is passed over."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}_snapshots")
+    files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(root):
         return None
-    return None if top is None else snapshot_path(path, top)
+    found = []
+    for f in files.listStatus(root):
+        name = f.getPath().getName()
+        if name.startswith("upto=") and files.exists(jvm.org.apache.hadoop.fs.Path(f.getPath(), "_SUCCESS")):
+            found.append(int(name[5:]))
+    found = [n for n in found if below is None or n < below]
+    return snapshot_path(path, max(found)) if found else None
 
 
 def latest_since_snapshot(spark: SparkSession, path: str, snapshot: str | None, key: str,

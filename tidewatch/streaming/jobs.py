@@ -110,14 +110,14 @@ def classification_stream(msgs: DataFrame, layout, stats: PrepStats, scorer, cla
     def write_batch(batch_df: DataFrame, batch_id: int) -> None:
         wrote = fanout(without_event_time_marks(batch_df), batch_id, sinks)
         if wrote and compact_every and batch_id > 0 and batch_id % compact_every == 0:
-            from tidewatch.operators.merge import compact, snapshot_path
+            from tidewatch.operators.merge import compact, newest_snapshot, snapshot_path
             spark = batch_df.sparkSession
             if "keyed" in paths:
                 compact(spark, paths["keyed"], snapshot_path(paths["keyed"], batch_id), "row_key",
-                        ["batch_id", "cf"])
+                        ["batch_id", "cf"], base=newest_snapshot(spark, paths["keyed"], batch_id))
             if "index" in paths:
                 compact(spark, paths["index"], snapshot_path(paths["index"], batch_id), "doc_id",
-                        ["batch_id", "event_time"])
+                        ["batch_id", "event_time"], base=newest_snapshot(spark, paths["index"], batch_id))
 
     return _start(classified.writeStream.foreachBatch(write_batch), checkpoint, trigger, state_partitions)
 
@@ -133,8 +133,9 @@ def _upsert_sink(path: str, key: str | None = None, compact_every: int | None =
     def write(batch_df: DataFrame, batch_id: int) -> None:
         _write_batch_files(batch_df, batch_id, path)
         if key and compact_every and batch_id > 0 and batch_id % compact_every == 0:
-            from tidewatch.operators.merge import compact, snapshot_path
-            compact(batch_df.sparkSession, path, snapshot_path(path, batch_id), key, ["batch_id"])
+            from tidewatch.operators.merge import compact, newest_snapshot, snapshot_path
+            compact(batch_df.sparkSession, path, snapshot_path(path, batch_id), key, ["batch_id"],
+                    base=newest_snapshot(batch_df.sparkSession, path, batch_id))
     return write
 
 

@@ -447,10 +447,8 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     for few in (3, None):
         comp = stage(components(_linked(checked), "a", "b"), "jaccard-components")
         rest = stage(_left(groups, sets, comp, checked, few), "jaccard-left")
-        if rest.isEmpty():
-            if few is None:
-                break
-            continue
+        if rest.isEmpty():  # nothing under the limit means nothing at all
+            break
         checked = stage(checked.unionAll(verified(rest)), "jaccard-checked")
         if few is None:
             comp = stage(components(_linked(checked), "a", "b"), "jaccard-components")

@@ -125,12 +125,45 @@ def op8(spark, sf):
     return decontam.contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
 
-@query("op3_jaccard_join")
+_JACCARD_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS x
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS o FROM s a JOIN s b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+e AS (SELECT p.a, p.b FROM p JOIN n x ON x.doc_id = p.a JOIN n y ON y.doc_id = p.b
+      WHERE 100 * p.o >= 75 * (x.n + y.n - p.o)),
+r(a, b) AS (SELECT a, b FROM e UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a)
+SELECT w.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, least(w.doc_id, coalesce(min(r.b), w.doc_id)) AS component_id
+FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN r ON r.a = w.doc_id GROUP BY w.doc_id"""
+
+
+@query("op3_jaccard_join", _JACCARD_SQL)
 def op3(spark, sf):
-    return jaccard.link(table(spark, sf, "documents")).drop("row")
-
-
-@query("op4_suffix_dedup")
+    return jaccard.link(table(spark, sf, "documents")).drop("row", "kept")
+
+
+_SUFFIX_SQL = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+c AS (SELECT doc_id, h, unnest(range((length(h) + 1023) // 1024)) AS j FROM d),
+q AS (SELECT doc_id, j, substr(h, 1024 * j + 1, 1024 + 98) AS h FROM c),
+b AS (SELECT doc_id, 512 * j + p AS p, substr(h, 2 * p + 1, 2) AS c, substr(h, 2 * p + 1, 100) AS w
+      FROM (SELECT doc_id, j, h, unnest(range(least(512, length(h) // 2))) AS p FROM q)),
+f AS (SELECT w, min(doc_id) AS k FROM b WHERE length(w) = 100 GROUP BY w),
+g AS (SELECT b.doc_id, b.p, b.c, coalesce(f.k < b.doc_id, false) AS x FROM b LEFT JOIN f ON f.w = b.w),
+r AS (SELECT doc_id, p, c, max(CAST(x AS INTEGER)) OVER (PARTITION BY doc_id ORDER BY p ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS x
+      FROM g),
+t AS (SELECT *, coalesce(lag(x) OVER (PARTITION BY doc_id ORDER BY p), 0) AS before FROM r),
+o AS (SELECT doc_id, CAST(sum(x) AS BIGINT) AS n_removed, CAST(count_if(x = 1 AND before = 0) AS BIGINT) AS n_spans,
+             coalesce(string_agg(c, '' ORDER BY p) FILTER (x = 0), '') AS kept FROM t GROUP BY doc_id)
+SELECT d.doc_id, CAST(length(d.h) // 2 AS BIGINT) AS n_bytes, coalesce(o.n_removed, 0) AS n_removed,
+       coalesce(o.n_spans, 0) AS n_spans, sha256(unhex(coalesce(o.kept, ''))) AS kept_sha256
+FROM d LEFT JOIN o ON o.doc_id = d.doc_id"""
+
+
+@query("op4_suffix_dedup", _SUFFIX_SQL)
 def op4(spark, sf):
     return suffixes.dedup(table(spark, sf, "documents")).select(
         "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),

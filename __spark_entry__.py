@@ -870,11 +870,13 @@ def q_traffic_buckets_stream(spark, sf):
 
 
 # The training-data operators live in a folder of their own that may be absent.
-if importlib.util.find_spec("tidewatch.llm") is not None:
+_HAS_LLM = (importlib.util.find_spec("tidewatch.llm") is not None
+            and importlib.util.find_spec("tidewatch.llm.queries") is not None)
+if _HAS_LLM:
     from tidewatch.llm import queries as _llm  # noqa: E402
     _QUERIES.update(_llm.QUERIES)
     _SQL.update(_llm.SQL)
-if importlib.util.find_spec("corpus_pipeline") is not None and importlib.util.find_spec("tidewatch.llm") is not None:
+if _HAS_LLM and importlib.util.find_spec("corpus_pipeline") is not None:
     import corpus_pipeline as _cp  # noqa: E402
 
     def _pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:

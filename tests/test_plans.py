@@ -70,7 +70,8 @@ def test_scan_prunes_columns(plans):
 def test_filters_do_not_re_evaluate_the_parse(plans, key):
     """Regression: a filter on a prediction must stay above the dedup
     aggregate; pushed below it, Catalyst inlined the whole parse -> score
-    chain into the condition dozens of times (one split per field is fine)."""
+    chain into the condition dozens of times.  One split per field is fine,
+    and since rejects leave before the dedup, two mentions of the bound check."""
     p = plans[key]
-    assert p.count("split(") <= 7, (key, p.count("split("))
+    assert p.count("split(") <= 9, (key, p.count("split("))
     assert p.count("get_json_object(") <= 5, key

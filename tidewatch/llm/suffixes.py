@@ -37,7 +37,7 @@ from tidewatch.llm.common import mix, powers, stage, text_chunks
 from tidewatch.llm.jaccard import _planes, _unplanes
 
 GRAM = 16
-PIECE = 4 << 20
+PIECE = 2 << 20
 HOT_RUNS = 20_000
 _U = np.uint64
 _NULL = -(1 << 63)
@@ -176,7 +176,7 @@ def _runs(rows: DataFrame, length: int, n_buckets: int, hot_runs: int) -> DataFr
                 parts.append((g >> _U(16), content_hashes(a, first, n), np.full(len(g), k, np.int64),
                               np.full(len(g), tag, np.int64), first.astype(np.uint32), n.astype(np.uint32)))
                 size += len(g)
-            if size >= 400_000:
+            if size >= 200_000:
                 yield from deal(parts)
                 parts, size = [], 0
         if parts:
@@ -407,7 +407,7 @@ def _merge(open_: DataFrame) -> DataFrame:
 
 
 def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = 50,
-          shard_bytes: int = 4 << 20, hot_runs: int = HOT_RUNS) -> DataFrame:
+          shard_bytes: int = 1 << 20, hot_runs: int = HOT_RUNS) -> DataFrame:
     """(key, n_bytes, n_removed, spans, kept) of every row; ``kept``: the bytes that stay, ``spans``: (start, end) removed."""
     raw = F.coalesce(F.col(text), F.lit("")).cast("binary")
     rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(key).cast("long"), F.lit(_NULL)).alias("k"), raw.alias("t"))
@@ -417,7 +417,7 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int
     n_bytes = meta.agg(F.sum("n")).first()[0] or 0
     spark = docs.sparkSession
     least = spark.sparkContext.defaultParallelism
-    runs = stage(_runs(rows, length, max(least, n_bytes // (8 << 20)), hot_runs), "suffix-runs")
+    runs = stage(_runs(rows, length, max(least, n_bytes // (2 << 20)), hot_runs), "suffix-runs")
     open_ = runs.where("z > 0")
     # a run has about 70 bytes; the number of shards follows the bytes to sort
     n_shards = max(least, open_.count() * 70 // shard_bytes)

@@ -197,6 +197,16 @@ def test_decontamination(spark):
     assert decontam.contaminated(rows, bench.limit(0)).count() == 0
 
 
+def test_decontamination_edited_copies_of_one_kind(spark):
+    w = [f"w{i}" for i in range(30)]
+    edited = " ".join(w[:15] + ["other"] + w[16:])  # three grams of the item are in no text
+    docs = spark.createDataFrame([(d, f"a{d} b{d} {edited} c{d}") for d in range(12)], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, " ".join(w))], "item_id long, text string")
+    for rare in (2, 1_000):
+        got = {(r.doc_id, r.score) for r in decontam.contaminated(docs, bench, rare_docs=rare).collect()}
+        assert got == {(d, 57 / 60) for d in range(12)}
+
+
 def pages(spark):
     random.seed(8)
     big = "".join(random.choice("abcdef ") for _ in range(40_000))

@@ -5,9 +5,10 @@ words scores each pair, so edited and paraphrased copies count as well.
 
 1. The items' word n-grams (``n`` words; an item with fewer words is one gram)
    are counted over all texts.
-2. Seeds are the grams that few texts hold: at most ``rare_docs`` of them, or,
-   in an item without so rare a gram, its ``least_seeds`` rarest ones, so that
-   every item has seeds.
+2. Seeds are the grams that few texts hold, but at least one: at most
+   ``rare_docs`` texts, or, in an item with fewer than ``least_seeds`` such
+   grams, its ``least_seeds`` rarest ones, so that every item of which a text
+   holds a gram has seeds.
 3. Where a text holds a seed, the words around it are aligned with the item.
    The score is the alignment's score over the item's own, 1 for a whole copy;
    pairs of ``min_score`` or more are reported with the aligned words' place.
@@ -127,12 +128,12 @@ def _seeds(items: Items, df: dict[int, int], rare_docs: int, least: int) -> dict
     """Gram -> (item, place in the item) for every seed."""
     out: dict[int, list[tuple[int, int]]] = {}
     for i, grams in enumerate(items.grams):
-        g = sorted({int(x) for x in grams}, key=lambda x: (df.get(x, 0), x))
-        keep = {x for x in g if df.get(x, 0) <= rare_docs}
+        g = sorted({int(x) for x in grams if int(x) in df}, key=lambda x: (df[x], x))  # no text holds the others
+        keep = {x for x in g if df[x] <= rare_docs}
         if len(keep) < least:
             keep = set(g[:least])
         for p, x in enumerate(grams.tolist()):
-            if x in keep and df.get(x, 0):
+            if x in keep:
                 out.setdefault(x, []).append((i, p))
     return out
 

@@ -5,6 +5,7 @@ import random
 import re
 import zlib
 
+import numpy as np
 import pytest
 from pyarrow import fs
 from pyspark.sql import functions as F
@@ -207,6 +208,38 @@ def test_decontamination_edited_copies_of_one_kind(spark):
         assert got == {(d, 57 / 60) for d in range(12)}
 
 
+def test_decontamination_copies_without_the_rare_grams(spark):
+    w = [f"w{i}" for i in range(40)]
+    changed = w[:4] + [f"x{i}" for i in range(6)] + w[10:]  # scores 62 of 80 by frequent grams alone
+    docs = [(d, " ".join(w[:6] + [f"a{d}"] + w[9:] if d < 2 else [f"b{d}"] + changed)) for d in range(10)]
+    docs += [(d, " ".join([f"b{d}"] * 9 + w[d:d + 3] + ["w1", "w2"] * 20)) for d in range(10, 30)]  # frequent, but far away
+    docs += [(50, " ".join(w)), (51, " ".join(x for i in range(0, 40, 4) for x in w[i:i + 4] + ["y1", "y2"]))]
+    rows = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame([(1, " ".join(w))], "item_id long, text string")
+    split = {d: t.split() for d, t in docs}
+    want = {d: smith_waterman(w, t) / 80 for d, t in split.items()}
+    for rare in (2, 1_000):
+        for part in (rows, rows.where("doc_id in (4, 12, 51)")):  # alike among many texts and few
+            got = {r.doc_id: r.score for r in decontam.contaminated(part, bench, rare_docs=rare).collect()}
+            assert got == {r.doc_id: want[r.doc_id] for r in part.collect() if want[r.doc_id] >= 0.5}
+    assert {d for d in want if want[d] >= 0.5} == {*range(10), 50, 51}
+
+
+def test_decontamination_bounds_and_slices():
+    random.seed(8)
+    voc = [f"w{i}" for i in range(12)]  # few words: nearly every pair shares grams
+    items = [(i, " ".join(random.choice(voc) for _ in range(random.randint(1, 25)))) for i in range(12)]
+    docs = [(d, " ".join(random.choice(voc) for _ in range(random.randint(1, 90)))) for d in range(40)]
+    bench = decontam.Items(*zip(*items), 3, 0.5)
+    h, first, at, g = decontam._hits([t.encode() for _, t in docs], bench.sizes, bench.grams, decontam._filter(bench.grams))
+    d, item, lo, hi = decontam._spans(bench, first, np.searchsorted(first, at, "right") - 1, at, np.searchsorted(bench.grams, g))
+    may = decontam._may_reach(bench, h, item, lo, hi, 0.5)
+    reach = [decontam.smith_waterman(bench.of(i), h[a:b])[0] / (2 * len(bench.of(i))) >= 0.5 for i, a, b in zip(item, lo, hi)]
+    assert len(may) > 100 and all(m >= r for m, r in zip(may, reach)) and any(reach) and not all(may)
+    total, group = np.cumsum([3, 1, 1, 9, 2, 2, 2, 1]), np.array([0, 0, 1, 1, 2, 2, 2, 3])
+    assert [(c.start, c.stop) for c in decontam._cuts(total, group, 6)] == [(0, 2), (2, 3), (3, 4), (4, 7), (7, 8)]
+
+
 def pages(spark):
     random.seed(8)
     big = "".join(random.choice("abcdef ") for _ in range(40_000))

@@ -1,20 +1,28 @@
 """Benchmark decontamination (operator 8).
 
-Rare n-gram seeds join texts to test items, and a Smith-Waterman alignment over
+n-gram seeds join texts to test items, and a Smith-Waterman alignment over
 words scores each pair, so edited and paraphrased copies count as well.
 
-1. The items' word n-grams (``n`` words; an item with fewer words is one gram)
-   are counted over all texts.
-2. Seeds are the grams that few texts hold, but at least one: at most
-   ``rare_docs`` texts, or, in an item with fewer than ``least_seeds`` such
-   grams, its ``least_seeds`` rarest ones, so that every item of which a text
-   holds a gram has seeds.
-3. Where a text holds a seed, the words around it are aligned with the item.
-   The score is the alignment's score over the item's own, 1 for a whole copy;
-   pairs of ``min_score`` or more are reported with the aligned words' place.
+1. Seeds are all word n-grams of the items (``n`` words; an item with fewer
+   words is one gram), however many texts hold them: what a text matches does
+   not depend on the other texts.
+2. Where a text holds a seed, the words around it are compared with the item:
+   as many on either side as an alignment of ``min_score`` through the seed can
+   reach.  Two upper bounds of the score leave out what cannot reach
+   ``min_score``: the best run of the text's words, or of the item's, when every
+   word that the other side has anywhere counts as a match.
+3. What is left is aligned.  The score is the alignment's score over the item's
+   own, 1 for a whole copy; pairs of ``min_score`` or more are reported with the
+   aligned words' place.
+
+The bounds never fall below the score, so every text and item that share a gram
+and align around it are reported.  The work grows with the pairs that share a
+gram: for one benchmark, with the number of texts.  ``rare_docs`` and
+``least_seeds`` limited the seeds once; they are still taken and change nothing.
 
 Items go out to the tasks in blocks of ``block_items``, so what is broadcast is
-bounded whatever the benchmark's size; texts are never shuffled.
+bounded whatever the benchmark's size; texts are read once a block and never
+shuffled.
 
 Words are ``[^\\x20\\x09-\\x0D]+`` in lower case (A-Z) with ASCII punctuation read
 as blanks; places count such words.  Defined results: null and empty texts
@@ -27,9 +35,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidewatch.llm.common import gram_hashes, stage, text_chunks, word_hashes
+from tidewatch.llm.common import gram_hashes, mix, stage, text_chunks, word_hashes
 
 MATCH, MISMATCH, GAP = 2, -1, -1
+#: seeds or words handled at once by the vectorised steps (one long text may exceed it)
+SLICE = 1 << 18
+_SPAN = np.uint64(0x9E3779B97F4A7C15)
 _PUNCTUATION = bytes(c if chr(c).isalnum() or c >= 128 else 32 for c in range(256))
 
 
@@ -69,14 +80,26 @@ def smith_waterman(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int]:
 
 
 class Items:
-    """Words and n-grams of a block of test items."""
+    """Words and n-grams of a block of test items; gram k stands at the places first[k] to first[k + 1] - 1 of
+    ``item`` and ``place``."""
 
-    def __init__(self, ids: list, texts: list[str | None], n: int):
+    def __init__(self, ids: list, texts: list[str | None], n: int, min_score: float):
         self.ids, self.n = ids, n
-        h, first = word_hashes([plain((t or "").encode()) for t in texts])
-        self.words = [h[first[i]:first[i + 1]] for i in range(len(ids))]
-        self.grams = [gram_hashes(w, min(n, len(w))) if len(w) else w for w in self.words]
-        self.sizes = sorted({min(n, len(w)) for w in self.words if len(w)})
+        self.words, self.word = word_hashes([plain((t or "").encode()) for t in texts])
+        self.size = np.diff(self.word)
+        grams = [gram_hashes(w, min(n, len(w))) if len(w) else w for w in map(self.of, range(len(ids)))]
+        self.sizes = sorted({min(n, int(m)) for m in self.size if m})
+        g = np.concatenate([*grams, np.zeros(0, np.uint64)])
+        order = np.argsort(g, kind="stable")
+        self.item = np.repeat(np.arange(len(ids)), [len(x) for x in grams])[order]
+        self.place = np.concatenate([*map(np.arange, map(len, grams)), np.zeros(0, int)])[order]
+        self.grams, first = np.unique(g[order], return_index=True)
+        self.first = np.append(first, len(g))
+        # every word put in costs a point, and this many points are between a whole copy and min_score
+        self.pad = np.maximum(self.size // 2 + 4, np.floor(MATCH * self.size * (1 - min_score) + 1e-6).astype(int))
+
+    def of(self, item: int) -> np.ndarray:
+        return self.words[self.word[item]:self.word[item + 1]]
 
 
 def _hits(texts: list[bytes], sizes: list[int], wanted: np.ndarray, filt: np.ndarray):
@@ -103,72 +126,84 @@ def _filter(wanted: np.ndarray) -> np.ndarray:
     return out
 
 
-def _frequencies(docs: DataFrame, items: Items, key: str, text: str) -> dict[int, int]:
-    """Number of texts that hold each gram of the block."""
-    wanted = np.unique(np.concatenate([*items.grams, np.zeros(0, np.uint64)]))
-    shared = docs.sparkSession.sparkContext.broadcast((wanted, items.sizes))
+def _ragged(start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """start[i] to start[i] + size[i] - 1 for every i, and the i of each."""
+    of = np.repeat(np.arange(len(start)), size)
+    return np.arange(len(of)) - (np.cumsum(size) - size - start)[of], of
+
+
+def _cuts(total: np.ndarray, group: np.ndarray | None = None, limit: int = SLICE):
+    """Slices of at most about ``limit``, given running totals; a slice ends where a group does unless that alone is more."""
+    i = 0
+    while i < len(total):
+        j = max(i + 1, int(np.searchsorted(total, (total[i - 1] if i else 0) + limit, "right")))
+        if group is not None and j < len(total) and group[j - 1] == group[j]:
+            begin = int(np.searchsorted(group, group[j]))
+            j = begin if begin > i else j
+        yield slice(i, j)
+        i = j
+
+
+def _spans(items: Items, first: np.ndarray, text: np.ndarray, at: np.ndarray, k: np.ndarray):
+    """(text, item, start, end) of the words to compare for grams ``k`` found at ``at``; what meets is one."""
+    idx, of = _ragged(items.first[k], items.first[k + 1] - items.first[k])
+    item, d, p = items.item[idx], text[of], at[of]
+    lo = p - items.place[idx] - items.pad[item]
+    hi = np.minimum(first[d + 1], lo + items.size[item] + 2 * items.pad[item])
+    lo = np.maximum(first[d], lo)
+    order = np.lexsort((p, item, d))
+    d, item, lo, hi = d[order], item[order], lo[order], hi[order]
+    new = np.ones(len(d), bool)
+    new[1:] = (d[1:] != d[:-1]) | (item[1:] != item[:-1])
+    lift = np.cumsum(new) * (int(first[-1]) + 1)  # the running maximum starts anew with every pair
+    new[1:] |= lo[1:] > (np.maximum.accumulate(hi + lift) - lift)[:-1]
+    begin = np.flatnonzero(new)
+    return d[begin], item[begin], lo[begin], np.maximum.reduceat(hi, begin)
+
+
+def _best_runs(held: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """Best score of a run of words in each group (``of`` counts them) if held words match and others cost a point."""
+    gain = np.where(held, MATCH, max(MISMATCH, GAP))
+    after = np.cumsum(gain)
+    lift = of * (MATCH + 1) * (len(of) + 1)  # the running minimum starts anew with every group
+    low = np.minimum.accumulate(after - gain - lift) + lift
+    return np.maximum.reduceat(after - low, np.flatnonzero(np.diff(of, prepend=-1)))
+
+
+def _may_reach(items: Items, h: np.ndarray, item: np.ndarray, lo: np.ndarray, hi: np.ndarray, min_score: float):
+    """Whether text words lo to hi and the item may align to min_score: false only if they cannot."""
+    a, of_a = _ragged(items.word[item], items.size[item])
+    b, of_b = _ragged(lo, hi - lo)
+    # equal words of one span have equal keys; a clash only lets a span through
+    a = mix(items.words[a] + of_a.astype(np.uint64) * _SPAN)
+    b = mix(h[b] + of_b.astype(np.uint64) * _SPAN)
+    most = np.minimum(_best_runs(np.isin(a, b), of_a), _best_runs(np.isin(b, a), of_b))
+    return most / (MATCH * items.size[item]) >= min_score
+
+
+def _block(docs, ids, texts, key, text, n, min_score, item_type):
+    shared = docs.sparkSession.sparkContext.broadcast(Items(ids, texts, n, min_score))
 
     def run(batches):
-        wanted, sizes = shared.value
-        filt, count = _filter(wanted), np.zeros(len(wanted), np.int64)
-        for _, texts in text_chunks(batches, key, text):
-            _, first, at, g = _hits(texts, sizes, wanted, filt)
-            doc = np.searchsorted(first, at, "right") - 1
-            once = np.unique(doc * len(wanted) + np.searchsorted(wanted, g)) if len(at) else np.zeros(0, int)
-            np.add.at(count, once % max(1, len(wanted)), 1)
-        k = np.flatnonzero(count)
-        if len(k):
-            yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(count[k])], ["g", "c"])
-
-    got = docs.select(key, text).mapInArrow(run, "g long, c long").groupBy("g").agg(F.sum("c").alias("c")).collect()
-    return {int(wanted[r.g]): r.c for r in got}  # at most the block's grams
-
-
-def _seeds(items: Items, df: dict[int, int], rare_docs: int, least: int) -> dict[int, list[tuple[int, int]]]:
-    """Gram -> (item, place in the item) for every seed."""
-    out: dict[int, list[tuple[int, int]]] = {}
-    for i, grams in enumerate(items.grams):
-        g = sorted({int(x) for x in grams if int(x) in df}, key=lambda x: (df[x], x))  # no text holds the others
-        keep = {x for x in g if df[x] <= rare_docs}
-        if len(keep) < least:
-            keep = set(g[:least])
-        for p, x in enumerate(grams.tolist()):
-            if x in keep:
-                out.setdefault(x, []).append((i, p))
-    return out
-
-
-def _block(docs, ids, texts, key, text, n, rare_docs, least_seeds, min_score, item_type):
-    items = Items(ids, texts, n)
-    df = _frequencies(docs, items, key, text)
-    seeds = _seeds(items, df, rare_docs, least_seeds)
-    shared = docs.sparkSession.sparkContext.broadcast((items.words, items.sizes, seeds, items.ids))
-
-    def run(batches):
-        words, sizes, seeds, ids = shared.value
-        wanted = np.array(sorted(seeds), np.uint64)
-        filt = _filter(wanted)
+        items = shared.value
+        filt = _filter(items.grams)
         for keys, texts in text_chunks(batches, key, text):
-            h, first, at, g = _hits(texts, sizes, wanted, filt)
-            pairs: dict[tuple[int, int], list[tuple[int, int]]] = {}
-            for p, x in zip(at.tolist(), g.tolist()):
-                d = int(np.searchsorted(first, p, "right")) - 1
-                for item, q in seeds[x]:
-                    m = len(words[item])
-                    pad = m // 2 + 4  # room for words put in
-                    span = (max(int(first[d]), p - q - pad), min(int(first[d + 1]), p - q + m + pad))
-                    spans = pairs.setdefault((d, item), [])
-                    if spans and span[0] <= spans[-1][1]:
-                        spans[-1] = (spans[-1][0], max(spans[-1][1], span[1]))
-                    else:
-                        spans.append(span)
+            h, first, at, g = _hits(texts, items.sizes, items.grams, filt)
+            k = np.searchsorted(items.grams, g)
+            doc = np.searchsorted(first, at, "right") - 1
+            best: dict[tuple[int, int], tuple] = {}
+            for c in _cuts(np.cumsum(items.first[k + 1] - items.first[k]), doc):
+                d, item, lo, hi = _spans(items, first, doc[c], at[c], k[c])
+                for e in _cuts(np.cumsum(hi - lo + items.size[item])):
+                    for x in np.flatnonzero(_may_reach(items, h, item[e], lo[e], hi[e], min_score)) + e.start:
+                        x_lo, x_hi, of = int(lo[x]), int(hi[x]), (int(d[x]), int(item[x]))
+                        score, s, t = smith_waterman(items.of(of[1]), h[x_lo:x_hi])
+                        best[of] = max(best.get(of, (0,)), (score, x_lo, x_hi, x_lo + s, x_lo + t))
             rows = []
-            for (d, item), spans in pairs.items():
-                best = max((smith_waterman(words[item], h[lo:hi])[:1] + (lo, hi) for lo, hi in spans))
-                score = best[0] / (MATCH * len(words[item]))
+            for (d, item), (score, _, _, s, e) in best.items():
+                score /= MATCH * int(items.size[item])
                 if score >= min_score:
-                    _, s, e = smith_waterman(words[item], h[best[1]:best[2]])
-                    rows.append((keys[d], ids[item], score, best[1] + s - int(first[d]), best[1] + e - int(first[d])))
+                    rows.append((keys[d], items.ids[item], score, s - int(first[d]), e - int(first[d])))
             if rows:
                 c = list(zip(*rows))
                 yield pa.RecordBatch.from_arrays(
@@ -196,7 +231,6 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
     out = None
     for b in range(blocks):
         part = listed.where(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == b).orderBy("i", "t").collect()
-        got = _block(docs, [r.i for r in part], [r.t for r in part], key, text, n, rare_docs, least_seeds, min_score,
-                     item_type)
+        got = _block(docs, [r.i for r in part], [r.t for r in part], key, text, n, min_score, item_type)
         out = got if out is None else out.unionAll(got)
     return out

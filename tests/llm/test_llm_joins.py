@@ -240,6 +240,15 @@ def test_decontamination_bounds_and_slices():
     assert [(c.start, c.stop) for c in decontam._cuts(total, group, 6)] == [(0, 2), (2, 3), (3, 4), (4, 7), (7, 8)]
 
 
+def test_decontamination_of_an_item_that_repeats_a_gram(spark):
+    w = [f"w{i}" for i in range(36)] + ["w0", "w1", "w2", "end"]
+    copy = [x for i in range(0, 36, 2) for x in (*w[i:i + 2], "put")] + w[36:]  # its first gram is the item's last
+    rows = spark.createDataFrame([(1, " ".join(copy))], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, " ".join(w))], "item_id long, text string")
+    got = decontam.contaminated(rows, bench, min_score=0.7).collect()
+    assert [tuple(r) for r in got] == [(1, 1, smith_waterman(w, copy) / 80, 0, 58)] and got[0].score == 62 / 80
+
+
 def pages(spark):
     random.seed(8)
     big = "".join(random.choice("abcdef ") for _ in range(40_000))

@@ -151,7 +151,7 @@ def _spans(items: Items, first: np.ndarray, text: np.ndarray, at: np.ndarray, k:
     lo = p - items.place[idx] - items.pad[item]
     hi = np.minimum(first[d + 1], lo + items.size[item] + 2 * items.pad[item])
     lo = np.maximum(first[d], lo)
-    order = np.lexsort((p, item, d))
+    order = np.lexsort((lo, item, d))
     d, item, lo, hi = d[order], item[order], lo[order], hi[order]
     new = np.ones(len(d), bool)
     new[1:] = (d[1:] != d[:-1]) | (item[1:] != item[:-1])

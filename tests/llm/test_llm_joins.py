@@ -67,6 +67,21 @@ def test_jaccard_blocks(spark, monkeypatch):
     assert {r.doc_id: r.component_id for r in jaccard.link(rows).collect()} == one
 
 
+def test_jaccard_limited_round_without_pairs(spark, monkeypatch):
+    """If pairs verified earlier take all places under the limit, the round without limit still runs."""
+    random.seed(3)
+    common = [f"c{i}" for i in range(30)]
+    docs = [(d, " ".join(random.sample(common, 30))) for d in range(20)]
+    start = [f"r{i}" for i in range(4)] + random.sample(common, 4)
+    body = random.sample(common, 21)
+    docs.append((30, " ".join(start + random.sample(common, 10))))  # the hub, linked to neither
+    docs += [(d, " ".join(start + body + [f"u{d}{i}" for i in range(4)])) for d in (31, 32)]  # near copies, 25 of 33
+    rows = spark.createDataFrame(docs, "doc_id long, text string")
+    left = jaccard._left
+    monkeypatch.setattr(jaccard, "_left", lambda *a: left(*a) if a[-1] is None else left(*a).limit(0))
+    assert {r.doc_id: r.component_id for r in jaccard.link(rows).collect()} == {d: min(d, 31) for d, _ in docs}
+
+
 def test_bitmap_never_overstates():
     import numpy as np
     rng = np.random.default_rng(1)

@@ -443,14 +443,11 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     pairs = pairs.groupBy(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y")).agg(
         F.first("a").alias("a"), F.first("b").alias("b")).select("a", "b")
     checked = verified(stage(_close(pairs, sets), "jaccard-close"))
-    comp = None
-    for few in (3, None):
-        comp = stage(components(_linked(checked), "a", "b"), "jaccard-components")
+    comp = stage(components(_linked(checked), "a", "b"), "jaccard-components")
+    for few in (3, None):  # pairs checked before count for the limit: only the round without it tells that none is left
         rest = stage(_left(groups, sets, comp, checked, few), "jaccard-left")
-        if rest.isEmpty():  # nothing under the limit means nothing at all
-            break
-        checked = stage(checked.unionAll(verified(rest)), "jaccard-checked")
-        if few is None:
+        if not rest.isEmpty():
+            checked = stage(checked.unionAll(verified(rest)), "jaccard-checked")
             comp = stage(components(_linked(checked), "a", "b"), "jaccard-components")
     m = meta.join(comp.select(F.col("node").alias("s"), "component"), "s", "left")
     m = m.withColumn("c", F.coalesce("component", "s"))

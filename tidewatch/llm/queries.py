@@ -6,7 +6,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidewatch.llm import bpe, decontam, jaccard, langid, lines, quality, sharding, suffixes, toxicity, warc
+from tidewatch.llm import (bpe, decontam, jaccard, langid, lines, mixing, negatives, periodic, quality, sharding, suffixes,
+                           toxicity, warc)
 from tidewatch.llm.common import table
 from tidewatch.session import ensure_checkpoint_dir
 
@@ -168,3 +169,84 @@ def op4(spark, sf):
     return suffixes.dedup(table(spark, sf, "documents")).select(
         "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"))
+
+
+_MIX_SQL = r"""
+WITH d AS (SELECT doc_id, source, text, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+                  coalesce(CAST(doc_id AS VARCHAR), md5(text), '') AS seed FROM documents),
+w AS (SELECT source, CAST(sum(size) AS BIGINT) AS s,
+             CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS w
+      FROM d GROUP BY source),
+share AS (SELECT arg_max(n, n / w) AS n, arg_max(w, n / w) AS w FROM (
+  SELECT (SELECT sum(s) FROM w) - coalesce(sum(3 * s) OVER (ORDER BY s / w, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS n,
+         sum(w) OVER (ORDER BY s / w, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS w FROM w)),
+t AS (SELECT source, s, CASE WHEN 3 * s * share.w < share.n * w.w THEN CAST(3 * s AS DOUBLE)
+                             ELSE CAST(share.n AS DOUBLE) * w.w / CAST(share.w AS DOUBLE) END AS target FROM w, share),
+r AS (SELECT source, s, target, CASE WHEN s > 0 THEN target / s ELSE 0.0 END AS rate FROM t),
+h AS (SELECT *, [sha256('mix:0:' || seed), sha256('mix:1:' || seed)] AS h FROM d),
+u AS (SELECT h.doc_id, h.source, h.size, r.s, r.target, r.rate, unnest(range(16)) AS j, h.h FROM h JOIN r ON h.source IS NOT DISTINCT FROM r.source),
+v AS (SELECT *, floor(rate) + CASE WHEN CAST('0x' || substr(h[1 + j // 8], 8 * (j % 8) + 1, 8) AS BIGINT) / 4294967296.0 < rate - floor(rate)
+                                   THEN 1 ELSE 0 END AS copies FROM u),
+m AS (SELECT source, j, abs(floor(any_value(rate)) * any_value(s) + sum((copies - floor(rate)) * size) - any_value(target)) AS miss
+      FROM v GROUP BY source, j),
+best AS (SELECT source, min((miss, j))[2] AS j FROM m GROUP BY source)
+SELECT v.doc_id, v.size, v.s AS source_size, v.target, CAST(v.size * v.copies AS BIGINT) AS taken, CAST(v.copies AS INTEGER) AS copies
+FROM v JOIN best b ON v.source IS NOT DISTINCT FROM b.source AND v.j = b.j"""
+
+
+@query("op11_mixing", _MIX_SQL)
+def op11(spark, sf):
+    docs = table(spark, sf, "documents")
+    return mixing.plan(docs, mixing.rates(docs)).select(
+        "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies")
+
+
+def loops(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): texts as they are, a tenth of them with words that repeat from a place on."""
+    spaces, h = F.lit(" \t\n\x0b\x0c\r"), F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    d = docs.select("doc_id", "text", h.alias("h"), F.btrim("text", spaces).alias("t"))
+    d = d.withColumn("w", F.when((F.col("h") % 10 == 0) & (F.col("t") != ""), F.split("t", "[\\x20\\x09-\\x0D]+")))
+    d = d.withColumn("n", F.size("w")).withColumn("g", F.floor(F.col("h") / 10)).withColumn("a", (F.col("g") % F.col("n")).cast("int"))
+    d = d.withColumn("p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    rest = F.col("n") - F.col("a")
+    again = F.flatten(F.array_repeat(F.slice("w", F.col("a") + 1, F.col("p")), F.ceil(rest / F.col("p")).cast("int")))
+    looped = F.array_join(F.concat(F.slice("w", F.lit(1), F.col("a")), F.slice(again, F.lit(1), rest)), " ")
+    return d.select("doc_id", F.when(F.col("w").isNotNull(), looped).otherwise(F.col("text")).alias("text"))
+
+
+@query("op12_periodic_runs")
+def op12(spark, sf):
+    d = periodic.find_runs(loops(table(spark, sf, "documents")))
+    runs = F.col("runs")
+    best = F.array_max(F.transform(runs, lambda r: F.struct(r["length"], -r["start"], -r["period"])))
+    d = d.select("doc_id", "runs", "collapsed", best.alias("b"))
+    d = d.select("doc_id", "runs", "collapsed", (-F.col("b.col2")).alias("start"), F.col("b.length").alias("length"),
+                 (-F.col("b.col3")).alias("period"))
+    lines = F.array_join(F.transform(runs, lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    text = F.when(F.size(runs) > 0, F.concat(lines, F.lit("\n"))).otherwise("")
+    return d.select("doc_id", F.size(runs).cast("long").alias("n_runs"), "start", "length", "period",
+                    F.floor(1000 * F.col("length") / F.col("period")).alias("exponent_milli"),
+                    F.sha2(text.cast("binary"), 256).alias("runs_sha256"),
+                    F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+_NEGATIVES_SQL = """
+WITH e AS (SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+           WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (SELECT a.id AS a, a.label = e.label AS same, e.id AS b, CAST(list_dot_product(a.v, e.v) AS BIGINT) AS s
+      FROM e a JOIN e ON a.id % 50 = 0 AND a.id <> e.id),
+pos AS (SELECT a, b, s FROM p WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY s DESC, b) <= 5)
+SELECT pos.a AS anchor_id, pos.b AS positive_id,
+       CAST(row_number() OVER (PARTITION BY pos.a, pos.b ORDER BY p.s DESC, p.b) AS INTEGER) AS rank,
+       p.b AS negative_id, pos.s AS positive_score, p.s AS negative_score
+FROM pos JOIN p ON p.a = pos.a AND NOT p.same AND 50 * pos.s <= 100 * p.s AND 100 * p.s <= 95 * pos.s
+QUALIFY row_number() OVER (PARTITION BY pos.a, pos.b ORDER BY p.s DESC, p.b) <= 3"""
+
+
+@query("op13_hard_negatives", _NEGATIVES_SQL)
+def op13(spark, sf):
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf, "embeddings").select("vec_id", label.alias("label"), "embedding")
+    return negatives.mine(rows, anchor=F.col("id") % 50 == 0)

@@ -60,6 +60,13 @@ def _classified(spark, sf):
     return C.fixture_classified(spark, sf)
 
 
+def _classified_once(spark, sf):
+    """The classified flows as a table, for queries that read them several times."""
+    path = _scratch(spark, "classified")
+    _classified(spark, sf).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 # --------------------------------------------------------------------------
 # Step 1: flows -> parse -> hash -> dedup -> per-device attack/normal counts
 # --------------------------------------------------------------------------
@@ -123,10 +130,9 @@ SELECT event_id, f_value,
 FROM flows, sk""", S.STATS.split("lg AS")[0].rstrip().rstrip(",")))
 def q_log_shift(spark, sf):
     stats, flows = _stats_and_flows(spark, sf)
-    lv = F.col("f_value")
-    if "f_value" in stats.high_skew_cols:
-        lv = F.log1p(F.col("f_value") + F.lit(stats.log_shifts["f_value"]))
-    return flows.select("event_id", "f_value", lv.alias("log_value"))
+    logged = fit.prepare(flows.withColumn("raw", F.col("f_value")), fit.PrepStats(
+        stats.feature_cols, stats.high_skew_cols, stats.log_shifts))  # the log step alone, no caps
+    return logged.select("event_id", F.col("raw").alias("f_value"), F.col("f_value").alias("log_value"))
 
 
 @query("iqr_cap", S.with_classified("SELECT event_id, f_value, f_k FROM prep"))
@@ -387,13 +393,21 @@ def q_latest_per_device(spark, sf):
     return topk.latest_per_key(c, "device_name", ["kafka_timestamp", "row_hash"])
 
 
-@query("append_alerts", S.with_alerts(f"SELECT {_ALERT_COLS} FROM alerts"))
+@query("append_alerts", S.with_alerts(f"""
+SELECT {_ALERT_COLS} FROM alerts
+UNION ALL SELECT {_ALERT_COLS} FROM alerts JOIN classified USING (row_hash) WHERE event_id % 97 <> 0 AND event_id % 101 <> 0""")
+       .replace("SELECT id, device_name, device_ip, attack_type, subtype, confidence, timestamp, severity FROM alerts JOIN",
+                "SELECT id, alerts.device_name, device_ip, alerts.attack_type, subtype, confidence, timestamp, severity FROM alerts JOIN"))
 def q_append_alerts(spark, sf):
-    from tidewatch.sinks.alert_log import append_alerts
-    a = _alerts(spark, sf)
-    cut = F.lit("2024-01-15 00:00:00").cast("timestamp")
-    log = a.filter(F.col("event_time") < cut)
-    return append_alerts(log, a.filter(F.col("event_time") >= cut)).select(*_ALERT_COLS.split(", "))
+    """Two logs that share most of their alerts, written as two batches, the
+    second one twice (a replay): an append keeps both copies, a replay adds none."""
+    from tidewatch.sinks import alert_log
+    path = _scratch(spark, "alert-log")
+    alert_log.write_alerts(_alerts(spark, sf), path, 0)
+    again = q_alerts_corrupted(spark, sf)
+    for _ in range(2):
+        alert_log.write_alerts(again, path, 1)
+    return alert_log.read_alerts(spark, path).select(*_ALERT_COLS.split(", "))
 
 
 # --------------------------------------------------------------------------
@@ -469,7 +483,7 @@ SELECT (SELECT count(*) FROM registry) AS total_monitored_devices,
         WHERE s.status = 'Under Attack' AND s.is_connected) AS active_threats,
        (SELECT count(*) FROM alerts) AS total_alerts_detected, 'MONITORING_ACTIVE' AS system_status""", _STATE))
 def q_system_stats(spark, sf):
-    a = _alerts(spark, sf)
+    a = D.alerts_from_classified(_classified_once(spark, sf), X.device_registry(spark, sf))
     devs = D.device_list(X.device_registry(spark, sf), _state(spark, sf, a))
     return reports.system_stats(devs, a)
 
@@ -498,16 +512,20 @@ def q_enrich_device(spark, sf):
 SELECT event_id, device_name, label FROM classified
 WHERE device_name NOT IN (SELECT device_name FROM state WHERE NOT is_connected)""", _STATE))
 def q_exclude_isolated(spark, sf):
-    c = _classified(spark, sf)
+    c = _classified_once(spark, sf)
     a = D.alerts_from_classified(c, X.device_registry(spark, sf))
     return D.exclude_isolated(c.select("event_id", "device_name", "label"), _state(spark, sf, a))
 
 
 @query("known_device_alerts", S.with_alerts(f"""
-SELECT {_ALERT_COLS} FROM alerts WHERE device_name IN (SELECT device_name FROM registry)""", _REGISTRY))
+SELECT {_ALERT_COLS}, device_name IN (SELECT device_name FROM registry WHERE type <> 'type 5') AS known FROM alerts""", _REGISTRY))
 def q_known_device_alerts(spark, sf):
-    known, _unknown = D.known_device_split(_alerts(spark, sf), X.device_registry(spark, sf))
-    return known.select(*_ALERT_COLS.split(", "))
+    """Devices of one type are not registered: their alerts go to the other side."""
+    registry = X.device_registry(spark, sf).where("type <> 'type 5'")
+    known, unknown = D.known_device_split(_alerts(spark, sf), registry)
+    cols = _ALERT_COLS.split(", ")
+    return (known.select(*cols, F.lit(True).alias("known"))
+            .unionByName(unknown.select(*cols, F.lit(False).alias("known"))))
 
 
 @query("rejects", S.with_flows("""
@@ -768,24 +786,105 @@ def q_archive_scan(spark, sf):
     return archive.published_view(spark.table(name))
 
 
-@query("keyed_upsert", S.with_classified(_KEYED_SQL))
+_SECOND = "event_id % 5 = 0"  # flows that get a second version in a later batch
+_KEYED_SECOND_SQL = _KEYED_SQL.replace("prediction_binary AS prediction", f"""
+       CASE WHEN {_SECOND} THEN 1 - prediction_binary ELSE prediction_binary END AS prediction""").replace(
+    "coalesce(attack, '') AS attack,", f"CASE WHEN {_SECOND} THEN 'Reviewed' ELSE coalesce(attack, '') END AS attack,")
+_INDEX_SECOND_SQL = _INDEX_SQL.replace("prediction_binary AS prediction", f"""
+       CASE WHEN {_SECOND} THEN 1 - prediction_binary ELSE prediction_binary END AS prediction""").replace(
+    " attack, attack_subtype", f" CASE WHEN {_SECOND} THEN 'Reviewed' ELSE attack END AS attack, attack_subtype")
+
+
+def _reviewed(classified):
+    """Second versions: the flows looked at again, with another verdict."""
+    return (classified.where(_SECOND).withColumn("attack", F.lit("Reviewed"))
+            .withColumn("prediction_binary", 1 - F.col("prediction_binary")))
+
+
+@query("keyed_upsert", S.with_classified(_KEYED_SECOND_SQL))
 def q_keyed_upsert(spark, sf):
+    """The stream's records and a later batch that rewrites some: last write wins."""
     from tidewatch.sinks import keyed
     _, p = _fanout_run(spark, sf)
-    # a later batch re-writes the records of two devices: last write wins
-    again = keyed.device_history(spark.read.parquet(p["keyed"]).drop("batch_id"), X.FIXTURE_TEST_DEVICES)
-    # checkpoint() cuts the lineage to the read of the same folder before writing into it
-    keyed.write_keyed(again.checkpoint(), p["keyed"], 10**6)
+    again = keyed.keyed_records(_reviewed(_classified(spark, sf)), X.FIXTURE_FEATURES)
+    keyed.write_keyed(again, p["keyed"], 10**6)
     return _keyed_flat(keyed.latest_keyed(spark, p["keyed"]))
 
 
-@query("index_upsert", S.with_classified(_INDEX_SQL))
+@query("index_upsert", S.with_classified(_INDEX_SECOND_SQL))
 def q_index_upsert(spark, sf):
     from tidewatch.sinks import index
     _, p = _fanout_run(spark, sf)
+    index.write_index(index.index_documents(_reviewed(_classified(spark, sf))), p["index"], 10**6)
     return index.latest_index(spark, p["index"])
 
 
+def _stored(spark, sf, write, compact, frame):
+    """A stored folder with three batches, a snapshot and a later batch of second versions."""
+    path, c = _scratch(spark, "store"), _classified_once(spark, sf)
+    for b in range(3):
+        write(frame(c.where(F.col("event_id") % 3 == b)), path, b)
+    compact(spark, path, files=_state_parts(spark))
+    write(frame(_reviewed(c)), path, 3)
+    return path
+
+
+@query("keyed_prefix_scan", S.with_classified(f"""
+SELECT * FROM ({_KEYED_SECOND_SQL}) WHERE device_name IN ('device_3', 'device_7')"""))
+def q_keyed_prefix_scan(spark, sf):
+    """Device lookup in the stored keyed folder: snapshot files by key range, then the later batch."""
+    from tidewatch.sinks import keyed
+    path = _stored(spark, sf, keyed.write_keyed, keyed.compact_keyed,
+                   lambda c: keyed.keyed_records(c, X.FIXTURE_FEATURES))
+    return _keyed_flat(keyed.prefix_scan(spark, path, X.FIXTURE_TEST_DEVICES))
+
+
+@query("index_search_stored", S.with_classified(f"""
+SELECT * FROM ({_INDEX_SECOND_SQL}) WHERE (attack = 'DDoS Flood' AND confidence >= 0.6
+  AND event_time >= TIMESTAMP '2024-01-05 00:00:00' AND event_time < TIMESTAMP '2024-01-20 00:00:00')
+  OR (attack = 'Reviewed' AND prediction = 0)"""))
+def q_index_search_stored(spark, sf):
+    """Search in the stored index: files by postings and ranges; superseded versions do not count."""
+    from tidewatch.sinks import index
+    path = _stored(spark, sf, index.write_index, index.compact_index, index.index_documents)
+    found = index.search_stored(spark, path, attack="DDoS Flood", min_confidence=0.6,
+                                start="2024-01-05 00:00:00", end="2024-01-20 00:00:00")
+    return found.unionByName(index.search_stored(spark, path, attack="Reviewed", prediction=0))
+
+
+@query("archive_table", S.with_classified("""
+SELECT kafka_timestamp, row_hash, device_name, pred_label, pred_confidence, attack_type FROM classified
+WHERE CAST(kafka_timestamp AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-12'"""))
+def q_archive_table(spark, sf):
+    """Partitioned catalog table over the archive; the second batch is seen through its partitions."""
+    from tidewatch.sinks import archive
+    path, c = _scratch(spark, "archive"), _classified_once(spark, sf)
+    name = "archive_t_" + path.rsplit("-", 1)[-1]
+    archive.create_archive_table(spark, name, path, c)
+    for b in range(2):
+        archive.write_archive(c.where(F.col("event_id") % 2 == b), path, b, table=name)
+    return archive.published_view(spark.table(name).where("event_date BETWEEN DATE'2024-01-05' AND DATE'2024-01-12'"))
+
+
+@query("sink_commit", S.with_classified("""
+SELECT device_name || '_' || row_hash AS key, device_name, attack, prediction_binary AS prediction FROM classified"""))
+def q_sink_commit(spark, sf):
+    """A stream into the external store's two-phase writer, restarted once; read back by its lines."""
+    from tidewatch.session import local_path
+    from tidewatch.sinks import external, index
+    base = _scratch(spark, "external")
+    docs = index.index_documents(_classified(spark, sf))
+    docs.select(F.col("doc_id").alias("key"), F.to_json(F.struct("device_name", "attack", "prediction")).alias("value")) \
+        .write.option("maxRecordsPerFile", 20_000).parquet(f"{base}/in")
+    external.register(spark)
+    for _ in range(2):
+        src = spark.readStream.schema("key string, value string").option("maxFilesPerTrigger", 4).parquet(f"{base}/in")
+        (src.writeStream.format("keyed_put").option("path", local_path(f"{base}/out"))
+         .option("checkpointLocation", f"{base}/ck").trigger(availableNow=True).start().awaitTermination())
+    return external.read_puts(spark, f"{base}/out").select(
+        "key", F.from_json("value", "device_name string, attack string, prediction int").alias("v")).select("key", "v.*")
+
+
 _OVERVIEW_SCHEMA = "`Time` string, `Safe Traffic` double, `Attack Traffic` double"
 _BREAKDOWN_SCHEMA = ("`Time` string, `Safe Traffic` double, `DDoS Flood` double, `Port Scan` double, "
                      "`Botnet Activity` double, `Unauthorized Access` double, `Data Interception` double")

@@ -54,5 +54,5 @@ def test_system_stats(spark):
 def test_scale_conf():
     from tidewatch.session import scale_conf
     c = scale_conf(100 * 10**12, 8000)
-    assert c["spark.sql.shuffle.partitions"] == "200000"
+    assert c["spark.sql.shuffle.partitions"] == "372530"  # 256 MB each, however many
     assert scale_conf(10**6, 8)["spark.sql.shuffle.partitions"] == "16"

@@ -1,7 +1,12 @@
-"""Append-only alert log (U1, G3): per-batch files, read in arrival order."""
+"""Append-only alert log (U1, G3): a store of batches, read in arrival order.
+
+A batch that is committed is never rewritten, so a stream may read the folder
+while another one writes it and replays batches."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
+
+from tidewatch.sinks import store
 
 
 def append_alerts(log: DataFrame, new: DataFrame) -> DataFrame:
@@ -9,10 +14,8 @@ def append_alerts(log: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def write_alerts(alerts: DataFrame, path: str, batch_id: int) -> None:
-    (alerts.withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
-           .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-           .partitionBy("batch_id").parquet(path))
+    store.write_batch(alerts, path, batch_id)
 
 
 def read_alerts(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    return store.read(spark, path)

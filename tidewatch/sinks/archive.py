@@ -3,8 +3,14 @@
 Partitioned by ``event_date`` (pruning for time-range reports) and
 ``batch_id``; each write replaces only the partitions of its own batch
 (dynamic partition overwrite), so replaying a micro-batch after a crash
-leaves the archive unchanged instead of appending duplicates.  Readers go by
-path, so new batches are always visible (no stale catalog file index).
+leaves the archive unchanged instead of appending duplicates.  Rows are
+rebalanced by date first: a date's rows of a batch land in few files of the
+advisory size, and a large date is split over tasks.
+
+``create_archive_table`` puts a catalog table over the folder whose partitions
+the catalog knows; a batch adds its own (``add_batch_partitions``), so queries
+prune by date from the catalog and nobody lists the whole folder again.
+``read_archive`` goes by path, for readers without a catalog.
 """
 from __future__ import annotations
 
@@ -14,13 +20,41 @@ from tidewatch.functions.keys import utc_ntz
 
 PUBLISHED_COLUMNS = ["kafka_timestamp", "row_hash", "device_name", "pred_label",
                      "pred_confidence", "attack_type"]
+PARTITIONS = ["event_date", "batch_id"]
+
 
+def _dated(df: DataFrame, batch_id: int, time_col: str) -> DataFrame:
+    return (df.withColumn("event_date", utc_ntz(time_col).cast("date"))
+              .withColumn("batch_id", F.lit(int(batch_id)).cast("long")))
 
-def write_archive(df: DataFrame, path: str, batch_id: int, time_col: str = "kafka_timestamp") -> None:
-    (df.withColumn("event_date", utc_ntz(time_col).cast("date"))
-       .withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
+
+def write_archive(df: DataFrame, path: str, batch_id: int, time_col: str = "kafka_timestamp",
+                  table: str | None = None) -> None:
+    """Write one batch; with ``table``, make its partitions known to the catalog."""
+    (_dated(df, batch_id, time_col).hint("rebalance", F.col("event_date"))
        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy("event_date", "batch_id").parquet(path))
+       .partitionBy(*PARTITIONS).parquet(path))
+    if table:
+        add_batch_partitions(_dated(df, batch_id, time_col), table)
+
+
+def create_archive_table(spark: SparkSession, name: str, path: str, df: DataFrame,
+                         time_col: str = "kafka_timestamp") -> None:
+    """Partitioned catalog table over the archive folder, with the columns of
+    the frames that are written (idempotent)."""
+    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in _dated(df, 0, time_col).schema.fields)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet "
+              f"PARTITIONED BY ({', '.join(PARTITIONS)}) LOCATION '{path}'")
+
+
+def add_batch_partitions(dated: DataFrame, table: str) -> None:
+    """The batch's partitions: as many as it has days, whatever the archive holds."""
+    days = dated.select(*PARTITIONS).distinct().collect()
+    specs = " ".join("PARTITION (event_date = {}, batch_id = {})".format(
+        "DATE '%s'" % r.event_date if r.event_date else "NULL", r.batch_id) for r in days)
+    if specs:
+        dated.sparkSession.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {specs}")
+    dated.sparkSession.catalog.refreshTable(table)
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:

@@ -15,7 +15,7 @@ from tidewatch.operators.fit import PrepStats
 from tidewatch.operators.series import traffic_buckets
 from tidewatch.plans.classify import classify, prepared_flows
 from tidewatch.schema import DEDUP_DELAY
-from tidewatch.sinks import alert_log, archive, index, keyed
+from tidewatch.sinks import alert_log, archive, index, keyed, store
 from tidewatch.sinks.fanout import fanout
 
 AVAILABLE_NOW = {"availableNow": True}
@@ -93,7 +93,7 @@ def classification_stream(msgs: DataFrame, layout, stats: PrepStats, scorer, cla
     store, the index and the alert log — all written from executors and
     idempotent per batch id (nothing is collected to the driver).  With
     ``compact_every`` the keyed store and the index get a compaction snapshot
-    every that many batches (read with ``merge.latest_since_snapshot``)."""
+    every that many batches, and folders that no manifest names any more go."""
     classified = classify(prepared_flows(msgs, layout, stats), scorer, class_map)
 
     sinks = []
@@ -110,14 +110,11 @@ def classification_stream(msgs: DataFrame, layout, stats: PrepStats, scorer, cla
     def write_batch(batch_df: DataFrame, batch_id: int) -> None:
         wrote = fanout(without_event_time_marks(batch_df), batch_id, sinks)
         if wrote and compact_every and batch_id > 0 and batch_id % compact_every == 0:
-            from tidewatch.operators.merge import compact, newest_snapshot, snapshot_path
             spark = batch_df.sparkSession
-            if "keyed" in paths:
-                compact(spark, paths["keyed"], snapshot_path(paths["keyed"], batch_id), "row_key",
-                        ["batch_id", "cf"], base=newest_snapshot(spark, paths["keyed"], batch_id))
-            if "index" in paths:
-                compact(spark, paths["index"], snapshot_path(paths["index"], batch_id), "doc_id",
-                        ["batch_id", "event_time"], base=newest_snapshot(spark, paths["index"], batch_id))
+            for name, fold in (("keyed", keyed.compact_keyed), ("index", index.compact_index)):
+                if name in paths:
+                    fold(spark, paths[name])
+                    store.clean(spark, paths[name])
 
     return _start(classified.writeStream.foreachBatch(write_batch), checkpoint, trigger, state_partitions)
 
@@ -129,23 +126,16 @@ def without_event_time_marks(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(f"`{c}`").alias(c, metadata={}) for c in df.columns])
 
 
-def _upsert_sink(path: str, key: str | None = None, compact_every: int | None = None):
+def _upsert_sink(path: str, key: str, compact_every: int | None = None):
+    """Each batch's rows as a batch of the store, compacted every ``compact_every`` batches."""
     def write(batch_df: DataFrame, batch_id: int) -> None:
-        _write_batch_files(batch_df, batch_id, path)
-        if key and compact_every and batch_id > 0 and batch_id % compact_every == 0:
-            from tidewatch.operators.merge import compact, newest_snapshot, snapshot_path
-            compact(batch_df.sparkSession, path, snapshot_path(path, batch_id), key, ["batch_id"],
-                    base=newest_snapshot(batch_df.sparkSession, path, batch_id))
+        store.write_batch(without_event_time_marks(batch_df), path, batch_id)
+        if compact_every and batch_id > 0 and batch_id % compact_every == 0:
+            store.compact(batch_df.sparkSession, path, key, [store.BATCH])
+            store.clean(batch_df.sparkSession, path)
     return write
 
 
-def _write_batch_files(batch_df: DataFrame, batch_id: int, path: str) -> None:
-    """Replace this batch's partition only (idempotent per batch id)."""
-    (without_event_time_marks(batch_df).withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_id").parquet(path))
-
-
 def device_state_stream(alerts: DataFrame, commands: DataFrame, state_path: str, checkpoint: str,
                         trigger: dict | None = None,
                 state_partitions: int | None = None, compact_every: int | None = None):
@@ -161,25 +151,20 @@ def device_state_stream(alerts: DataFrame, commands: DataFrame, state_path: str,
 def read_device_state(spark, state_path: str) -> DataFrame:
     """Current device state: newest compaction snapshot (if any) plus the
     batches after it, newest update per device."""
-    from tidewatch.operators.merge import latest_since_snapshot, newest_snapshot
-    latest = latest_since_snapshot(spark, state_path, newest_snapshot(spark, state_path),
-                                   "device_name", ["batch_id"])
-    return D.finish_state(latest.drop("batch_id"))
+    return D.finish_state(store.latest(spark, state_path, "device_name", [store.BATCH]).drop(store.BATCH))
 
 
 def traffic_stream(flows: DataFrame, volume_col: str, is_attack, type_col: str, out_path: str,
                    checkpoint: str, length: str = "2 seconds", delay: str = DEDUP_DELAY,
                    trigger: dict | None = None,
-                state_partitions: int | None = None):
+                state_partitions: int | None = None, compact_every: int | None = None):
     """T0d on streams: tumbling buckets with a watermark; update mode upserts
     every changed bucket (append mode would hold back the open bucket)."""
     b = traffic_buckets(flows.withWatermark("kafka_timestamp", delay), "kafka_timestamp",
                         volume_col, is_attack, type_col, length)
-    w = b.writeStream.outputMode("update").foreachBatch(_upsert_sink(out_path))
+    w = b.writeStream.outputMode("update").foreachBatch(_upsert_sink(out_path, "bucket_start", compact_every))
     return _start(w, checkpoint, trigger, state_partitions)
 
 
 def read_buckets(spark, out_path: str) -> DataFrame:
-    from tidewatch.operators.merge import latest_by_key
-    raw = spark.read.parquet(out_path)
-    return latest_by_key(raw, "bucket_start", ["batch_id"]).drop("batch_id")
+    return store.latest(spark, out_path, "bucket_start", [store.BATCH]).drop(store.BATCH)

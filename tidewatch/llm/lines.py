@@ -12,8 +12,9 @@ Deletion-neighbourhood join, on distinct texts only:
 * A first pass keeps the texts that can have a partner at all: one edit leaves
   the first or the last half of a line as it is, so partners share one of two
   half keys at the shorter one's length.
-* Among those, a second pass narrows the place of the edit to one of ``PIECES``
-  pieces, outside of which partners agree.
+* Among those, further passes narrow the place of the edit to one of 8 pieces,
+  outside of which partners agree, and then to a quarter of such a piece
+  (``PIECES``).  Lines that differ by a word fall out here, in any number.
 * Every text left emits all variants with one character of such a piece deleted
   as hashed keys.  Two texts of one length within one edit share the variant *and* the place of
   the deletion; a text that is one character shorter *is* a variant of the
@@ -38,7 +39,7 @@ from tidewatch.llm.common import slices, stage
 
 _BLANKS = " \t\r"
 MIN_FUZZY = 24
-PIECES = 8
+PIECES = (8, 32)  # each number divides the next
 
 
 def _occurrences(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -78,31 +79,55 @@ def deletion_keys(t: str) -> tuple[np.ndarray, int]:
     return _fold(left[:-1] + (back[-1] - back)), int(_fold(left[-1:])[0])
 
 
-def _piece(n: int, q: int) -> tuple[int, int]:
+def _piece(n: int, q: int, pieces: int) -> tuple[int, int]:
     """Borders of piece ``q`` of a text of ``n`` characters."""
-    return q * n // PIECES, (q + 1) * n // PIECES
+    return q * n // pieces, (q + 1) * n // pieces
 
 
-def _piece_keys(texts: DataFrame) -> DataFrame:
+def _piece_keys(texts: DataFrame, pieces: int) -> DataFrame:
     """(h, q, own, x): hash of all but piece q, cut as in a text of the own length or of one less.
 
     Partners differ within one piece, so they share this key at the shorter one's length.
-    """
+    ``todo`` lists the pieces to cut: (q, own)."""
     def run(batches):
         for b in batches:
             rows = []
-            for h, t in zip(b.column("h").to_pylist(), b.column("t").to_pylist()):
-                for own, n in ((True, len(t)), (False, len(t) - 1)):
-                    for q in range(PIECES):
-                        s, e = _piece(n, q)
-                        x = f"{n}/{q}/{t[:s]}\0{t[len(t) - (n - e):]}".encode()
-                        rows.append((h, q, own, xxhash.xxh3_64_intdigest(x) - (1 << 63)))
+            for h, t, todo in zip(*(b.column(c).to_pylist() for c in ("h", "t", "todo"))):
+                for x in todo:
+                    n, q = len(t) - (not x["own"]), x["q"]
+                    s, e = _piece(n, q, pieces)
+                    x_key = f"{n}/{q}/{t[:s]}\0{t[len(t) - (n - e):]}".encode()
+                    rows.append((h, q, x["own"], xxhash.xxh3_64_intdigest(x_key) - (1 << 63)))
             if rows:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, k) for c, k in zip(zip(*rows), (pa.int64(), pa.int32(), pa.bool_(), pa.int64()))],
                     ["h", "q", "own", "x"])
 
-    return texts.select("h", "t").mapInArrow(run, "h long, q int, own boolean, x long")
+    return texts.select("h", "t", "todo").mapInArrow(run, "h long, q int, own boolean, x long")
+
+
+def _able(texts: DataFrame) -> DataFrame:
+    """(h, q, kind): pieces, of the finest cut, in which a text may differ from a partner.
+
+    kind 0: from one of its length, 1: from one a character shorter, 2: from one a character longer."""
+    able = None
+    for was, pieces in zip((1, *PIECES), PIECES):
+        parts = F.sequence(F.lit(0), F.lit(pieces // was - 1))
+        if able is None:
+            cut = F.transform(F.sequence(F.lit(0), F.lit(2 * pieces - 1)), lambda i: F.struct(
+                (i % pieces).cast("int").alias("q"), (i < pieces).alias("own")))
+            d = texts.withColumn("todo", cut)
+        else:  # the parts of the pieces left
+            cut = (able.select("h", "q", (F.col("kind") != 1).alias("own")).distinct()
+                   .select("h", "own", F.explode(F.transform(parts, lambda i: (F.col("q") * (pieces // was) + i).cast("int"))).alias("q")))
+            d = texts.join(cut.groupBy("h").agg(F.collect_list(F.struct("q", "own")).alias("todo")), "h")  # at most 2 a piece
+        keys = stage(_piece_keys(d, pieces), "line-pieces")
+        groups = (keys.groupBy("x").agg(F.count(F.when(F.col("own"), 1)).alias("co"), F.count(F.when(~F.col("own"), 1)).alias("cp"))
+                  .where("co > 1 OR (co > 0 AND cp > 0)"))
+        roles = F.filter(F.array(F.when(F.col("own") & (F.col("co") > 1), 0), F.when(~F.col("own") & (F.col("co") > 0), 1),
+                                 F.when(F.col("own") & (F.col("cp") > 0), 2)), lambda c: c.isNotNull())
+        able = keys.join(groups, "x").select("h", "q", F.explode(roles).alias("kind")).distinct()
+    return able
 
 
 def _variants(texts: DataFrame, able: DataFrame) -> DataFrame:
@@ -119,9 +144,9 @@ def _variants(texts: DataFrame, able: DataFrame) -> DataFrame:
                 rows: set[tuple[int, int, bool]] = set()
                 for x in todo:
                     if x["kind"] == 0:
-                        rows.update((int(keys[p]), p, False) for p in range(*_piece(len(t), x["q"])))
+                        rows.update((int(keys[p]), p, False) for p in range(*_piece(len(t), x["q"], PIECES[-1])))
                     elif x["kind"] == 1:
-                        s, e = _piece(len(t) - 1, x["q"])
+                        s, e = _piece(len(t) - 1, x["q"], PIECES[-1])
                         rows.update((int(keys[p]), -1, False) for p in range(s, e + 1))
                     else:
                         rows.add((whole, -1, True))
@@ -187,13 +212,7 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", min_fuzzy: i
              .select("k", "r", "_x.i", "_x.h", F.btrim(F.get("_l", F.col("_x.i")), F.lit(_BLANKS)).alias("t"))
              .dropDuplicates(["h"]))
     texts = stage(texts, "line-texts")
-    keys = _piece_keys(texts)
-    groups = (keys.groupBy("x").agg(F.count(F.when(F.col("own"), 1)).alias("co"), F.count(F.when(~F.col("own"), 1)).alias("cp"))
-              .where("co > 1 OR (co > 0 AND cp > 0)"))
-    roles = F.filter(F.array(F.when(F.col("own") & (F.col("co") > 1), 0), F.when(~F.col("own") & (F.col("co") > 0), 1),
-                             F.when(F.col("own") & (F.col("cp") > 0), 2)), lambda c: c.isNotNull())
-    able = keys.join(groups, "x").select("h", "q", F.explode(roles).alias("kind")).distinct()
-    v = stage(_variants(texts, able), "line-variants").withColumn("f", F.struct("k", "r", "i", "h"))
+    v = stage(_variants(texts, _able(texts)), "line-variants").withColumn("f", F.struct("k", "r", "i", "h"))
     # within a key: the same place of deletion, or (place -1) a variant against the text itself
     v = v.select("x", "h", "f", "place", "own")
     low = (v.groupBy("x", "place").agg(

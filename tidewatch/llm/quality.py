@@ -6,9 +6,9 @@ hashed n-gram log-likelihood ratio: single words and word pairs are hashed into
 raw corpus, give each bucket the log ratio of its probabilities; a text's score
 is the mean over its grams, and texts under the threshold go.
 
-Counts of the raw corpus cover every row.  The trusted target is a bounded
-sample of rows (``max_trusted``), whose ids alone are broadcast.  Texts are
-never shuffled; the table of ratios has ``n_buckets`` numbers.
+Counts of the raw corpus cover every row, those of the target every trusted
+row; Spark broadcasts or merges the trusted ids by their measured size, and only
+then texts are shuffled.  The table of ratios has ``n_buckets`` numbers.
 
 Defined results: null and empty texts have no words, score 0 and fail the base
 rules.  Without trusted rows every ratio is 0 and the base rules decide.
@@ -80,16 +80,19 @@ def _bucket(h: Column, n_buckets: int) -> Column:
     return F.pmod(h, F.lit(n_buckets)).cast("int")
 
 
+def _bucket_counts(docs: DataFrame, text: str, n_buckets: int, name: str) -> DataFrame:
+    """(b, name): grams of all rows by bucket, summed in each task before the shuffle."""
+    d = _hashes(_words(docs, F.col(text))).select(F.explode(F.concat("_h1", "_h2")).alias("h"))
+    return d.groupBy(_bucket(F.col("h"), n_buckets).alias("b")).agg(F.count(F.lit(1)).alias(name))
+
+
 def ratios(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text: str = "text", n_buckets: int = 8_192,
-           alpha: float = 1.0, max_trusted: int = 20_000) -> DataFrame:
+           alpha: float = 1.0) -> DataFrame:
     """One row: ``llr``, an array of ``n_buckets`` log ratios (target over raw)."""
-    ids = stage(trusted.select(F.col(key).alias("_k")).where("_k is not null").distinct()
-                .orderBy(F.xxhash64("_k"), "_k").limit(max_trusted), "quality-trusted")
-    d = (docs.select(key, text).join(F.broadcast(ids.withColumn("_t", F.lit(1))), F.col(key) == F.col("_k"), "left")
-         .withColumnRenamed(text, "_b"))
-    d = (_hashes(_words(d, F.col("_b"), "_t")).select("_t", F.explode(F.concat("_h1", "_h2")).alias("h"))
-         .groupBy(_bucket(F.col("h"), n_buckets).alias("b"))
-         .agg(F.count(F.lit(1)).alias("raw"), F.count("_t").alias("target")))
+    ids = trusted.select(F.col(key).alias("_k")).where("_k is not null").distinct()
+    good = docs.select(key, text).join(ids, F.col(key) == F.col("_k"), "semi")
+    d = (_bucket_counts(docs, text, n_buckets, "raw")
+         .join(_bucket_counts(good, text, n_buckets, "target"), "b", "left"))
     d = docs.sparkSession.range(n_buckets).select(F.col("id").cast("int").alias("b")).join(d, "b", "left")
     d = stage(d.select("b", F.coalesce("raw", F.lit(0)).alias("raw"), F.coalesce("target", F.lit(0)).alias("target")),
               "quality-counts")
@@ -110,4 +113,6 @@ def judge(docs: DataFrame, table: DataFrame, key: str = "doc_id", text: str = "t
     n = F.size("_h1") + F.size("_h2")
     d = d.withColumn("score", F.when(n > 0, total / n).otherwise(0.0)).drop("_h1", "_h2", "_llr")
     d = d.withColumn("base_failed", (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words")))
-    return d.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold))
+    d = d.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold))
+    # out of a generator: filters on these columns stay above it, and the chain is not worked out again below
+    return d.select(F.inline(F.array(F.struct(*d.columns))))

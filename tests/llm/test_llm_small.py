@@ -5,6 +5,7 @@ import re
 import numpy as np
 import public_tokenizers
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -67,8 +68,42 @@ def test_base_counts(spark):
     assert got == sorted((r.doc_id or -1, *base_of(r.text)) for r in rows.collect())
 
 
+def odd_kept(spark, table):
+    return {r.doc_id for r in quality.judge(odd_docs(spark), table).where("kept").collect()}
+
+
+def grams(t, n=8192):
+    w = re.findall(r"[^\x20\x09-\x0D]+", t or "")
+    h = [xxhash.xxh64_intdigest(x.encode(), 42) for x in w]
+    pair = [xxhash.xxh64_intdigest(b.to_bytes(8, "little"), xxhash.xxh64_intdigest(a.to_bytes(8, "little"), 42))
+            for a, b in zip(h, h[1:])]
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    return [signed(x) % n for x in h + pair]
+
+
+def test_quality_ratios_by_hand(spark):
+    """Hashed counts of every trusted and every row, and mean log ratios, against plain sums."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("doc_id % 7 = 0")
+    good = spark.read.parquet(f"{SF}/labels.parquet").where("quality = 1")
+    texts, ids = {r.doc_id: r.text for r in docs.collect()}, {r.doc_id for r in good.collect()}
+    raw, target = np.zeros(8192), np.zeros(8192)
+    for k, t in texts.items():
+        for g in grams(t):
+            raw[g] += 1
+            target[g] += k in ids
+    llr = np.log((target + 1) / (target.sum() + 8192)) - np.log((raw + 1) / (raw.sum() + 8192))
+    table = quality.ratios(docs, good)
+    assert np.allclose(table.first().llr, llr)
+    for r in quality.judge(docs, table).collect():
+        g = grams(texts[r.doc_id])
+        want = llr[g].mean() if g else 0.0
+        assert abs(r.score - want) < 1e-9
+        assert r.kept == (not r.base_failed and want >= -0.03) or abs(want + 0.03) < 1e-9
+
+
 def test_quality_verdict(spark):
-    docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
+    # 10,000 texts: with a tenth of them the hashed counts are too thin for these shares
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     table = quality.ratios(docs, labels.where("quality = 1"))
     got = quality.judge(docs, table).join(labels, "doc_id").where("not base_failed").groupBy("quality", "kept").count().collect()
     n = {(r.quality, r.kept): r["count"] for r in got}
@@ -78,6 +113,11 @@ def test_quality_verdict(spark):
     assert len(llr) == 8192 and any(x > 0 for x in llr) and any(x < 0 for x in llr)
     odd = quality.judge(odd_docs(spark), table)
     assert odd.count() == 11 and odd.where("kept and base_failed").count() == 0
+    # every trusted row counts, and a filter does not bring the whole chain down to the scan
+    judged = quality.judge(docs, table)
+    size = lambda d: len(d._jdf.queryExecution().optimizedPlan().toString())
+    assert size(judged.where("kept")) < 1.5 * size(judged)
+    assert odd_kept(spark, table) <= {8, 5}
     empty = quality.ratios(no_docs(spark), no_docs(spark))
     assert set(empty.first().llr) == {0.0} and quality.judge(no_docs(spark), empty).count() == 0
     plan = quality.judge(docs, table)._jdf.queryExecution().executedPlan().toString()
@@ -117,8 +157,9 @@ def test_toxicity_held_out(spark):
     assert got[1] >= 0.3 > got[2]
 
 
-def test_label_model_weighs_copies_once():
-    rng = np.random.default_rng(0)
+@pytest.mark.parametrize("seed", range(10))
+def test_label_model_weighs_copies_once(seed):
+    rng = np.random.default_rng(seed)
     y = rng.random(4000) < 0.3
     flip = lambda p: np.where(rng.random(4000) < p, y, ~y)
     good, fair = flip(0.9), flip(0.7)
@@ -126,3 +167,21 @@ def test_label_model_weighs_copies_once():
     post, accuracy, corr = toxicity.label_model(v, 0.3)
     assert accuracy[0] > accuracy[1] and corr[1, 2] > 0.9 and abs(corr[0, 1]) < 0.3
     assert ((post > 0.5) == y).mean() > 0.85
+    assert abs(accuracy[0] - (good == y).mean()) < 0.06 and abs(accuracy[1] - (fair == y).mean()) < 0.06
+
+
+def test_label_model_posterior_by_hand():
+    v = np.array([[1, 0, -1], [0, 1, -1], [-1, -1, 1], [0, 0, 0]])
+    rng = np.random.default_rng(1)
+    table = rng.random((2, 3, 3)) + 0.1
+    table /= table.sum(2, keepdims=True)
+    share, prior = np.array([1.0, 0.5, 1.0]), 0.2
+    got = toxicity._posterior(v, table, share, prior)
+    for row, p in zip(v, got):
+        like = [np.prod([table[c, j, x + 1] ** share[j] for j, x in enumerate(row)]) for c in (0, 1)]
+        assert abs(p - prior * like[1] / (prior * like[1] + (1 - prior) * like[0])) < 1e-9
+    # expected counts, summed by hand
+    post = np.array([0.9, 0.6, 0.1, 0.3])
+    t = toxicity._tables(v, post)
+    toxic = [sum(post[i] for i in range(4) if v[i, 0] == x) + s for x, s in ((-1, 0.2), (0, 0.8), (1, 0.6))]
+    assert np.allclose(t[1, 0], np.array(toxic) / sum(toxic))

@@ -110,38 +110,83 @@ def votes(text: str, found: set[str], lexicons: dict[str, frozenset[str]]) -> li
                    -1 if not found else 0]  # no words at all
 
 
-def label_model(v: np.ndarray, prior: float, rounds: int = 30) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _blocks(v: np.ndarray, same: float = 0.95) -> np.ndarray:
+    """For each voter the first voter it agrees with where either of them votes; copies share one."""
+    first = np.arange(v.shape[1])
+    for j in range(v.shape[1]):
+        for i in range(j):
+            either = (v[:, i] != 0) | (v[:, j] != 0)
+            if first[i] == i and either.any() and (v[either, i] == v[either, j]).mean() >= same:
+                first[j] = i
+                break
+    return first
+
+
+def _voices(v: np.ndarray, prior: float) -> np.ndarray:
+    """Weights to start with.  If a voter that takes both sides is right equally
+    often in both classes, the share of its votes for toxic gives that rate a:
+    prior a + (1 - prior) (1 - a).  One-sided voters have weight 1."""
+    n = np.maximum((v != 0).sum(0), 1)
+    share = (v > 0).sum(0) / n
+    both = np.minimum(share, (v < 0).sum(0) / n) >= 0.02
+    if abs(2 * prior - 1) < 0.1:  # the share says nothing where classes are even
+        return np.ones(v.shape[1])
+    right = np.clip((share - (1 - prior)) / (2 * prior - 1), 0.55, 0.95)
+    return np.where(both, np.log(right / (1 - right)), 1.0)
+
+
+def _tables(v: np.ndarray, post: np.ndarray) -> np.ndarray:
+    """P(vote | class) by expected counts: class x voter x vote."""
+    onehot = np.stack([v == -1, v == 0, v == 1], 2).astype(float)
+    table = np.einsum("ci,ijk->cjk", np.stack([1 - post, post]), onehot)
+    # smoothing holds a voter to be better than chance until votes say otherwise
+    table += np.array([[0.6, 0.8, 0.2], [0.2, 0.8, 0.6]])[:, None, :]
+    return table / table.sum(2, keepdims=True)
+
+
+def _posterior(v: np.ndarray, table: np.ndarray, share: np.ndarray, prior: float) -> np.ndarray:
+    """P(toxic | votes) where voter j's likelihood ratio counts to the power share[j]."""
+    onehot = np.stack([v == -1, v == 0, v == 1], 2).astype(float)
+    logit = np.einsum("ijk,jk,j->i", onehot, np.log(table[1]) - np.log(table[0]), share) + np.log(prior / (1 - prior))
+    return 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
+
+
+def _correlation(v: np.ndarray, post: np.ndarray, alone: np.ndarray) -> np.ndarray:
+    """Correlation of the votes that is left given the class."""
+    expect = alone[:, :, 2] - alone[:, :, 0]
+    rest = [(v - expect[c]) * np.sqrt(p)[:, None] for c, p in ((0, 1 - post), (1, post))]
+    cov = sum(r.T @ r for r in rest)
+    sd = np.sqrt(np.maximum(np.diag(cov), 1e-9))
+    return cov / np.outer(sd, sd)
+
+
+def label_model(v: np.ndarray, prior: float, rounds: int = 30, least: float = 0.1) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(posterior of toxic, accuracies, correlations) from votes (documents x voters).
 
-    Each voter has a table P(vote | class).  After every step the voters'
-    residual correlation given the class is measured; a voter's evidence is
-    divided by one plus the positive correlations it has with others, so a
-    block of copies counts about once.
+    Each voter has a table P(vote | class).  After every step the correlation
+    that the class leaves between voters is measured, and a voter's likelihood
+    ratio counts to the power 1 / (1 + its correlations of at least ``least``):
+    a block of copies counts once, whatever their number.  The start is a vote
+    in which copies (``_blocks``) have one voice, weighed by the voters' first
+    moments (``_voices``), so that copies cannot define the class either.
+    An accuracy is the share of a voter's votes that name the class.
     """
-    n, m = v.shape
-    onehot = np.stack([v == -1, v == 0, v == 1], 2).astype(float)
-    weight = np.where(v > 0, 1.0, np.where(v < 0, -1.0, 0.0)).sum(1)
-    post = 1 / (1 + np.exp(-np.clip(weight + np.log(prior / (1 - prior)), -30, 30)))
-    corr = np.eye(m)
+    first = np.unique(_blocks(v))
+    voice = v[:, first] @ _voices(v[:, first], prior)
+    post = 1 / (1 + np.exp(-np.clip(voice + np.log(prior / (1 - prior)), -30, 30)))
     for _ in range(rounds):
-        table = np.stack([np.einsum("i,ijk->jk", 1 - post, onehot), np.einsum("i,ijk->jk", post, onehot)])
-        # smoothing holds a voter to be better than chance until votes say otherwise
-        table += np.array([[0.6, 0.8, 0.2], [0.2, 0.8, 0.6]])[:, None, :]
-        table /= table.sum(2, keepdims=True)
-        expect = [table[c, :, 2] - table[c, :, 0] for c in (0, 1)]
-        rest = [(v - expect[c]) * np.sqrt(p)[:, None] for c, p in ((0, 1 - post), (1, post))]
-        cov = sum(r.T @ r for r in rest)
-        sd = np.sqrt(np.maximum(np.diag(cov), 1e-9))
-        corr = cov / np.outer(sd, sd)
-        share = 1 / (1 + np.where(corr > 0.1, corr, 0).sum(1) - 1 + 1e-9).clip(1, None)
-        llr = np.log(table[1]) - np.log(table[0])
-        logit = np.einsum("ijk,jk,j->i", onehot, llr, share) + np.log(prior / (1 - prior))
-        new = 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
-        if np.abs(new - post).max() < 1e-6:
-            post = new
-            break
+        table = _tables(v, post)
+        corr = _correlation(v, post, table)
+        other = np.where(corr > least, corr, 0) * (1 - np.eye(len(corr)))
+        new = _posterior(v, table, 1 / (1 + other.sum(1)), prior)
+        done = np.abs(new - post).max() < 1e-6
         post = new
-    return post, table[1, :, 2] / (table[1, :, 2] + table[0, :, 2]), corr
+        if done:
+            break
+    table = _tables(v, post)
+    right = prior * table[1, :, 2] + (1 - prior) * table[0, :, 0]
+    wrong = prior * table[1, :, 0] + (1 - prior) * table[0, :, 2]
+    return post, right / (right + wrong), _correlation(v, post, table)
 
 
 def _fit_linear(rows: list[np.ndarray], target: np.ndarray, weight: np.ndarray, k: int, l2: float = 0.01,

@@ -77,3 +77,34 @@ def test_removed_bytes(spark, hot):
 
 def test_empty_table(spark):
     assert ours(spark.createDataFrame([], "doc_id long, text string")) == []
+
+
+def test_groups_sorted_no_further_than_needed():
+    """Refinement stopped at 50 bytes gives the same neighbours' prefixes as whole sorting, over several stretches."""
+    rng = random.Random(7)
+    for _ in range(12):
+        unit = bytes(rng.choice(b"ab") for _ in range(rng.randint(1, 120)))
+        parts = [(unit * 30)[:rng.randint(50, 1500)] + bytes(rng.choice(b"abc") for _ in range(rng.randint(0, 40))) for _ in range(4)]
+        x = np.frombuffer(b"".join(parts), np.uint8)
+        size = np.array([len(p) for p in parts])
+        start = np.cumsum(size) - size
+        sa, rank = S.refined(x, 50)
+        lcp = S.common_prefixes(x, sa, start, size, 50, rank)
+        a = x.tobytes()
+        for i, j in zip(sa, sa[1:]):
+            m = 0
+            while m < 50 and i + m < len(a) and j + m < len(a) and a[i + m] == a[j + m]:
+                m += 1
+            assert lcp[j] == m
+            assert a[i:i + 50] <= a[j:j + 50]
+
+
+def test_text_of_megabytes(spark):
+    rng = random.Random(9)
+    long = " ".join(f"{rng.randrange(1 << 40):x}" for _ in range(300_000))
+    passage = long[1_500_000:1_505_000]
+    rows = [(1, long), (2, "@" * 30 + passage + "~" * 30), (3, "~" * 20 + long + "@" * 20), (4, passage[10:59])]
+    got = {r.doc_id: r for r in S.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(long) > 3_000_000 and got[1].n_removed == got[4].n_removed == 0
+    assert [tuple(x) for x in got[2].spans] == [(30, 5_030)] and got[2].kept == b"@" * 30 + b"~" * 30
+    assert [tuple(x) for x in got[3].spans] == [(20, 20 + len(long))]

@@ -72,8 +72,10 @@ def window_runs(a: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.
 
 
 # --- suffix array and common prefixes ------------------------------------------------
-def suffix_array(a: np.ndarray) -> np.ndarray:
-    """Sorted suffixes by Larsson-Sadakane refinement."""
+def refined(a: np.ndarray, depth: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(suffixes, rank) by Larsson-Sadakane refinement, sorted by at least ``depth`` bytes (default: wholly).
+
+    Suffixes that agree that far stay a group of one rank, the place of its first."""
     n = len(a)
     # a byte is followed by the end of the text, which sorts first: lengths tell zeros apart
     key = _words8(a)
@@ -86,11 +88,11 @@ def suffix_array(a: np.ndarray) -> np.ndarray:
     h = 8
     # suffixes shorter than 8 bytes tie with ones that go on with zero bytes: the next round's end mark parts them
     short = np.arange(max(0, n - 8), n)
-    while True:
+    while depth is None or h == 8 or h < depth:
         size = np.bincount(rank[:n], minlength=n)
         open_ = np.flatnonzero(size[rank[sa]] > 1)  # places in sa of groups not yet single
         if not len(open_):
-            return sa
+            break
         at = sa[open_]
         nxt = np.minimum(at + h, n)
         nxt_rank = rank[nxt] + 1
@@ -98,33 +100,55 @@ def suffix_array(a: np.ndarray) -> np.ndarray:
             tail = at + h > n
             nxt_rank = np.where(tail, at + h - n, nxt_rank + 9) if tail.any() else nxt_rank + 9
             nxt_rank = np.where(tail, 9 - nxt_rank, nxt_rank)  # the shorter the suffix, the smaller
-        order = np.lexsort((nxt_rank, rank[at]))
+        # a group's rank is below n, the next rank below n + 10: one number sorts by both
+        order = np.argsort(rank[at] * (n + 16) + nxt_rank, kind="stable")
         at, r, k = at[order], rank[at][order], nxt_rank[order]
         sa[open_] = at
         split = np.concatenate([[True], (r[1:] != r[:-1]) | (k[1:] != k[:-1])])
         rank[at] = np.maximum.accumulate(np.where(split, open_, 0))
         h *= 2
+    return sa, rank[:n]
+
+
+def suffix_array(a: np.ndarray) -> np.ndarray:
+    """Sorted suffixes."""
+    return refined(a)[0]
+
+
+#: places that Kasai's rule follows in one go; each stretch of them starts anew
+STRETCH = 512
 
 
-def common_prefixes(a: np.ndarray, sa: np.ndarray, start: np.ndarray, size: np.ndarray, most: int) -> np.ndarray:
+def common_prefixes(a: np.ndarray, sa: np.ndarray, start: np.ndarray, size: np.ndarray, most: int,
+                    rank: np.ndarray | None = None) -> np.ndarray:
     """Common prefix (up to ``most``) of each suffix with the one sorted before it.
 
     Kasai's rule, a suffix shares at least one byte less than the suffix one
-    place before it, is followed in step within all pieces (``start``, ``size``).
+    place before it, is followed in step within stretches of all pieces
+    (``start``, ``size``).  ``rank``: groups sorted by ``most`` bytes or more
+    only.  Within one the answer is ``most``; behind such a place, whose order is
+    open, the count starts anew.
     """
     n = len(a)
     before = np.full(n, -1, np.int64)
     before[sa[1:]] = sa[:-1]
+    place = np.empty(n, np.int64)
+    place[sa] = np.arange(n)
+    tied = np.zeros(n, bool) if rank is None else rank != place
     text = np.concatenate([a.astype(np.int16), np.full(1, -1, np.int16)])
     out = np.zeros(n, np.int64)
+    parts = -(-size // STRETCH)
+    nth = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
+    start, size = (np.repeat(start, parts) + nth * STRETCH,
+                   np.minimum(np.repeat(size, parts) - nth * STRETCH, STRETCH))
     order = np.argsort(-size, kind="stable")
     start, size = start[order], size[order]
     h = np.zeros(len(start), np.int64)
     for o in range(int(size[0]) if len(size) else 0):
-        m = int(np.searchsorted(-size, -o, "left"))  # pieces longer than o
+        m = int(np.searchsorted(-size, -o, "left"))  # stretches longer than o
         p = start[:m] + o
-        q = before[p]
-        cur = np.where(q < 0, 0, np.maximum(h[:m] - 1, 0))
+        q, tie = before[p], tied[p]
+        cur = np.where(tie, most, np.where(q < 0, 0, np.maximum(h[:m] - 1, 0)))
         go = np.flatnonzero((q >= 0) & (cur < most))
         while len(go):
             x, y = p[go] + cur[go], q[go] + cur[go]
@@ -134,7 +158,7 @@ def common_prefixes(a: np.ndarray, sa: np.ndarray, start: np.ndarray, size: np.n
             cur[go] += 1
             go = go[cur[go] < most]
         out[p] = cur
-        h[:m] = cur
+        h[:m] = np.where(tie, 0, cur)
     return out
 
 
@@ -320,8 +344,8 @@ def shard_matches(data: np.ndarray, n: np.ndarray, k: np.ndarray, length: int):
     text = data[take]
     u_k = np.full(len(first), np.iinfo(np.int64).max)
     np.minimum.at(u_k, of, k)
-    sa = suffix_array(text)
-    lcp = common_prefixes(text, sa, u_at, u_n, length)
+    sa, rank = refined(text, length)
+    lcp = common_prefixes(text, sa, u_at, u_n, length, rank)
     piece = np.repeat(np.arange(len(first)), u_n)
     offset = np.arange(len(text)) - u_at[piece]
     window = offset + length <= u_n[piece]

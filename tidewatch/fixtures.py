@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidewatch.schema import ATTACK_TYPES, layout
+from tidewatch.schema import ATTACK_TYPES, FLOW_LAYOUT, REFERENCE_FEATURES, layout
 
 # Flow record layout of the fixture messages (reference records carry 23
 # features; the fixture carries two: a skewed one and an unskewed one).
@@ -100,6 +100,44 @@ def device_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def wide_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``lineitem`` as flows of the whole 27-field record: timestamp and
+    ``FLOW_LAYOUT``.  Feature i mixes two of quantity, price, discount and tax
+    (FIXTURES.md §3); each fifth one is a product and thus skewed."""
+    li = table(spark, sf_dir, "lineitem")
+    base = [F.col("l_quantity"), F.col("l_extendedprice") / 1000, F.col("l_discount") * 10, F.col("l_tax") * 10]
+    feats = []
+    for i, name in enumerate(REFERENCE_FEATURES):
+        a, b = base[i % 4], base[i // 4 % 4]
+        feats.append((F.floor(a * a * b).cast("double") if i % 5 == 0 else a * float(i + 1) + b * 0.5).alias(name))
+    attack = F.col("l_returnflag") == "R"
+    types = F.array(*[F.lit(a) for a in ATTACK_TYPES])
+    return li.select(
+        F.col("l_shipdate").cast("timestamp").alias("timestamp"), *feats,
+        F.concat(F.lit("cam_"), (F.col("l_suppkey") % 9).cast("string")).alias("device_name"),
+        F.when(attack, F.get(types, (F.col("l_linenumber") % 5).cast("int"))).otherwise(F.lit("Normal")).alias("attack"),
+        F.col("l_linestatus").alias("attack_subtype"), F.when(attack, 0).otherwise(1).alias("label"))
+
+
+def wide_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``wide_flows`` as ``(timestamp, value)`` messages of 27 fields."""
+    payload = F.concat_ws(",", *[F.col(n).cast("string") for n, _ in FLOW_LAYOUT])
+    return wide_flows(spark, sf_dir).select("timestamp", payload.cast("binary").alias("value"))
+
+
+def hot_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages plus many later copies, within five minutes, of one event's
+    payload: a third of all rows."""
+    m = messages(spark, sf_dir)
+    ev = table(spark, sf_dir, "events")
+    one = ev.agg(F.min_by("event_id", F.struct("ts", "event_id")).alias("first_id"))
+    first = messages(spark, sf_dir, ev.join(one, F.col("event_id") == F.col("first_id")).drop("first_id"))
+    copies = ev.where(F.col("event_id") % 2 == 0).select((F.col("event_id") % 300 + 1).alias("late"))
+    # one row on the right: the earliest event's message
+    c = copies.withColumn("one", F.lit(1)).join(first.withColumn("one", F.lit(1)), "one")
+    return m.unionByName(c.select((F.col("timestamp") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.col("late"))).alias("timestamp"), "value"))
+
+
 def containment_commands(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator commands: isolate at the last event of devices with
     user_id % 10 = 3; reconnect those with user_id % 20 = 3 a minute later."""

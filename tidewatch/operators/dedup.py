@@ -24,9 +24,17 @@ from tidewatch.schema import DEDUP_DELAY
 
 
 def dedup_by_key(df: DataFrame, key: str = "row_hash", time_col: str = "kafka_timestamp",
-                 delay: str = DEDUP_DELAY, payload_determined: bool = False) -> DataFrame:
+                 delay: str = DEDUP_DELAY, payload_determined: bool = False, salts: int = 0) -> DataFrame:
+    """``salts`` (streams): copies of one payload first meet in so many parts of
+    its own, dealt by arrival time, and then once more; a payload that is sent
+    very often does not pass through one task.  Copies further apart than the
+    delay may be kept in either form, in the salted one rather dropped."""
     if df.isStreaming:
-        return df.withWatermark(time_col, delay).dropDuplicatesWithinWatermark([key])
+        d = df.withWatermark(time_col, delay)
+        if salts:
+            salt = F.pmod(F.xxhash64(time_col), F.lit(int(salts))).cast("int")
+            d = d.withColumn("_salt", salt).dropDuplicatesWithinWatermark([key, "_salt"]).drop("_salt")
+        return d.dropDuplicatesWithinWatermark([key])
     others = [c for c in df.columns if c not in (key, time_col)]
     if payload_determined:
         return df.groupBy(key, *others).agg(F.min(time_col).alias(time_col)).select(*df.columns)

@@ -17,6 +17,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidewatch.functions.keys import utc_ntz
 from tidewatch.functions.transform import cap, log_shift
 
 
@@ -70,7 +71,11 @@ def fit_frame(df: DataFrame, cols: list[str], threshold: float = 1.0, whisker: f
                  F.col(f"m{i}").alias("min_value"), F.get(F.col(f"q{i}"), 0).alias("q1_raw"),
                  F.get(F.col(f"q{i}"), 1).alias("q3_raw"))
         for i, c in _idx(cols)])).alias("r")
-    r = wide.select(rows).select("r.*")
+    return _bounds(wide.select(rows).select("r.*"), threshold, whisker)
+
+
+def _bounds(r: DataFrame, threshold: float, whisker: float) -> DataFrame:
+    """Log step, shift and bounds from a column's skewness, least value and raw quartiles."""
     high = F.coalesce(F.abs(F.col("skewness")) > F.lit(threshold), F.lit(False))
     # "+ 0.0" turns a -0.0 shift into 0.0
     shift = F.greatest(F.lit(0.0), F.coalesce(-F.col("min_value"), F.lit(0.0))) + F.lit(0.0)
@@ -85,6 +90,48 @@ def fit_frame(df: DataFrame, cols: list[str], threshold: float = 1.0, whisker: f
                     (F.col("q3") + w * iqr).alias("upper"))
 
 
+#: accuracy of the stored sketches: ranks are right to within SKETCH_RANK_ERROR (99 % of the time better by far)
+SKETCH_K = 2000
+SKETCH_RANK_ERROR = 0.005
+
+
+def sketch_frame(df: DataFrame, cols: list[str], time_col: str = "kafka_timestamp") -> DataFrame:
+    """Mergeable state per UTC day and column: counts, central moments, least
+    value and a quantile sketch.  One pass over the new days only; summed in
+    each task before the shuffle, a few KB for a day and column."""
+    cells = F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("x")) for c in cols]))
+    d = df.select(utc_ntz(time_col).cast("date").alias("day"), cells.alias("c")).select("day", "c.feature", "c.x")
+    n, var = F.count("x"), F.var_pop("x")
+    return (d.where("x is not null").groupBy("day", "feature").agg(
+        n.alias("n"), F.avg("x").alias("mean"), (var * n).alias("m2"),
+        F.coalesce(F.skewness("x") * F.pow(var, 1.5) * n, F.lit(0.0)).alias("m3"),
+        F.min("x").alias("least"), F.kll_sketch_agg_double("x", SKETCH_K).alias("sketch")))
+
+
+def update_sketches(df: DataFrame, cols: list[str], path: str, time_col: str = "kafka_timestamp") -> None:
+    """Replace the stored state of the days in ``df`` (whole days; a repeated run changes nothing)."""
+    (sketch_frame(df, cols, time_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("day").parquet(path))
+
+
+def merged_frame(daily: DataFrame, threshold: float = 1.0, whisker: float = 1.5) -> DataFrame:
+    """``fit_frame``'s row per column from stored daily states, without reading flows again.
+
+    Counts, skewness and least values are exact (central moments are shifted to
+    the common mean); quartiles have a rank within ``SKETCH_RANK_ERROR``."""
+    mean = daily.groupBy("feature").agg((F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("mu"))
+    off = F.col("mean") - F.col("mu")
+    r = daily.join(mean, "feature").groupBy("feature").agg(
+        F.sum("n").alias("n"), F.min("least").alias("min_value"),
+        F.sum(F.col("m2") + F.col("n") * off * off).alias("m2"),
+        F.sum(F.col("m3") + 3 * off * F.col("m2") + F.col("n") * off * off * off).alias("m3"),
+        F.kll_merge_agg_double("sketch").alias("sketch"))
+    skewness = F.when(F.col("m2") > 0, F.sqrt("n") * F.col("m3") / F.pow("m2", 1.5))
+    q = [F.kll_sketch_get_quantile_double("sketch", F.lit(p)) for p in (0.25, 0.75)]
+    return _bounds(r.select("feature", "n", skewness.alias("skewness"), "min_value",
+                            q[0].alias("q1_raw"), q[1].alias("q3_raw")), threshold, whisker)
+
+
 def skew_frame(df: DataFrame, cols: list[str], threshold: float = 1.0) -> DataFrame:
     """One row per column: feature, n, skewness, min_value, high_skew, shift."""
     return fit_frame(df, cols, threshold, quantiles=False).select(
@@ -103,7 +150,12 @@ def fit_stats(df: DataFrame, cols: list[str], threshold: float = 1.0, whisker: f
     """Fit the high-skew list, log shifts and IQR bounds in one pass (zero-IQR
     columns are left out of the bounds, so they stay uncapped).  Only the
     O(#columns) result reaches the driver."""
-    rows = fit_frame(df.select(*cols), cols, threshold, whisker, accuracy).collect()
+    return stats_of(fit_frame(df.select(*cols), cols, threshold, whisker, accuracy), cols)
+
+
+def stats_of(frame: DataFrame, cols: list[str]) -> PrepStats:
+    """``PrepStats`` from the rows of ``fit_frame`` or ``merged_frame``."""
+    rows = frame.collect()
     high = [r["feature"] for r in rows if r["high_skew"]]
     shifts = {r["feature"]: float(r["shift"]) for r in rows if r["high_skew"]}
     bounds = {r["feature"]: {"lower": float(r["lower"]), "upper": float(r["upper"])}

@@ -60,15 +60,59 @@ def training_stream(msgs: DataFrame, layout, stats: PrepStats, out_path: str, ch
 
 
 def dedup_stream(msgs: DataFrame, layout, out_path: str, checkpoint: str, trigger: dict | None = None,
-                state_partitions: int | None = None):
+                state_partitions: int | None = None, salts: int = 0):
     """Parsed flows deduplicated by fingerprint within the watermark."""
     from tidewatch.operators.dedup import dedup_by_key
     from tidewatch.operators.parse import parse_messages
-    df = dedup_by_key(parse_messages(msgs, layout))
+    df = dedup_by_key(parse_messages(msgs, layout), salts=salts)
+    w = df.writeStream.format("parquet").option("path", out_path).outputMode("append")
+    return _start(w, checkpoint, trigger, state_partitions)
+
+
+#: what ``counted_stream`` reports for each batch
+QUALITY_COLUMNS = ["batch_id", "rows", "rejected", "late", "duplicates"]
+
+
+def counted_stream(msgs: DataFrame, layout, out_path: str, checkpoint: str, trigger: dict | None = None,
+                   state_partitions: int | None = None):
+    """T0a-T0c, S9 with counts: rejects are observed before the dedup, late and
+    duplicate rows are counted by its state operator; read them with
+    ``quality_counts``.  Late rows have an event time below the watermark."""
+    from tidewatch.functions.parse import reject_reason
+    from tidewatch.operators.dedup import dedup_by_key
+    from tidewatch.operators.parse import parse_messages
+    seen = msgs.withColumn("_reason", reject_reason("value", layout)).observe(
+        "quality", F.count(F.lit(1)).alias("rows"), F.count("_reason").alias("rejected"))
+    df = dedup_by_key(parse_messages(seen.where("_reason is null").drop("_reason"), layout))
     w = df.writeStream.format("parquet").option("path", out_path).outputMode("append")
     return _start(w, checkpoint, trigger, state_partitions)
 
 
+def quality_counts(query) -> list[tuple]:
+    """A row of ``QUALITY_COLUMNS`` for each batch of a ``counted_stream`` that read rows."""
+    out = []
+    for p in query.recentProgress:
+        seen = p.observedMetrics.get("quality") if p.observedMetrics else None
+        if seen is None or not p.numInputRows:
+            continue
+        late = sum(s.numRowsDroppedByWatermark for s in p.stateOperators)
+        twice = sum(s.customMetrics.get("numDroppedDuplicateRows", 0) for s in p.stateOperators)
+        out.append((p.batchId, seen.rows, seen.rejected, late, twice))
+    return out
+
+
+def enrich_stream(flows: DataFrame, registry_path: str, out_path: str, checkpoint: str, trigger: dict | None = None,
+                  state_partitions: int | None = None):
+    """J1 on a stream: every batch joins the registry as it stands when the batch
+    runs (the newest state of a store keyed by device), so changes made between
+    batches count; a batch that is committed is not joined again on replay."""
+    def write(batch_df: DataFrame, batch_id: int) -> None:
+        registry = store.latest(batch_df.sparkSession, registry_path, "device_name", [store.BATCH]).drop(store.BATCH)
+        store.write_batch(D.enrich_device(without_event_time_marks(batch_df), registry), out_path, batch_id)
+
+    return _start(flows.writeStream.foreachBatch(write), checkpoint, trigger, state_partitions)
+
+
 def parse_stream(msgs: DataFrame, layout, out_path: str, checkpoint: str, trigger: dict | None = None,
                 state_partitions: int | None = None):
     from tidewatch.operators.parse import parse_messages

@@ -212,3 +212,25 @@ def traffic_stream(flows: DataFrame, volume_col: str, is_attack, type_col: str,
 
 def read_buckets(spark, out_path: str) -> DataFrame:
     return store.latest(spark, out_path, "bucket_start", [store.BATCH]).drop(store.BATCH)
+
+
+def recent_stream(flows: DataFrame, volume_col: str, is_attack, type_col: str, out_path: str, checkpoint: str,
+                  keep: int = 100, trigger: dict | None = None, state_partitions: int | None = None):
+    """W5 on a stream: each batch that closes buckets stores the newest ``keep`` of them."""
+    from tidewatch.streaming.recent import newest_buckets
+
+    def write(batch_df: DataFrame, batch_id: int) -> None:
+        if not batch_df.isEmpty():
+            store.write_batch(without_event_time_marks(batch_df), out_path, batch_id)
+
+    view = newest_buckets(flows, volume_col, is_attack, type_col, keep)
+    return _start(view.writeStream.outputMode("append").foreachBatch(write), checkpoint, trigger, state_partitions)
+
+
+def read_recent(spark, out_path: str) -> DataFrame:
+    """The newest view of each series."""
+    from pyspark.sql import Window
+    from tidewatch.streaming.recent import named
+    d = store.read(spark, out_path)
+    top = F.max(store.BATCH).over(Window.partitionBy("series"))  # a few views of ``keep`` rows
+    return named(d.withColumn("_top", top).where(F.col(store.BATCH) == F.col("_top")))

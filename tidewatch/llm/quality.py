@@ -7,8 +7,9 @@ raw corpus, give each bucket the log ratio of its probabilities; a text's score
 is the mean over its grams, and texts under the threshold go.
 
 Counts of the raw corpus cover every row, those of the target every trusted
-row; Spark broadcasts or merges the trusted ids by their measured size, and only
-then texts are shuffled.  The table of ratios has ``n_buckets`` numbers.
+row: a mark table of fixed size leaves out texts that are not, then a merge join
+on the ids decides.  No other text moves; the table of ratios has ``n_buckets``
+numbers.
 
 Defined results: null and empty texts have no words, score 0 and fail the base
 rules.  Without trusted rows every ratio is 0 and the base rules decide.
@@ -86,11 +87,32 @@ def _bucket_counts(docs: DataFrame, text: str, n_buckets: int, name: str) -> Dat
     return d.groupBy(_bucket(F.col("h"), n_buckets).alias("b")).agg(F.count(F.lit(1)).alias(name))
 
 
+def _bitmap(ids: DataFrame, bits: int) -> DataFrame:
+    """One row: ``bits`` marks, 64 to a number, set where an id hashes to."""
+    at = ids.select(F.pmod(F.xxhash64("_k"), F.lit(bits)).alias("p"))
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("p") % 64).cast("int"))
+    set_ = at.groupBy(F.shiftright("p", 6).cast("int").alias("w")).agg(F.bit_or(one).alias("m"))
+    every = ids.sparkSession.range(bits // 64).select(F.col("id").cast("int").alias("w")).join(set_, "w", "left")
+    return every.agg(F.transform(F.array_sort(F.collect_list(F.struct("w", F.coalesce("m", F.lit(0).cast("long")).alias("m")))),
+                                 lambda s: s["m"]).alias("marks"))
+
+
+def _trusted_texts(docs: DataFrame, trusted: DataFrame, key: str, text: str, bits: int = 1 << 23) -> DataFrame:
+    """Rows whose id is trusted.  Marks of a fixed size (1 MB) leave out most of the
+    others before the join, which decides; so few texts move, at any size alike."""
+    ids = stage(trusted.select(F.col(key).alias("_k")).where("_k is not null").distinct(), "quality-trusted")
+    marks = stage(_bitmap(ids, bits), "quality-marks")
+    p = F.pmod(F.xxhash64(key), F.lit(bits))
+    d = docs.select(key, text).withColumn("_m", marks.scalar())
+    word = F.get("_m", F.shiftright(p, 6).cast("int"))
+    hit = F.call_function("shiftright", word, (p % 64).cast("int")).bitwiseAND(F.lit(1).cast("long"))
+    return d.where(hit == 1).select(key, text).join(ids.hint("merge"), F.col(key) == F.col("_k"), "semi")
+
+
 def ratios(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text: str = "text", n_buckets: int = 8_192,
            alpha: float = 1.0) -> DataFrame:
     """One row: ``llr``, an array of ``n_buckets`` log ratios (target over raw)."""
-    ids = trusted.select(F.col(key).alias("_k")).where("_k is not null").distinct()
-    good = docs.select(key, text).join(ids, F.col(key) == F.col("_k"), "semi")
+    good = _trusted_texts(docs, trusted, key, text)
     d = (_bucket_counts(docs, text, n_buckets, "raw")
          .join(_bucket_counts(good, text, n_buckets, "target"), "b", "left"))
     d = docs.sparkSession.range(n_buckets).select(F.col("id").cast("int").alias("b")).join(d, "b", "left")

@@ -200,9 +200,6 @@ def test_decontamination(spark):
         for i, t in items:
             a = split(t)
             if a and k != 5:  # the very long text is made of other words
-                grams = [" ".join(a[j:j + 3]) for j in range(max(1, len(a) - 2))]
-                if not any(f" {g} " in f" {' '.join(split(x))} " for g in grams for x in ts):
-                    continue  # no seed
                 s = max(smith_waterman(a, split(x)) for x in ts) / (2 * len(a))
                 if s >= 0.5:
                     want[k, i] = round(s, 9)
@@ -218,9 +215,8 @@ def test_decontamination_edited_copies_of_one_kind(spark):
     edited = " ".join(w[:15] + ["other"] + w[16:])  # three grams of the item are in no text
     docs = spark.createDataFrame([(d, f"a{d} b{d} {edited} c{d}") for d in range(12)], "doc_id long, text string")
     bench = spark.createDataFrame([(1, " ".join(w))], "item_id long, text string")
-    for rare in (2, 1_000):
-        got = {(r.doc_id, r.score) for r in decontam.contaminated(docs, bench, rare_docs=rare).collect()}
-        assert got == {(d, 57 / 60) for d in range(12)}
+    got = {(r.doc_id, r.score) for r in decontam.contaminated(docs, bench).collect()}
+    assert got == {(d, 57 / 60) for d in range(12)}
 
 
 def test_decontamination_copies_without_the_rare_grams(spark):
@@ -233,10 +229,9 @@ def test_decontamination_copies_without_the_rare_grams(spark):
     bench = spark.createDataFrame([(1, " ".join(w))], "item_id long, text string")
     split = {d: t.split() for d, t in docs}
     want = {d: smith_waterman(w, t) / 80 for d, t in split.items()}
-    for rare in (2, 1_000):
-        for part in (rows, rows.where("doc_id in (4, 12, 51)")):  # alike among many texts and few
-            got = {r.doc_id: r.score for r in decontam.contaminated(part, bench, rare_docs=rare).collect()}
-            assert got == {r.doc_id: want[r.doc_id] for r in part.collect() if want[r.doc_id] >= 0.5}
+    for part in (rows, rows.where("doc_id in (4, 12, 51)")):  # alike among many texts and few
+        got = {r.doc_id: r.score for r in decontam.contaminated(part, bench).collect()}
+        assert got == {r.doc_id: want[r.doc_id] for r in part.collect() if want[r.doc_id] >= 0.5}
     assert {d for d in want if want[d] >= 0.5} == {*range(10), 50, 51}
 
 
@@ -245,8 +240,8 @@ def test_decontamination_bounds_and_slices():
     voc = [f"w{i}" for i in range(12)]  # few words: nearly every pair shares grams
     items = [(i, " ".join(random.choice(voc) for _ in range(random.randint(1, 25)))) for i in range(12)]
     docs = [(d, " ".join(random.choice(voc) for _ in range(random.randint(1, 90)))) for d in range(40)]
-    bench = decontam.Items(*zip(*items), 3, 0.5)
-    h, first, at, g = decontam._hits([t.encode() for _, t in docs], bench.sizes, bench.grams, decontam._filter(bench.grams))
+    bench = decontam.Items(*zip(*items), 0.5)
+    h, first, at, g = decontam._hits([t.encode() for _, t in docs], bench.grams, decontam._filter(bench.grams))
     d, item, lo, hi = decontam._spans(bench, first, np.searchsorted(first, at, "right") - 1, at, np.searchsorted(bench.grams, g))
     may = decontam._may_reach(bench, h, item, lo, hi, 0.5)
     reach = [decontam.smith_waterman(bench.of(i), h[a:b])[0] / (2 * len(bench.of(i))) >= 0.5 for i, a, b in zip(item, lo, hi)]
@@ -255,6 +250,42 @@ def test_decontamination_bounds_and_slices():
     assert [(c.start, c.stop) for c in decontam._cuts(total, group, 6)] == [(0, 2), (2, 3), (3, 4), (4, 7), (7, 8)]
 
 
+@pytest.mark.parametrize("min_score", [0.5, 0.65])
+def test_decontamination_loses_no_pair(spark, min_score):
+    """Every pair is aligned here, without any seed; edits of all kinds and rates, in texts of frequent words."""
+    random.seed(12)
+    voc = [f"w{min(int(random.expovariate(0.05)), 60)}" for _ in range(400)]
+    items = [(i, " ".join(random.choice(voc) for _ in range(random.choice([1, 2, 3, 8, 25, 30])))) for i in range(14)]
+    docs = []
+    for d in range(120):
+        out, every = [], random.choice([2, 3, 4, 6])
+        for j, x in enumerate(items[d % 14][1].split()):
+            o = random.random()
+            out += [x] if j % every else [x, "put"] if o < 0.4 else [f"z{d}"] if o < 0.8 else []
+        out = [random.choice(voc) for _ in range(random.randint(0, 15))] + out + [random.choice(voc) for _ in range(random.randint(0, 15))]
+        docs.append((d, " ".join(out)))
+    third = [f"t{i}" for i in range(30)]
+    items.append((90, " ".join(third)))
+    docs.append((900, " ".join(x if i % 3 else f"other{i}" for i, x in enumerate(third))))  # no three words in a row are left
+    docs.append((901, " ".join(y for x in third for y in (x, "between"))))  # no two
+    want = {(d, i): round(smith_waterman(x.split(), t.split()) / (2 * len(x.split())), 9) for d, t in docs for i, x in items}
+    want = {k: v for k, v in want.items() if v >= min_score}
+    got = decontam.contaminated(spark.createDataFrame(docs, "doc_id long, text string"),
+                                spark.createDataFrame(items, "item_id long, text string"), min_score=min_score)
+    assert {(r.doc_id, r.item_id): round(r.score, 9) for r in got.collect()} == want and len(want) > 30
+    if min_score == 0.5:
+        assert (900, 90) in want and (901, 90) in want
+
+
+def test_seeds_are_the_rare_ones():
+    items = decontam.Items([1], ["the cat of the house sat on the red mat"], 0.5)
+    all_units = len(items.place)
+    often = {int(g): 1000 for g in items.of(0)[[0, 2, 3, 7]]}
+    the = decontam.gram_hashes(items.of(0)[:1], 1)[0]
+    items.keep_rare({int(the): 10_000, **often})
+    assert all_units == 19 and len(items.place) == 19 - (10 - 1) + 1 and the not in items.grams
+
+
 def test_decontamination_of_an_item_that_repeats_a_gram(spark):
     w = [f"w{i}" for i in range(36)] + ["w0", "w1", "w2", "end"]
     copy = [x for i in range(0, 36, 2) for x in (*w[i:i + 2], "put")] + w[36:]  # its first gram is the item's last

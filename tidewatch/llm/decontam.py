@@ -1,11 +1,16 @@
 """Benchmark decontamination (operator 8).
 
-n-gram seeds join texts to test items, and a Smith-Waterman alignment over
+Rare n-gram seeds join texts to test items, and a Smith-Waterman alignment over
 words scores each pair, so edited and paraphrased copies count as well.
 
-1. Seeds are all word n-grams of the items (``n`` words; an item with fewer
-   words is one gram), however many texts hold them: what a text matches does
-   not depend on the other texts.
+1. Seeds are rare words and word pairs of the items.  An alignment of
+   ``min_score`` s with an item of m words has M matched words in r runs, and at
+   least r - 1 errors between them, so 2 M - (r - 1) >= 2 s m.  It matches M
+   words and M - r neighbouring pairs: together at least 2 s m - 1 of the item's
+   2 m - 1 words and pairs.  The item may therefore leave out all but one of that
+   many: those that the texts hold most often, counted over all texts.  One of
+   the others must be in every text that reaches s: no copy is lost, and what a
+   text matches does not depend on the other texts.
 2. Where a text holds a seed, the words around it are compared with the item:
    as many on either side as an alignment of ``min_score`` through the seed can
    reach.  Two upper bounds of the score leave out what cannot reach
@@ -15,14 +20,9 @@ words scores each pair, so edited and paraphrased copies count as well.
    own, 1 for a whole copy; pairs of ``min_score`` or more are reported with the
    aligned words' place.
 
-The bounds never fall below the score, so every text and item that share a gram
-and align around it are reported.  The work grows with the pairs that share a
-gram: for one benchmark, with the number of texts.  ``rare_docs`` and
-``least_seeds`` limited the seeds once; they are still taken and change nothing.
-
 Items go out to the tasks in blocks of ``block_items``, so what is broadcast is
-bounded whatever the benchmark's size; texts are read once a block and never
-shuffled.
+bounded whatever the benchmark's size; texts are read twice a block (counts,
+then seeds) and never shuffled.
 
 Words are ``[^\\x20\\x09-\\x0D]+`` in lower case (A-Z) with ASCII punctuation read
 as blanks; places count such words.  Defined results: null and empty texts
@@ -38,6 +38,8 @@ from pyspark.sql import DataFrame, functions as F
 from tidewatch.llm.common import gram_hashes, mix, stage, text_chunks, word_hashes
 
 MATCH, MISMATCH, GAP = 2, -1, -1
+#: lengths of the grams: the bound on seeds rests on words and pairs
+SIZES = (1, 2)
 #: seeds or words handled at once by the vectorised steps (one long text may exceed it)
 SLICE = 1 << 18
 _SPAN = np.uint64(0x9E3779B97F4A7C15)
@@ -80,33 +82,51 @@ def smith_waterman(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int]:
 
 
 class Items:
-    """Words and n-grams of a block of test items; gram k stands at the places first[k] to first[k + 1] - 1 of
+    """Words and seeds of a block of test items; seed k stands at the places first[k] to first[k + 1] - 1 of
     ``item`` and ``place``."""
 
-    def __init__(self, ids: list, texts: list[str | None], n: int, min_score: float):
-        self.ids, self.n = ids, n
+    def __init__(self, ids: list, texts: list[str | None], min_score: float):
+        self.ids, self.min_score = ids, min_score
         self.words, self.word = word_hashes([plain((t or "").encode()) for t in texts])
         self.size = np.diff(self.word)
-        grams = [gram_hashes(w, min(n, len(w))) if len(w) else w for w in map(self.of, range(len(ids)))]
-        self.sizes = sorted({min(n, int(m)) for m in self.size if m})
-        g = np.concatenate([*grams, np.zeros(0, np.uint64)])
+        units = [np.concatenate([gram_hashes(w, n) for n in SIZES]) for w in map(self.of, range(len(ids)))]
+        g = np.concatenate([*units, np.zeros(0, np.uint64)])
         order = np.argsort(g, kind="stable")
-        self.item = np.repeat(np.arange(len(ids)), [len(x) for x in grams])[order]
-        self.place = np.concatenate([*map(np.arange, map(len, grams)), np.zeros(0, int)])[order]
-        self.grams, first = np.unique(g[order], return_index=True)
-        self.first = np.append(first, len(g))
+        self.item = np.repeat(np.arange(len(ids)), [len(x) for x in units])[order]
+        places = [np.arange(len(self.of(i)) - n + 1) for i in range(len(ids)) for n in SIZES]
+        self.place = np.concatenate([*places, np.zeros(0, int)])[order]
+        self._index(g[order])
         # every word put in costs a point, and this many points are between a whole copy and min_score
         self.pad = np.maximum(self.size // 2 + 4, np.floor(MATCH * self.size * (1 - min_score) + 1e-6).astype(int))
 
+    def _index(self, g: np.ndarray) -> None:
+        self.grams, first = np.unique(g, return_index=True)
+        self.first = np.append(first, len(g))
+
+    def keep_rare(self, count: dict[int, int]) -> None:
+        """Leave out each item's most frequent words and pairs, as many as no copy needs (``count``: in all texts)."""
+        n = np.diff(self.first)
+        often = np.repeat([count.get(int(g), 0) for g in self.grams], n)
+        gram = np.repeat(np.arange(len(n)), n)
+        total = np.bincount(self.item, minlength=len(self.ids))
+        need = np.maximum(np.ceil(MATCH * self.min_score * self.size - 1e-9).astype(int) - 1, 1)
+        order = np.lexsort((gram, often, self.item))  # rarest first within an item
+        nth = np.arange(len(order)) - np.repeat(np.cumsum(total) - total, total)
+        seed = np.zeros(len(order), bool)
+        seed[order] = nth <= (total - need)[self.item[order]]
+        g = np.repeat(self.grams, n)[seed]
+        self.item, self.place = self.item[seed], self.place[seed]
+        self._index(g)
+
     def of(self, item: int) -> np.ndarray:
         return self.words[self.word[item]:self.word[item + 1]]
 
 
-def _hits(texts: list[bytes], sizes: list[int], wanted: np.ndarray, filt: np.ndarray):
-    """(words, first word of each text, places and hashes of the grams found, gram lengths)."""
+def _hits(texts: list[bytes], wanted: np.ndarray, filt: np.ndarray):
+    """(words, first word of each text, places and hashes of the words and pairs found)."""
     h, first = word_hashes([plain(t) for t in texts])
     found = []
-    for n in sizes:
+    for n in SIZES:
         g = gram_hashes(h, n)
         at = np.flatnonzero(filt[(g >> np.uint64(40)).astype(np.int64)])
         if len(at):
@@ -181,14 +201,32 @@ def _may_reach(items: Items, h: np.ndarray, item: np.ndarray, lo: np.ndarray, hi
     return most / (MATCH * items.size[item]) >= min_score
 
 
-def _block(docs, ids, texts, key, text, n, min_score, item_type):
-    shared = docs.sparkSession.sparkContext.broadcast(Items(ids, texts, n, min_score))
+def _counts(docs, grams: np.ndarray, key, text) -> dict[int, int]:
+    """How often the texts hold each of a block's words and pairs; those that none holds are left out."""
+    shared = docs.sparkSession.sparkContext.broadcast(grams)
+
+    def run(batches):
+        wanted = shared.value
+        filt, n = _filter(wanted), np.zeros(len(wanted), np.int64)
+        for _, texts in text_chunks(batches, key, text):
+            n += np.bincount(np.searchsorted(wanted, _hits(texts, wanted, filt)[3]), minlength=len(wanted))
+        at = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(wanted[at].view(np.int64)), pa.array(n[at])], ["g", "n"])
+
+    got = docs.select(key, text).mapInArrow(run, "g long, n long").groupBy("g").agg(F.sum("n").alias("n")).collect()
+    return {int(np.int64(r.g).view(np.uint64)): r.n for r in got}
+
+
+def _block(docs, ids, texts, key, text, min_score, item_type):
+    items = Items(ids, texts, min_score)
+    items.keep_rare(_counts(docs, items.grams, key, text))
+    shared = docs.sparkSession.sparkContext.broadcast(items)
 
     def run(batches):
         items = shared.value
         filt = _filter(items.grams)
         for keys, texts in text_chunks(batches, key, text):
-            h, first, at, g = _hits(texts, items.sizes, items.grams, filt)
+            h, first, at, g = _hits(texts, items.grams, filt)
             k = np.searchsorted(items.grams, g)
             doc = np.searchsorted(first, at, "right") - 1
             best: dict[tuple[int, int], tuple] = {}
@@ -219,8 +257,8 @@ def _block(docs, ids, texts, key, text, n, min_score, item_type):
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text",
-                 item_key: str = "item_id", item_text: str = "text", n: int = 3, rare_docs: int = 1_000,
-                 least_seeds: int = 3, min_score: float = 0.5, block_items: int = 20_000) -> DataFrame:
+                 item_key: str = "item_id", item_text: str = "text", min_score: float = 0.5,
+                 block_items: int = 20_000) -> DataFrame:
     """(key, item_id, score, first_word, end_word) of every text and item that align well enough."""
     item_type = benchmark.schema[item_key].dataType.simpleString()
     listed = stage(benchmark.select(F.col(item_key).alias("i"), F.col(item_text).alias("t"))
@@ -231,6 +269,6 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
     out = None
     for b in range(blocks):
         part = listed.where(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == b).orderBy("i", "t").collect()
-        got = _block(docs, [r.i for r in part], [r.t for r in part], key, text, n, min_score, item_type)
+        got = _block(docs, [r.i for r in part], [r.t for r in part], key, text, min_score, item_type)
         out = got if out is None else out.unionAll(got)
     return out

@@ -78,10 +78,36 @@ def test_jaccard_limited_round_without_pairs(spark, monkeypatch):
     docs += [(d, " ".join(start + body + [f"u{d}{i}" for i in range(4)])) for d in (31, 32)]  # near copies, 25 of 33
     rows = spark.createDataFrame(docs, "doc_id long, text string")
     left = jaccard._left
-    monkeypatch.setattr(jaccard, "_left", lambda *a: left(*a) if a[-1] is None else left(*a).limit(0))
+    monkeypatch.setattr(jaccard, "_left", lambda *a, few=None, cut=None: left(*a, few=1 if few else None, cut=cut))
     assert {r.doc_id: r.component_id for r in jaccard.link(rows).collect()} == {d: min(d, 31) for d, _ in docs}
 
 
+@pytest.mark.parametrize("block", [512, 3])
+def test_jaccard_cut_lists_come_again_whole(spark, monkeypatch, block):
+    """Members that are near each other, not their hub: the first round's limit cuts lists, the second one has them all."""
+    monkeypatch.setattr(jaccard, "BLOCK", block)
+    rng = np.random.default_rng(4)
+    body = rng.integers(0, 1 << 58, 60).astype(np.uint64)
+    of = {i: np.sort(np.concatenate([body, rng.integers(0, 1 << 58, 4).astype(np.uint64)])) for i in range(1, 13)}
+    of |= {i: np.sort(rng.integers(0, 1 << 58, 64 + 40 * (i % 2)).astype(np.uint64)) for i in (20, 21, 22)}  # near none
+    of[100] = np.sort(np.concatenate([body[:20], rng.integers(0, 1 << 58, 40).astype(np.uint64)]))
+    sets = spark.createDataFrame([(i, len(c), bytearray(jaccard.bitmap(c))) for i, c in of.items()], "s long, n int, bits binary")
+    members = [i for i in of if i != 100]
+    groups = spark.createDataFrame([(100, 60, i, len(of[i]), True) for i in members], "h long, hn int, s long, n int, ok boolean")
+    checked = spark.createDataFrame([(100, i, 60, len(of[i]), len(set(of[100]) & set(of[i]))) for i in members],
+                                    "a long, b long, an int, bn int, o int")
+    comp = spark.createDataFrame([], "node long, component long")
+    first = jaccard._left(groups, sets, comp, checked, few=1)
+    cut = first.where("b is null").select("a", "h").distinct()
+    assert {r.a for r in cut.collect()} >= set(range(2, 12)) and cut.where("a in (20, 21, 22)").count() == 0
+    # what the first round joined: some members are now in one component
+    comp = spark.createDataFrame([(i, 1) for i in (1, 2, 3, 4, 5)], "node long, component long")
+    got = {(r.a, r.b) for r in jaccard._left(groups, sets, comp, checked, cut=cut).where("b is not null").collect()}
+    near = {(a, b) for a, b in itertools.combinations(range(1, 13), 2) if not b <= 5}
+    assert {(a, b) for a, b in got if b < 20} == near
+    assert {(a, b) for a, b in near if len(set(of[a]) & set(of[b])) >= jaccard.need(len(of[a]), len(of[b]))} == near
+
+
 def test_bitmap_never_overstates():
     import numpy as np
     rng = np.random.default_rng(1)

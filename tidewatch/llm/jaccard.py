@@ -16,12 +16,16 @@ connect; pairs already connected are skipped.
 4. Answers of other members are derived from the hub's: members linked to the
    hub are connected.  Any two classes of a list meet in its hub's group, so
    only members of different components of a group are left.  They are
-   compared in blocks sorted by size: blocks out of the size range are skipped
-   whole, pairs are decided by their overlaps with the hub where these bound
-   the pair's overlap, then by bitmaps, and the rest is intersected.
+   compared in blocks of one size class: blocks out of a member's size range are
+   never visited, pairs are decided by their overlaps with the hub where these
+   bound the pair's overlap, then by bitmaps, and the rest is intersected.  A
+   member takes its closest few of a block first; those with more are compared
+   again, without a limit, once the components of the first round are known.
 
-Shingles and sets are known by 64-bit hashes.  Groups of any size are split
-into blocks; no task holds a whole group and no list is expanded to pairs.
+Shingles and sets are known by 64-bit hashes.  A shingle's index list is put
+together by one task (16 bytes for a distinct set); the groups, of any size, are
+compared in blocks, which bounds a task's memory, not the sum of comparisons
+within a group whose members stay apart.
 
 Defined results: null, empty and blank texts have n_shingles 0 and are a
 component of their own, as are texts without a link.  Null keys are rows like
@@ -300,38 +304,48 @@ def _linked(checked: DataFrame) -> DataFrame:
 
 
 # --- what is left in the groups ------------------------------------------------------
-def _left(groups: DataFrame, sets: DataFrame, comp: DataFrame, checked: DataFrame, few: int | None) -> DataFrame:
-    """Pairs (a, b) of one group and different components that may link.
+def _left(groups: DataFrame, sets: DataFrame, comp: DataFrame, checked: DataFrame, few: int | None = None,
+          cut: DataFrame | None = None) -> DataFrame:
+    """(a, b, h): pairs of group h and different components that may link.
 
-    ``few``: for each member only its closest ones in a block; None: all.
+    ``few``: for each member only its closest ones in a block; a member whose
+    list was cut comes once more as (a, null, h).  ``cut``: compare these
+    members only, and without a limit; all others have had their whole list.
     """
     g = groups.select("h", "s").unionAll(groups.select("h", F.col("h").alias("s")).distinct())
+    if cut is not None:
+        cut = cut.select("h", F.col("a").alias("s")).distinct()
+        g = g.join(cut.select("h").distinct(), "h", "semi")
     g = (g.join(comp.select(F.col("node").alias("s"), "component"), "s", "left")
          .withColumn("c", F.coalesce("component", "s")).drop("component"))
     main = g.groupBy("h", "c").count()
     # the largest component of a group needs no comparison with itself: all others are compared with every member
-    top = (main.groupBy("h").agg(F.max(F.struct("count", "c")).alias("m"), F.sum("count").alias("size"),
-                                 F.count(F.lit(1)).alias("cs")).where("cs > 1")
-           .select("h", F.col("m.c").alias("top"), "size", (F.col("size") - F.col("m.count")).alias("others")))
-    g = (g.join(top, "h").join(sets.select("s", "n", "bits"), "s")
+    top = (main.groupBy("h").agg(F.max(F.struct("count", "c")).alias("m"), F.count(F.lit(1)).alias("cs")).where("cs > 1")
+           .select("h", F.col("m.c").alias("top")))
+    # sizes of linked sets are within 3 to 4: neighbouring classes of this scale
+    scale = F.floor(F.log("n") / F.lit(float(np.log(4 / 3)))).cast("int")
+    g = (g.join(top, "h").join(sets.select("s", "n", "bits"), "s").withColumn("t", scale)
          .join(checked.select(F.col("a").alias("h"), F.col("b").alias("s"), "o", F.col("an").alias("hn")), ["h", "s"], "left"))
-    k = F.ceil(F.col("size") / BLOCK).cast("int")
-    m = F.ceil(F.col("others") / BLOCK).cast("int")
-    g = g.withColumn("k", k).withColumn("m", m)
-    # sizes fall into blocks by a hash; probes (not of the largest component) meet every block
-    cols = ["h", "s", "c", "n", "bits", "o", "hn"]
-    base = g.select(*cols, F.pmod(F.xxhash64("s"), F.col("k")).cast("int").alias("i"),
-                    F.explode(F.sequence(F.lit(0), F.col("m") - 1)).alias("j"), F.lit(False).alias("probe"))
-    probe = g.where("c <> top").select(*cols, F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("i"),
-                                       F.pmod(F.xxhash64(F.lit(3), "s"), F.col("m")).cast("int").alias("j"),
-                                       F.lit(True).alias("probe"))
-    rows = base.unionAll(probe).repartition("h", "i", "j").sortWithinPartitions("h", "i", "j")
+    probe = g.where("c <> top") if cut is None else g.join(cut, ["h", "s"], "semi")
+    probe = probe.withColumn("t", F.explode(F.array(F.col("t") - 1, F.col("t"), F.col("t") + 1)))
+    blocks = (g.groupBy("h", "t").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("k"))
+              .join(probe.groupBy("h", "t").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("m")), ["h", "t"]))
+    blocks = stage(blocks, "jaccard-blocks")
+    # a class's members fall into k blocks; a probe meets the blocks of its own and the neighbouring classes only
+    cols = ["h", "s", "c", "n", "bits", "o", "hn", "t"]
+    base = g.join(blocks, ["h", "t"]).select(
+        *cols, F.pmod(F.xxhash64("s"), F.col("k")).cast("int").alias("i"),
+        F.explode(F.sequence(F.lit(0), F.col("m") - 1)).alias("j"), F.lit(False).alias("probe"))
+    probe = probe.join(blocks, ["h", "t"]).select(
+        *cols, F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("i"),
+        F.pmod(F.xxhash64(F.lit(3), "s"), F.col("m")).cast("int").alias("j"), F.lit(True).alias("probe"))
+    rows = base.unionAll(probe).repartition("h", "t", "i", "j").sortWithinPartitions("h", "t", "i", "j")
 
     def run(batches):
         held, at = [], None
         for batch in batches:
             for r in batch.to_pylist():
-                k = (r["h"], r["i"], r["j"])
+                k = (r["h"], r["t"], r["i"], r["j"])
                 if k != at and held:
                     yield from block(held)
                     held = []
@@ -350,7 +364,7 @@ def _left(groups: DataFrame, sets: DataFrame, comp: DataFrame, checked: DataFram
             at = np.flatnonzero(width == w)
             parts.append((at, np.frombuffer(b"".join(base[i]["bits"] for i in at), np.uint8).reshape(len(at), w)))
         folded: dict = {}
-        out = set()
+        out, more = set(), set()
         for q in (r for r in rows if r["probe"]):
             m, bits, found = q["n"], np.frombuffer(q["bits"], np.uint8), []
             for at, table in parts:
@@ -371,16 +385,24 @@ def _left(groups: DataFrame, sets: DataFrame, comp: DataFrame, checked: DataFram
                     bound = np.minimum(q["o"], o[x]) + np.minimum(m - q["o"], n[x] - o[x])
                     keep &= (o[x] < 0) | (bound >= needed)
                 found += zip(d[keep].tolist(), s[x][keep].tolist())
-            if few is not None:
+            if few is not None and len(found) > few:
                 found = sorted(found)[:few]
+                more.add(q["s"])
             out.update((min(q["s"], y), max(q["s"], y)) for _, y in found)
-        if out:
-            a, b = zip(*sorted(out))
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+        h = rows[0]["h"]
+        ends = sorted(out) + [(x, None) for x in sorted(more)]
+        if ends:
+            a, b = zip(*ends)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()),
+                                              pa.array([h] * len(a), pa.int64())], ["a", "b", "h"])
 
-    pairs = rows.mapInArrow(run, "a long, b long").distinct()
+    return rows.mapInArrow(run, "a long, b long, h long")
+
+
+def _unchecked(found: DataFrame, checked: DataFrame) -> DataFrame:
+    """Pairs (a, b) that no verification has seen."""
     done = checked.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    return pairs.join(done, ["a", "b"], "left_anti")
+    return found.where("b is not null").select("a", "b").distinct().join(done, ["a", "b"], "left_anti")
 
 
 def link(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -444,11 +466,18 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
         F.first("a").alias("a"), F.first("b").alias("b")).select("a", "b")
     checked = verified(stage(_close(pairs, sets), "jaccard-close"))
     comp = stage(components(_linked(checked), "a", "b"), "jaccard-components")
-    for few in (3, None):  # pairs checked before count for the limit: only the round without it tells that none is left
-        rest = stage(_left(groups, sets, comp, checked, few), "jaccard-left")
-        if not rest.isEmpty():
-            checked = stage(checked.unionAll(verified(rest)), "jaccard-checked")
-            comp = stage(components(_linked(checked), "a", "b"), "jaccard-components")
+    def joined(found, checked, comp):
+        rest = stage(_unchecked(found, checked), "jaccard-unchecked")
+        if rest.isEmpty():
+            return checked, comp
+        checked = stage(checked.unionAll(verified(rest)), "jaccard-checked")
+        return checked, stage(components(_linked(checked), "a", "b"), "jaccard-components")
+
+    found = stage(_left(groups, sets, comp, checked, few=3), "jaccard-left")
+    checked, comp = joined(found, checked, comp)
+    cut = stage(found.where("b is null").select("a", "h").distinct(), "jaccard-cut")
+    if not cut.isEmpty():  # members that had more candidates than the limit meet all of them
+        checked, comp = joined(stage(_left(groups, sets, comp, checked, cut=cut), "jaccard-left"), checked, comp)
     m = meta.join(comp.select(F.col("node").alias("s"), "component"), "s", "left")
     m = m.withColumn("c", F.coalesce("component", "s"))
     # the component's first row by key (nulls last), then by hash of the text

@@ -183,6 +183,16 @@ def test_sharding(spark, monkeypatch):
     assert sharding.by_bytes(no_docs(spark)).count() == 0
 
 
+def test_sharding_at_production_cell_size(spark):
+    """More groups than one cell holds: the levels that their number asks for, and shards still near equal."""
+    rng = random.Random(3)
+    rows = spark.createDataFrame([(i, "x" * rng.randint(1, 400) + str(i)) for i in range(9_000)], "doc_id long, text string")
+    got = sharding.by_bytes(rows).groupBy("shard").agg(F.sum("size").alias("b"), F.count("*").alias("n")).collect()
+    total = [r.b for r in got]
+    assert sum(r.n for r in got) == 9_000 and len(total) == 8
+    assert max(total) - min(total) <= 0.001 * sum(total)
+
+
 def test_differencing_beats_greedy_example():
     got = sharding.differencing([[x, 0] for x in (8, 7, 6, 5, 4)], 2)
     sums = [0, 0]

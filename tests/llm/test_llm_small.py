@@ -140,6 +140,21 @@ def test_language_held_out(spark):
     assert none == {} and langid.predict(odd_docs(spark), none).where("lang_pred <> 'und'").count() == 0
 
 
+def test_language_ties_and_rare_languages(spark):
+    """A language with one row is learned like any other; equal sizes go to the first name."""
+    rows = [(i, "der die das und nicht mit einem haus " * 3, "de") for i in range(40)]
+    rows += [(100, "zzyx qwyx vvox xxyz kwyz " * 5, "xx"), (101, "aaa bbb", None), (102, None, "fr")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.train(docs, learn=F.lit(True))
+    assert sorted(model) == ["de", "xx"]
+    small = langid.train(docs, learn=F.lit(True), model_bytes=2_000)
+    assert sorted(small) == ["de", "xx"] and all(len(d) <= 1_000 for d in small.values())
+    got = {r.doc_id: r.lang_pred for r in langid.predict(docs, model).collect()}
+    assert got[100] == "xx" and got[0] == "de" and got[102] == "und"
+    same = {"b": model["de"], "a": model["de"]}
+    assert {r.lang_pred for r in langid.predict(docs.where("doc_id < 40"), same).collect()} == {"a"}
+
+
 def test_toxicity_held_out(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     crc = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4

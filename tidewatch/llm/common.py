@@ -25,9 +25,15 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: session setting: "false" leaves finished steps' shuffle files to the driver's own garbage collections
+RELEASE = "spark.tidewatch.releaseShuffles"
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark's cleaner drop shuffle files of finished steps now: it acts
     when the driver's garbage is collected, else much later."""
+    if spark.conf.get(RELEASE, "true").lower() != "true":
+        return
     gc.collect()
     spark.sparkContext._jvm.System.gc()
 

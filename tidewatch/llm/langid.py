@@ -30,42 +30,35 @@ _REST = re.compile(r"[\W\d_]+")
 
 def train(docs: DataFrame, learn, key: str = "doc_id", text: str = "text", lang: str = "lang",
           texts_per_language: int = 200, short_bytes: int = 2048, dictionary_bytes: int = 48 << 10,
-          max_languages: int = 512) -> dict[str, bytes]:
+          model_bytes: int = 32 << 20) -> dict[str, bytes]:
     """Dictionaries by language from the rows where ``learn`` holds.
 
-    Bounds: at most ``max_languages`` languages (the most frequent) and
-    ``texts_per_language`` rows of each: texts of at most ``short_bytes`` first,
-    then by hash of the key.  No row gives more than ``dictionary_bytes``, so
-    what reaches the driver is bounded whatever the input.
+    Every language gets one, from ``texts_per_language`` rows: texts of at most
+    ``short_bytes`` first, then by hash of the key.  All together have at most
+    ``model_bytes``, which is what reaches the driver and the tasks: with very
+    many languages each dictionary is smaller than ``dictionary_bytes``.
     """
     rows = docs.where(learn).where(F.col(lang).isNotNull() & F.col(text).isNotNull() & (F.length(text) > 0))
-    names = [r[0] for r in rows.groupBy(lang).count().orderBy(F.desc("count"), lang).limit(max_languages).collect()]
-    if not names:
+    n_languages = rows.select(lang).distinct().count()
+    if not n_languages:
         return {}
+    most = max(1, min(dictionary_bytes, model_bytes // n_languages))
     order = Window.partitionBy("_l").orderBy("_s", "_h", "_k")
     ids = (rows.select(F.col(key).alias("_k"), F.col(lang).alias("_l"), F.xxhash64(key).alias("_h"),
                        (F.octet_length(text) > short_bytes).alias("_s"))
-           .where(F.col("_l").isin(names))
            .withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= texts_per_language))
-    ids = stage(ids.select("_k", "_n"), "langid-sample")  # at most languages x texts rows
-    picked = (rows.join(F.broadcast(ids), F.col(key) == F.col("_k"))
+    ids = stage(ids.select("_k", "_n"), "langid-sample")
+    picked = (rows.join(ids, F.col(key) == F.col("_k"))
               .select(F.col(lang).alias("l"), "_n", F.col(text).cast("binary").alias("t")))
 
-    def sample(batches):
-        for b in batches:
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1),
-                 pa.array([reduced(t.decode())[:dictionary_bytes] for t in b.column(2).to_pylist()],
-                          pa.binary())], ["l", "_n", "t"])
-
-    got = picked.mapInArrow(sample, picked.schema).collect()
-    model = {}
-    for name in sorted(names):
-        parts = [bytes(r.t) for r in sorted((r for r in got if r.l == name), key=lambda r: r._n)]
-        if parts:
-            # what stands last in a dictionary is nearest and cheapest to refer to
-            model[name] = b"\n".join(parts)[:dictionary_bytes]
-    return model
+    def build(t: pa.Table) -> pa.Table:
+        t = t.sort_by([("_n", "ascending")])
+        parts = [reduced(x.decode())[:most] for x in t.column("t").to_pylist()]
+        # what stands last in a dictionary is nearest and cheapest to refer to
+        return pa.table({"l": t.column("l").slice(0, 1), "d": pa.array([b"\n".join(parts)[:most]], pa.binary())})
+
+    got = picked.groupBy("l").applyInArrow(build, "l string, d binary").collect()
+    return {r.l: bytes(r.d) for r in sorted(got, key=lambda r: r.l)}
 
 
 def reduced(text: str) -> bytes:

@@ -24,7 +24,7 @@ from tidewatch.functions.parse import payload_hash  # noqa: E402
 from tidewatch.operators import (dedup, devices as D, fit, metrics as M, parse as P,  # noqa: E402
                                  reports, score as SC, series as SE, topk, train as TR, tree)
 from tidewatch.plans import classify as C  # noqa: E402
-from tidewatch.schema import FLOW_LAYOUT, REFERENCE_FEATURES  # noqa: E402
+from tidewatch.schema import API_ALERT_LIMIT, BUCKETS_KEPT, FEED_ROWS, FLOW_LAYOUT, REFERENCE_FEATURES  # noqa: E402
 from tidewatch.session import ensure_checkpoint_dir  # noqa: E402
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -363,7 +363,7 @@ def q_gap_filled_buckets(spark, sf):
 
 @query("recent_buckets", S.with_flows("SELECT * FROM buckets ORDER BY bucket_start DESC LIMIT 100", _BUCKETS))
 def q_recent_buckets(spark, sf):
-    return SE.recent_buckets(_buckets(spark, sf), 100)
+    return SE.recent_buckets(_buckets(spark, sf), BUCKETS_KEPT)
 
 
 @query("sample_rows", S.with_flows("SELECT event_id, device_name, attack, label FROM flows ORDER BY event_id LIMIT 5"))
@@ -373,7 +373,7 @@ def q_sample_rows(spark, sf):
 
 @query("recent_alerts", S.with_alerts(f"SELECT {_ALERT_COLS} FROM alerts ORDER BY event_time DESC, row_hash DESC LIMIT 10"))
 def q_recent_alerts(spark, sf):
-    return topk.last_n(_alerts(spark, sf), 10, "event_time", "row_hash").select(*_ALERT_COLS.split(", "))
+    return topk.last_n(_alerts(spark, sf), API_ALERT_LIMIT, "event_time", "row_hash").select(*_ALERT_COLS.split(", "))
 
 
 _FEED = "kafka_timestamp, device_name, attack, attack_type, pred_confidence"
@@ -381,7 +381,7 @@ _FEED = "kafka_timestamp, device_name, attack, attack_type, pred_confidence"
 
 @query("recent_feed", S.with_classified(f"SELECT {_FEED} FROM classified ORDER BY kafka_timestamp DESC, row_hash DESC LIMIT 14"))
 def q_recent_feed(spark, sf):
-    return topk.last_n(_classified(spark, sf), 14, "kafka_timestamp", "row_hash").select(*_FEED.split(", "))
+    return topk.last_n(_classified(spark, sf), FEED_ROWS, "kafka_timestamp", "row_hash").select(*_FEED.split(", "))
 
 
 @query("latest_per_device", S.with_classified("""
@@ -929,15 +929,15 @@ def q_raw_csv_scan(spark, sf):
 
 @query("bulk_load", S.with_flows("SELECT count(*) AS row_count FROM flows"))
 def q_bulk_load(spark, sf):
-    """Create-if-absent table at a shared path, bulk-load the headered CSV
-    into it, verify the row count (= CSV lines minus header)."""
+    """Create-if-absent table at a shared path, bulk-load the headered CSV into it,
+    retry the load, and verify the row count (= CSV lines minus header)."""
     from tidewatch.sources import tables
     base = _scratch(spark, "bulk")
     tables.write_flow_csv(X.flows(spark, sf), f"{base}/csv", X.FIXTURE_LAYOUT)
     name = "flows_" + base.rsplit("-", 1)[-1]
-    tables.create_table_at(spark, name, f"{base}/table", X.FIXTURE_LAYOUT)
-    tables.create_table_at(spark, name, f"{base}/table", X.FIXTURE_LAYOUT)  # idempotent
-    tables.append_into(tables.read_flow_csv(spark, f"{base}/csv", X.FIXTURE_LAYOUT), name)
+    for _ in range(2):  # set up and loaded twice: the second run changes nothing
+        tables.create_table_at(spark, name, f"{base}/table", X.FIXTURE_LAYOUT, by_load=True)
+        tables.load_into(tables.read_flow_csv(spark, f"{base}/csv", X.FIXTURE_LAYOUT), name, "first")
     spark.sql(f"REFRESH TABLE {name}")
     return reports.row_count(spark.table(name))
 

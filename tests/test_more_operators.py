@@ -95,3 +95,24 @@ def test_salted_dedup_uses_two_state_operators(spark, scratch):
     # stateOperators[0] is the last one: what reaches it has at most a row for each salt and payload
     dropped = sorted(o.customMetrics["numDroppedDuplicateRows"] for o in ops)
     assert dropped[0] <= 16 and sum(dropped) == msgs.count() - msgs.select("value").distinct().count()
+
+
+def test_load_is_repeatable_and_set_up_idempotent(spark, scratch):
+    from tidewatch.schema import layout
+    from tidewatch.sources import tables
+    base, columns = scratch("load"), layout([("a", "int"), ("b", "string")])
+    name = "load_test_" + base.rsplit("-", 1)[-1]
+    tables.create_table_at(spark, name, f"{base}/t", columns, by_load=True)
+    df = spark.createDataFrame([(1, "x"), (2, "y")], "a int, b string")
+    tables.load_into(df, name, "monday")
+    tables.load_into(df, name, "monday")  # retried
+    tables.load_into(df.limit(1), name, "tuesday")
+    assert spark.table(name).count() == 3
+    db = "db_" + base.rsplit("-", 1)[-1]
+    for _ in range(2):
+        tables.create_if_absent(spark, db, {"one": "a int", "two": "b string"}, f"{base}/db")
+    assert {r.tableName for r in spark.sql(f"SHOW TABLES IN {db}").collect()} >= {"one", "two"}
+    tables.append_into(df.select("a"), f"{db}.one")
+    assert spark.table(f"{db}.one").count() == 2
+    spark.sql(f"DROP TABLE {name}")
+    spark.sql(f"DROP DATABASE {db} CASCADE")

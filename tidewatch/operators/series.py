@@ -38,6 +38,7 @@ def _seconds(length: str) -> int:
 def gap_filled(spark: SparkSession, buckets: DataFrame, length: str = BUCKET_LENGTH) -> DataFrame:
     """Every bucket between the first and the last, idle ones zero-filled."""
     step = _seconds(length)
+    buckets = buckets.checkpoint()  # aggregated once: the bounds and the join read the same few rows
     b = buckets.select(F.unix_seconds("bucket_start").alias("s"), *SERIES_COLS)
     lo_hi = b.agg(F.min("s").alias("lo"), F.max("s").alias("hi")).first()  # two scalars
     if lo_hi["lo"] is None:

@@ -2,8 +2,8 @@
 
 ``orderBy(...).limit(n)`` plans as TakeOrderedAndProject: each task keeps its
 own top n and only n rows per task reach the final merge, so last-n never
-sorts or moves the whole input.  Latest-per-key is a hash aggregate of
-``max_by`` (partial aggregation first, no sort, no window)."""
+sorts or moves the whole input.  Latest-per-key is an aggregate of ``max_by``
+(partial aggregation first, no window; sort-based, as its buffers hold structs)."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F

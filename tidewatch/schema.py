@@ -52,7 +52,7 @@ EXPORT_BREAKDOWN_HEADER = [
 # Dedup watermark delay and traffic bucket length.
 DEDUP_DELAY = "10 minutes"
 BUCKET_LENGTH = "2 seconds"
-# Dashboard sizes: alerts kept, live feed rows, series buckets kept.
+# Dashboard sizes: alerts kept, live feed rows, series buckets kept, alerts in one answer.
 ALERTS_SHOWN = 8
 FEED_ROWS = 14
 BUCKETS_KEPT = 100
@@ -82,24 +82,7 @@ FLOW_LAYOUT = layout(
        ("attack_subtype", "string"), ("label", "int")]
 )
 
-FLOW_SCHEMA = T.StructType([T.StructField(n, t, True) for n, t in FLOW_LAYOUT])
-
 MESSAGE_SCHEMA = T.StructType([
     T.StructField("timestamp", T.TimestampType(), True),
     T.StructField("value", T.BinaryType(), True),
 ])
-
-DEVICE_REGISTRY_SCHEMA = T.StructType([
-    T.StructField("device_name", T.StringType()),
-    T.StructField("ip", T.StringType()),
-    T.StructField("type", T.StringType()),
-    T.StructField("location", T.StringType()),
-])
-
-STATS_SCHEMA = T.StructType([
-    T.StructField("high_skew_cols", T.ArrayType(T.StringType())),
-    T.StructField("log_shifts", T.MapType(T.StringType(), T.DoubleType())),
-    T.StructField("feature_cols", T.ArrayType(T.StringType())),
-    T.StructField("iqr_bounds", T.MapType(T.StringType(), T.StructType([
-        T.StructField("lower", T.DoubleType()), T.StructField("upper", T.DoubleType())]))),
-])

@@ -2,6 +2,8 @@
 create-if-absent (K6), the class map (S8)."""
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
@@ -29,21 +31,39 @@ def write_flow_csv(df: DataFrame, path: str, layout, header: bool = True) -> Non
     df.select(*[F.col(n) for n, _ in layout]).write.mode("overwrite").option("header", header).csv(path)
 
 
-def create_table_at(spark: SparkSession, name: str, path: str, layout) -> None:
-    """External Parquet table at a shared path (idempotent, K6)."""
+LOAD_ID = "load_id"
+
+
+def create_table_at(spark: SparkSession, name: str, path: str, layout, by_load: bool = False) -> None:
+    """External Parquet table at a shared path (idempotent, K6); ``by_load``:
+    partitioned by the load that wrote the rows."""
     cols = ", ".join(f"`{n}` {t.simpleString()}" for n, t in layout)
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet LOCATION '{path}'")
+    part = f", {LOAD_ID} string) USING parquet PARTITIONED BY ({LOAD_ID}" if by_load else ") USING parquet"
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}{part + ')' if by_load else part} LOCATION '{path}'")
 
 
 def append_into(df: DataFrame, table: str) -> None:
-    """Bulk load (S4): append rows into a catalog table, by column name."""
+    """Append rows into a catalog table, by column name; a retried append repeats its rows."""
     cols = df.sparkSession.table(table).columns
     df.select(*cols).write.mode("append").insertInto(table)
 
 
-def create_if_absent(spark: SparkSession, database: str, tables: dict[str, str]) -> None:
-    """Idempotent setup (K6): database and tables (``name -> DDL columns``)."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+def load_into(df: DataFrame, table: str, load_id: str) -> None:
+    """Bulk load (S4): the rows of one load replace that load's partition, so a
+    load that is retried, or repeated with a corrected file, leaves one copy."""
+    spark, view = df.sparkSession, f"load_{uuid.uuid4().hex[:12]}"
+    cols = ", ".join(f"`{c}`" for c in spark.table(table).columns if c != LOAD_ID)
+    df.createOrReplaceTempView(view)
+    try:
+        spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({LOAD_ID} = '{load_id}') SELECT {cols} FROM {view}")
+    finally:
+        spark.catalog.dropTempView(view)
+
+
+def create_if_absent(spark: SparkSession, database: str, tables: dict[str, str], location: str | None = None) -> None:
+    """Idempotent setup (K6): database (at ``location``) and tables (``name -> DDL columns``)."""
+    at = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{at}")
     for name, cols in tables.items():
         spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({cols}) USING parquet")
 

@@ -867,6 +867,15 @@ def q_archive_table(spark, sf):
     return archive.published_view(spark.table(name).where("event_date BETWEEN DATE'2024-01-05' AND DATE'2024-01-12'"))
 
 
+@query("recent_feed_stored", S.with_classified(f"SELECT {_FEED} FROM classified ORDER BY kafka_timestamp DESC, row_hash DESC LIMIT 14"))
+def q_recent_feed_stored(spark, sf):
+    """The live feed from the archive: only the newest dates are read."""
+    from tidewatch.sinks import archive
+    path = _scratch(spark, "feed")
+    archive.write_archive(_classified(spark, sf), path, 0)
+    return archive.newest_rows(spark, path, FEED_ROWS).select(*_FEED.split(", "))
+
+
 @query("sink_commit", S.with_classified("""
 SELECT device_name || '_' || row_hash AS key, device_name, attack, prediction_binary AS prediction FROM classified"""))
 def q_sink_commit(spark, sf):

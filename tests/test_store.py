@@ -153,6 +153,19 @@ def test_archive_table_prunes_and_sees_new_batches(spark, scratch):
     spark.sql(f"DROP TABLE {name}")
 
 
+def test_newest_rows_open_the_newest_dates(spark, scratch):
+    p = scratch("newest")
+    c = C.fixture_classified(spark, SF).checkpoint()
+    archive.write_archive(c, p, 0)
+    for n in (5, 200, 10**6):
+        got = archive.newest_rows(spark, p, n)
+        want = c.orderBy(F.desc("kafka_timestamp"), F.desc("row_hash")).limit(n)
+        assert [r.row_hash for r in got.collect()] == [r.row_hash for r in want.collect()]
+    text = plan(archive.newest_rows(spark, p, 5))
+    assert "PartitionFilters: [isnotnull(event_date" in text and ">= 2024-01-3" in text, text
+    assert archive.newest_rows(spark, p, 0).count() == 0
+
+
 def stored(path):
     return {r["key"]: (b, r["value"]) for b, r in external.FileClient({"path": path}).rows()}
 

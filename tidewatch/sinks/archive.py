@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidewatch.functions.keys import utc_ntz
+from tidewatch.operators.topk import last_n
+from tidewatch.sinks import store
 
 PUBLISHED_COLUMNS = ["kafka_timestamp", "row_hash", "device_name", "pred_label",
                      "pred_confidence", "attack_type"]
@@ -61,6 +63,22 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def newest_rows(spark: SparkSession, path: str, n: int, time_col: str = "kafka_timestamp",
+                tiebreak: str = "row_hash") -> DataFrame:
+    """The newest ``n`` rows of the archive (W3, W4), newest first: dates are taken
+    from the newest on, twice as many each time, until they hold ``n`` rows, so
+    older partitions are never opened.  Rows without a date come after all others."""
+    days = sorted((c[len("event_date="):] for c in store.children(spark, path)
+                   if c.startswith("event_date=") and not c.endswith("__HIVE_DEFAULT_PARTITION__")), reverse=True)
+    archive, take = read_archive(spark, path), 1
+    while take < len(days):
+        part = archive.where(F.col("event_date") >= F.lit(days[take - 1]).cast("date"))
+        if part.limit(n).count() >= n:
+            return last_n(part, n, time_col, tiebreak)
+        take *= 2
+    return last_n(archive, n, time_col, tiebreak)
+
+
 def register_archive_view(spark: SparkSession, path: str, name: str) -> None:
     """SQL name over the archive path; re-listed on every query."""
     spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW {name} USING parquet OPTIONS (path '{path}')")

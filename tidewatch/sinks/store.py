@@ -52,7 +52,8 @@ def _files(spark: SparkSession, path: str):
     return fs, fs.makeQualified(p)
 
 
-def _children(spark: SparkSession, path: str) -> list[str]:
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if it is not there."""
     fs, p = _files(spark, path)
     return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
 
@@ -67,7 +68,7 @@ def _manifests(path: str) -> str:
 
 
 def _versions(spark: SparkSession, path: str) -> list[int]:
-    return sorted(int(n[:-5]) for n in _children(spark, _manifests(path)) if re.fullmatch(r"\d{12}\.json", n))
+    return sorted(int(n[:-5]) for n in children(spark, _manifests(path)) if re.fullmatch(r"\d{12}\.json", n))
 
 
 def _read_manifest(spark: SparkSession, path: str, version: int) -> Manifest:
@@ -218,12 +219,12 @@ def clean(spark: SparkSession, path: str, keep: int = 2) -> list[str]:
         _delete(spark, f"{_manifests(path)}/{v:012d}.json")
     oldest = min((m.upto if m.upto is not None else -1) for m in left)
     named, gone = {b for m in left for b in m.batches}, []
-    for name in _children(spark, path):
+    for name in children(spark, path):
         if (got := re.fullmatch(rf"{BATCH}=(\d+)", name)) and int(got[1]) <= oldest and int(got[1]) not in named:
             gone.append(f"{path.rstrip('/')}/{name}")
     snaps = {m.upto for m in left}
     for base in (f"{path.rstrip('/')}_snapshots", f"{path.rstrip('/')}_files"):
-        for name in _children(spark, base):
+        for name in children(spark, base):
             if (got := re.fullmatch(r"upto=(\d+)", name)) and int(got[1]) < left[-1].upto and int(got[1]) not in snaps:
                 gone.append(f"{base}/{name}")
     for folder in gone:

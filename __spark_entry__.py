@@ -121,8 +121,7 @@ def q_payload_hash(spark, sf):
 
 
 def _stats_and_flows(spark, sf):
-    flows = dedup.dedup_by_key(X.flows(spark, sf))
-    return fit.fit_stats(flows, X.FIXTURE_FEATURES), flows
+    return C.fixture_stats(spark, sf), dedup.dedup_by_key(X.flows(spark, sf))
 
 
 @query("log_shift", S.with_flows("""

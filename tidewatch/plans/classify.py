@@ -42,9 +42,11 @@ def classify(prepared: DataFrame, scorer: Callable[[DataFrame], DataFrame],
 
 
 def fixture_stats(spark: SparkSession, sf_dir: str) -> PrepStats:
-    """Fit the preprocessing statistics on the (deduplicated) fixture flows."""
-    flows = dedup_by_key(fixtures.flows(spark, sf_dir))
-    return fit_stats(flows, fixtures.FIXTURE_FEATURES)
+    """Fit the preprocessing statistics on the (deduplicated) fixture flows: only
+    the features and the fingerprint pass through the dedup, a hash aggregate
+    here, as nothing downstream filters on predictions."""
+    flows = fixtures.flows(spark, sf_dir).select("kafka_timestamp", "row_hash", *fixtures.FIXTURE_FEATURES)
+    return fit_stats(dedup_by_key(flows, payload_determined=True), fixtures.FIXTURE_FEATURES)
 
 
 def fixture_classified(spark: SparkSession, sf_dir: str, stats: PrepStats | None = None) -> DataFrame:

@@ -6,6 +6,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidewatch.session import ensure_checkpoint_dir, scratch_path
@@ -31,10 +32,17 @@ RELEASE = "spark.tidewatch.releaseShuffles"
 
 def release(spark: SparkSession) -> None:
     """Let Spark's cleaner drop shuffle files of finished steps now: it acts
-    when the driver's garbage is collected, else much later."""
+    when the driver's garbage is collected, else much later.
+
+    The events of a finished step hold its plan until all listeners have seen
+    them; garbage collected before that would leave the step's files a step longer."""
     if spark.conf.get(RELEASE, "true").lower() != "true":
         return
     gc.collect()
+    try:
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(10_000)
+    except Py4JJavaError:  # a slow listener: the next release collects what is left
+        pass
     spark.sparkContext._jvm.System.gc()
 
 

@@ -35,9 +35,11 @@ def release(spark: SparkSession) -> None:
     when the driver's garbage is collected, else much later.
 
     The events of a finished step hold its plan until all listeners have seen
-    them; garbage collected before that would leave the step's files a step longer."""
+    them and the next query's, hence the small query; garbage collected before
+    that would leave the step's files a step longer."""
     if spark.conf.get(RELEASE, "true").lower() != "true":
         return
+    spark.sql("SELECT 1").collect()
     gc.collect()
     try:
         spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(10_000)

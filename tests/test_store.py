@@ -207,3 +207,14 @@ def test_external_stream_writer_restarts(spark, scratch):
     run()
     got = stored(local_path(f"{base}/out"))
     assert len(got) == 300 and {b for b, _ in got.values()} == {0, 1}
+
+
+def test_archive_table_with_rows_without_a_date(spark, scratch):
+    p, name = scratch("undated"), "archive_undated_test"
+    rows = [("2024-01-05 00:00:00", 1), (None, 2)]
+    c = spark.createDataFrame(rows, "t string, v int").select(F.col("t").cast("timestamp").alias("kafka_timestamp"), "v")
+    archive.create_archive_table(spark, name, p, c)
+    archive.write_archive(c, p, 0, table=name)
+    assert sorted(r.v for r in spark.table(name).collect()) == [1, 2]
+    assert [r.v for r in spark.table(name).where("event_date is null").collect()] == [2]
+    spark.sql(f"DROP TABLE {name}")

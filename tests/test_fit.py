@@ -1,4 +1,6 @@
 """Fit/apply of preprocessing statistics: properties and persistence."""
+import math
+
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
@@ -49,3 +51,44 @@ def test_cap_idempotent_and_bounded(spark, xs, lo, hi):
     assert a == b
     assert all(v is None or lo <= v <= hi for v in a)
     assert [v is None for v in a] == [x is None for x in xs]
+
+
+def _rank_rows(spark):
+    """Ties, a constant, signs, NaN and infinities, nulls, a column without values."""
+    i = F.col("id")
+    return spark.range(0, 20_011, 1, 5).select(
+        (i * 7919 % 20_011 * 1.5).alias("distinct"), (i % 3).cast("double").alias("ties"), F.lit(4.0).alias("same"),
+        F.when(i % 11 != 0, (i * 31 % 997 - 500) / 3.0).alias("nulls"),
+        F.when(i % 2 == 0, float("nan")).when(i % 5 == 0, float("-inf")).otherwise(i.cast("double")).alias("odd"),
+        F.lit(None).cast("double").alias("none"))
+
+
+def _by_sorting(df, c):
+    v = sorted((r[0] for r in df.select(c).collect() if r[0] is not None), key=lambda x: (math.isnan(x), x))
+    return [repr(v[-(-len(v) * p // 4) - 1]) if v else "None" for p in (1, 3)]
+
+
+def test_exact_quartiles_from_small_sketches(spark, monkeypatch):
+    """Great accuracy: exact ranks, while no sketch is larger than the bracketing one."""
+    df = _rank_rows(spark)
+    asked, real = [], F.percentile_approx
+    monkeypatch.setattr(fit.F, "percentile_approx", lambda c, p, a: asked.append(a) or real(c, p, a))
+    for accuracy in (10_000, 100):  # as it is; brackets wide enough to rank values between their ends
+        monkeypatch.setattr(fit, "BRACKET_ACCURACY", accuracy)
+        monkeypatch.setattr(fit, "BRACKET_MARGIN", 2.5 / accuracy)
+        rows = {r.feature: r for r in fit._exact_rows(df, df.columns).collect()}
+        assert {c: [repr(rows[c].q1_raw), repr(rows[c].q3_raw)] for c in df.columns} == {c: _by_sorting(df, c) for c in df.columns}
+    assert rows["none"].n == 0 and rows["same"].n == 20_011 and max(asked) == 10_000
+    fit.fit_frame(df.select("distinct"), ["distinct"], accuracy=10_000_000).collect()
+    assert max(asked) == 10_000
+
+
+def test_exact_quartiles_when_a_bracket_misses(spark, monkeypatch):
+    """A sketch that is off costs another scan, not a wrong value."""
+    df = _rank_rows(spark).select("distinct", "nulls", "odd")
+    real = F.percentile_approx
+    monkeypatch.setattr(fit.F, "percentile_approx", lambda c, p, a: real(c, F.array(*[F.lit(0.9)] * 4), a))
+    rows = {r.feature: r for r in fit._exact_rows(df, df.columns).collect()}
+    assert {c: [repr(rows[c].q1_raw), repr(rows[c].q3_raw)] for c in df.columns} == {c: _by_sorting(df, c) for c in df.columns}
+    empty = fit.fit_frame(df.limit(0), df.columns, accuracy=10_000_000).collect()
+    assert [(r.feature, r.n, r.q1) for r in empty] == [(c, 0, None) for c in df.columns]

@@ -1,4 +1,5 @@
 """Fit/apply of preprocessing statistics: properties and persistence."""
+import datetime as dt
 import math
 
 from hypothesis import HealthCheck, given, settings, strategies as st
@@ -7,6 +8,8 @@ from pyspark.sql import functions as F
 from tidewatch import fixtures as X
 from tidewatch.functions.transform import cap
 from tidewatch.operators import fit
+from tidewatch.operators.dedup import dedup_by_key
+from tidewatch.operators.parse import parse_messages
 
 
 def test_fixture_fit_picks_skewed_column(spark):
@@ -92,3 +95,28 @@ def test_exact_quartiles_when_a_bracket_misses(spark, monkeypatch):
     assert {c: [repr(rows[c].q1_raw), repr(rows[c].q3_raw)] for c in df.columns} == {c: _by_sorting(df, c) for c in df.columns}
     empty = fit.fit_frame(df.limit(0), df.columns, accuracy=10_000_000).collect()
     assert [(r.feature, r.n, r.q1) for r in empty] == [(c, 0, None) for c in df.columns]
+
+
+def test_stored_flows_are_prepared_like_messages(spark, scratch):
+    """Rejects take part in the fit, not in the classification; messages are read once for both."""
+    from tidewatch.plans import classify as C
+    lines = [f"{i},{i * i / 7},{i % 9},device_{i % 4},Normal,view,1" for i in range(300)]
+    lines += lines[:50] + ["1,x,3,device_1,Normal,view,1", "7,1.5,2", "9,2.5,4,,Normal,view,1", None]
+    rows = [(dt.datetime(2024, 1, 1) + dt.timedelta(seconds=i), v if v is None else bytearray(v.encode())) for i, v in enumerate(lines)]
+    msgs = spark.createDataFrame(rows, "timestamp timestamp, value binary")
+    flows = C.store_flows(msgs, X.FIXTURE_LAYOUT, scratch("stored"))
+    assert flows.count() == 304 and flows.where("reject_reason is null").count() == 300
+    parsed = dedup_by_key(parse_messages(msgs, X.FIXTURE_LAYOUT))
+    stats = fit.fit_stats(flows, X.FIXTURE_FEATURES, accuracy=10_000_000)
+    assert stats == fit.fit_stats(parsed, X.FIXTURE_FEATURES, accuracy=10_000_000)
+    rows = lambda d: sorted(map(repr, d.select("row_hash", "event_id", *X.FIXTURE_FEATURES, "device_name", "kafka_timestamp").collect()))
+    assert rows(C.prepared_stored(flows, stats)) == rows(C.prepared_flows(msgs, X.FIXTURE_LAYOUT, stats))
+
+
+def test_wide_classified_reads_its_table_once(spark, monkeypatch):
+    import __spark_entry__ as e
+    calls, real = [], X.wide_messages
+    monkeypatch.setattr(X, "wide_messages", lambda *a: calls.append(1) or real(*a))
+    out = e.queries()["wide_classified"](spark, "/root/testdata/sf0.001")
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert calls == [1] and "lineitem" not in plan and "l_quantity" not in plan

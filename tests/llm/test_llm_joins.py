@@ -11,7 +11,7 @@ from pyarrow import fs
 from pyspark.sql import functions as F
 
 from odd import no_docs, odd_docs
-from tidewatch.llm import decontam, jaccard, lines, sharding, warc
+from tidewatch.llm import common, decontam, jaccard, lines, sharding, warc
 from tidewatch.session import scratch_path
 
 
@@ -108,6 +108,58 @@ def test_jaccard_cut_lists_come_again_whole(spark, monkeypatch, block):
     assert {(a, b) for a, b in near if len(set(of[a]) & set(of[b])) >= jaccard.need(len(of[a]), len(of[b]))} == near
 
 
+def staged(monkeypatch, module):
+    """Frames that ``module`` stages, as (name, frame), in order."""
+    frames, write = [], module.stage
+
+    def stage(df, name):
+        frames.append((name, df))
+        return write(df, name)
+
+    monkeypatch.setattr(module, "stage", stage)
+    return frames
+
+
+def test_jaccard_disk(spark, monkeypatch):
+    """A hub's own pairs are decided: a group of one member is not compared.  Texts not wanted are left where they are read."""
+    docs = []
+    for d in range(12):  # pairs that share words enough to meet and too few to link; two near copies
+        same = [f"s{d}x{i}" for i in range(20)]
+        docs += [(2 * d, " ".join(same + [f"a{d}x{i}" for i in range(14)])), (2 * d + 1, " ".join(same + [f"b{d}x{i}" for i in range(14)]))]
+    docs.append((50, docs[3][1] + " end"))
+    frames = staged(monkeypatch, jaccard)
+    got = {r.doc_id: r.component_id for r in jaccard.link(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == {d: 3 if d == 50 else d for d, _ in docs}
+    of = dict(reversed(frames))
+    assert of["jaccard-groups"].count() >= 5
+    groups = of["jaccard-groups"].groupBy("h").count()
+    assert of["jaccard-members"].select("h").distinct().count() <= groups.where("count > 1").count()
+    assert of["jaccard-blocks"].count() <= 3  # at most those of the near copies' group
+    assert "strategy=broadcast" in of["jaccard-codes"]._jdf.queryExecution().logical().toString()
+
+
+@pytest.mark.parametrize("marks", [1 << 18, 1])
+def test_jaccard_wanted_texts(spark, monkeypatch, marks):
+    """Exactly the rows named come, whatever the marks let through; keys may be null or come twice."""
+    monkeypatch.setattr(jaccard, "MARKS", marks)
+    docs = spark.createDataFrame([(i, f"text {i % 90}") for i in range(300)] + [(None, "no key"), (7, "text 7"), (8, None)],
+                                 "doc_id long, text string")
+    wanted = [(1, 7, "text 7"), (2, None, "no key"), (3, 299, "text 29"), (4, 5, "text 6")]
+    ids = (spark.createDataFrame(wanted, "s long, k long, x string").select("s", "k", F.xxhash64("x").alias("r")))
+    got = sorted(tuple(r) for r in jaccard._texts(docs, "doc_id", "text", ids).collect())
+    assert got == [(1, "text 7"), (1, "text 7"), (2, "no key"), (3, "text 29")]
+
+
+def test_components_end_at_stars(spark, monkeypatch):
+    frames = staged(monkeypatch, common)
+    star = [(1, 4), (5, 1), (1, 4), (2, 9), (3, 3)]
+    got = {r.node: r.component for r in common.components(spark.createDataFrame(star, "a long, b long"), "a", "b").collect()}
+    assert got == {1: 1, 4: 1, 5: 1, 2: 2, 9: 2} and len(frames) == 1
+    chain = [(i, i + 1) for i in range(10, 40)] + [(60, 50), (50, 55), (55, 12), (70, 71)]
+    got = {r.node: r.component for r in common.components(spark.createDataFrame(chain, "a long, b long"), "a", "b").collect()}
+    assert got == {**{i: 10 for i in (*range(10, 41), 50, 55, 60)}, 70: 70, 71: 70}
+
+
 def test_bitmap_never_overstates():
     import numpy as np
     rng = np.random.default_rng(1)

@@ -135,7 +135,7 @@ def test_jaccard_disk(spark, monkeypatch):
     groups = of["jaccard-groups"].groupBy("h").count()
     assert of["jaccard-members"].select("h").distinct().count() <= groups.where("count > 1").count()
     assert of["jaccard-blocks"].count() <= 3  # at most those of the near copies' group
-    assert "strategy=broadcast" in of["jaccard-codes"]._jdf.queryExecution().logical().toString()
+    assert "strategy=broadcast" in of["jaccard-verified"]._jdf.queryExecution().logical().toString()
 
 
 @pytest.mark.parametrize("marks", [1 << 18, 1])

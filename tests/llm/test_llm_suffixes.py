@@ -108,3 +108,70 @@ def test_text_of_megabytes(spark):
     assert len(long) > 3_000_000 and got[1].n_removed == got[4].n_removed == 0
     assert [tuple(x) for x in got[2].spans] == [(30, 5_030)] and got[2].kept == b"@" * 30 + b"~" * 30
     assert [tuple(x) for x in got[3].spans] == [(20, 20 + len(long))]
+
+
+def letters(rng, n):
+    return "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+
+
+@pytest.mark.parametrize("length", [50, 51, 33])
+def test_runs_of_many_texts_at_once(length):
+    """Runs of texts side by side are those of each text alone; all whole windows are in one; the place is the gram's first."""
+    rng = random.Random(length)
+    texts = [letters(rng, rng.choice([0, 3, length - 1, length, length + 1, 300])).encode() for _ in range(40)]
+    texts += [b"x" * 200, b"", b"ab" * 90, letters(rng, 100).encode() * 3, letters(rng, 20).encode() * 9]
+    ends = np.cumsum([len(t) for t in texts])
+    got = list(zip(*(x.tolist() for x in S.window_runs(np.frombuffer(b"".join(texts), np.uint8), ends, length))))
+    want, at = [], 0
+    for t in texts:
+        g, first, last, place = S.window_runs(np.frombuffer(t, np.uint8), np.array([len(t)]), length)
+        assert [w for a, b in zip(first, last) for w in range(a, b + 1)] == list(range(len(t) - length + 1))
+        for a, b, q in zip(first.tolist(), last.tolist(), place.tolist()):
+            assert q < 0 or all(a2 <= q <= a2 + length - S.GRAM and t.find(t[q:q + S.GRAM], a2) == q for a2 in range(a, b + 1))
+        want += [(x, a + at, b + at, q + at if q >= 0 else -1) for x, a, b, q in zip(g.tolist(), first.tolist(), last.tolist(), place.tolist())]
+        at += len(t)
+    assert got == want
+
+
+def test_grams_shared_without_windows_are_not_sorted(spark):
+    """A phrase shorter than a window, in texts that differ around it, sends nothing to the suffix arrays."""
+    rng = random.Random(5)
+    phrases = [letters(rng, 32) for _ in range(4)]
+    rows = [(d, "".join(letters(rng, 60) + p for p in phrases) + letters(rng, 60)) for d in range(60)]
+    df = spark.createDataFrame(rows, "k long, t string").selectExpr("k", "xxhash64(t) tag", "cast(t as binary) t")
+    assert S._runs(df, L, 4, 20_000).count() == 0
+    rows.append((99, "+" * 60 + rows[7][1][70:130] + "-" * 60))
+    df = spark.createDataFrame(rows, "k long, t string").selectExpr("k", "xxhash64(t) tag", "cast(t as binary) t")
+    assert {r.k for r in S._runs(df, L, 4, 20_000).where("z > 0").collect()} == {7, 99}
+
+
+@pytest.mark.parametrize("length", [50, 51])
+def test_windows_that_stand_anywhere_about_their_gram(spark, length):
+    """Passages of just a window or a byte less, at borders, amid other bytes, with grams that come twice."""
+    rng = random.Random(length)
+    rows, d = [], 0
+    for i in range(60):
+        unit = letters(rng, rng.choice([1, 7, 20, 40]))
+        p = letters(rng, length) if i % 3 else (unit * length)[:length]
+        for n in (length, length - 1, length + 3):
+            q = (p + letters(rng, 3))[:n] if n != length + 3 else letters(rng, 3) + p
+            rows.append((d, rng.choice(["", letters(rng, rng.randint(1, 60))]) + q + rng.choice(["", letters(rng, rng.randint(1, 60))])))
+            d += 1
+    rng.shuffle(rows)
+    got = ours(spark.createDataFrame(rows, "doc_id long, text string"), length=length)
+    assert got == brute(rows, length) and sum(r[2] > 0 for r in got) > 50
+
+
+def test_wanted_suffixes_sorted_alone():
+    """Sorting only the suffixes that start windows leaves these in order, with the same ties and prefixes."""
+    rng = random.Random(3)
+    for _ in range(20):
+        a = (bytes(rng.choice(b"ab\0") for _ in range(rng.randint(1, 30))) * 40)[:rng.randint(120, 700)] + bytes(rng.choice(b"ab") for _ in range(60))
+        wanted = np.array([rng.random() < 0.4 for _ in a]) & (np.arange(len(a)) + L <= len(a))
+        x = np.frombuffer(a, np.uint8)
+        sa, rank = S.refined(x, L, wanted)
+        assert sorted(sa.tolist()) == np.flatnonzero(wanted).tolist()
+        lcp = S.common_prefixes(x, sa, np.array([0]), np.array([len(a)]), L, rank)
+        for i, j in zip(sa, sa[1:]):
+            u, v = a[i:i + L], a[j:j + L]
+            assert u <= v and lcp[j] == next((m for m in range(L) if u[m] != v[m]), L)

@@ -120,3 +120,51 @@ def test_wide_classified_reads_its_table_once(spark, monkeypatch):
     out = e.queries()["wide_classified"](spark, "/root/testdata/sf0.001")
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert calls == [1] and "lineitem" not in plan and "l_quantity" not in plan
+
+
+def _same_rows(a, b):
+    assert sorted(map(repr, a.select(sorted(a.columns)).collect())) == sorted(map(repr, b.select(sorted(b.columns)).collect()))
+
+
+def _small_messages(spark, path):
+    """Five files with copies in one and in several of them, rejects, null payloads and times."""
+    i = F.col("id")
+    value = F.when(i % 97 != 0, F.concat_ws(",", i % 601, i % 601 / 7.0, i % 9, F.lit("device_1"), F.lit("Normal"), F.lit("view"), F.when(i % 5 != 0, "1")))
+    d = spark.range(0, 3000, 1, 5).select(
+        F.when(i % 4 != 0, F.timestamp_seconds(1_700_000_000 + i * 7919 % 3000)).alias("timestamp"), value.cast("binary").alias("value"))
+    d.write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def test_first_copies_by_place_equal_a_dedup_of_rows(spark, scratch, monkeypatch):
+    """One file or several a round, bitmaps of few rows, one scan or a frame that must be written first."""
+    from tidewatch.operators import dedup
+    from tidewatch.operators.parse import tag_rejects
+    from tidewatch.plans import classify as C
+    msgs = _small_messages(spark, scratch("all the messages"))
+    whole = lambda m: dedup_by_key(tag_rejects(m, X.FIXTURE_LAYOUT).drop("payload"), payload_determined=True)
+    late = msgs.where("timestamp > timestamp '2023-11-14 22:40:00'")
+    for m, bits, at_once in ((msgs, 15, 1 << 30), (msgs, 3, 1000), (late, 5, 1), (msgs.where("value = 'none'"), 15, 10),
+                             (msgs.union(msgs), 15, 1 << 30), (msgs.withColumn("n", F.explode(F.array(F.lit(1), F.lit(2)))), 4, 700)):
+        monkeypatch.setattr(dedup, "BITMAP_BITS", bits)
+        monkeypatch.setattr(dedup, "ROWS_AT_ONCE", at_once)
+        _same_rows(C.store_flows(m.select("timestamp", "value"), X.FIXTURE_LAYOUT, scratch("stored")), whole(m))
+    some = C.store_flows(msgs, X.FIXTURE_LAYOUT, scratch("some"), columns=["f_value", "label"])
+    _same_rows(some, whole(msgs).select("f_value", "label", "reject_reason"))
+
+
+def test_wide_flows_are_stored_without_shuffling_them(spark, scratch, monkeypatch):
+    """Of a record of 27 fields only its fingerprint and place are shuffled; the table takes it from its file."""
+    from pyspark.sql import DataFrameWriter
+    from tidewatch.plans import classify as C
+    from tidewatch.schema import FLOW_LAYOUT
+    value = F.concat_ws(",", *[F.rand(i) * 1000 for i in range(23)], F.lit("cam_1"), F.lit("Normal"), F.lit("F"), F.lit("1"))
+    path, n, plans, real = scratch("wide-messages"), 600, [], DataFrameWriter.parquet
+    spark.range(0, n, 1, 3).select(F.timestamp_seconds("id").alias("timestamp"), value.cast("binary").alias("value")).write.parquet(path)
+    explained = lambda w: w._df._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, *a, **b: plans.append(explained(self)) or real(self, *a, **b))
+    stored = C.store_flows(spark.read.parquet(path), FLOW_LAYOUT, scratch("wide-stored"))
+    shuffles = [x for p in plans for x in p.splitlines() if "Exchange hashpartitioning" in x]
+    assert shuffles and not any(name in x for x in shuffles for name, _ in FLOW_LAYOUT)
+    assert "Exchange hashpartitioning" not in plans[-1]  # the one that parses
+    assert stored.where("reject_reason IS NULL").count() == n
